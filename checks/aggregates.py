@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.base import check
 from geopulse.operators import series
-from geopulse.plans import marts
+from geopulse.plans import marts, staging
 
 DAILY = "region_id observation_date:d detection_count:i h3_cell_count:i frp_sum:f frp_max:f frp_mean:f high_confidence_count:i confidence_pct_mean:f night_detection_count:i satellite_count:i"
 DENSE = "region_id observation_date:d detection_count:i h3_cell_count:i high_confidence_count:i night_detection_count:i satellite_count:i max_cell_detections:i frp_sum:f frp_max:f frp_mean:f confidence_pct_mean:f"
@@ -15,23 +15,23 @@ DENSE = "region_id observation_date:d detection_count:i h3_cell_count:i high_con
 @check("daily_region", DAILY + " max_cell_detections:i",
        "select * from daily_region join densest_cell using (region_id, observation_date)")
 def _(t):
-    return series.daily_region(t.detections)
+    return series.daily_region(t.facts)
 
 
 @check("distinct_counts", "region_id observation_date:d h3_cell_count:i satellite_count:i", "select * from daily_region")
 def _(t):
-    return series.distinct_counts(t.detections)
+    return series.distinct_counts(t.facts)
 
 
 @check("densest_cell", "region_id observation_date:d max_cell_detections:i", "select * from densest_cell")
 def _(t):
-    return series.densest_cell(t.detections)
+    return series.densest_cell(t.facts)
 
 
 @check("daily_cell", "h3_index region_id observation_date:d latitude:f longitude:f detection_count:i frp_sum:f frp_max:f high_confidence_count:i confidence_pct_mean:f",
        "select * from daily_cell")
 def _(t):
-    return series.daily_cell(t.detections)
+    return series.daily_cell(t.facts)
 
 
 @check("dense_spine", "region_id observation_date:d", "select * from spine")
@@ -41,7 +41,7 @@ def _(t):
 
 @check("spine_join", DENSE, "select * from daily")
 def _(t):
-    return t.daily
+    return series.dense_daily(series.daily_region(t.facts), t.region_dim)
 
 
 @check("ring_contributions", "region_id day_of_year:i value:i freq:i",
@@ -70,7 +70,7 @@ BASELINE = "region_id day_of_year:i baseline_median:f baseline_mad:f baseline_sc
 
 @check("seasonal_baseline", BASELINE, "select * from baseline")
 def _(t):
-    return t.baseline
+    return series.seasonal_baseline(t.daily)
 
 
 @check("join_baseline", "region_id observation_date:d detection_count:i baseline_median:f baseline_scale:f baseline_samples:i",
@@ -130,7 +130,7 @@ def _(t):
 
 @check("daily_metric", "region_id observation_date:d value:f", "select * from sst_daily")
 def _(t):
-    return t.sst_daily
+    return series.daily_metric(t.gridded)
 
 
 FIRE = (
@@ -143,7 +143,7 @@ FIRE = (
 
 @check("fire_anomalies", FIRE, "select * from fire")
 def _(t):
-    return marts.fire_anomalies(t.detections, t.region_dim)
+    return marts.fire_anomalies(staging.stg_detections(t.det_raw), t.region_dim)
 
 
 @check("deforestation_index",
@@ -168,7 +168,7 @@ def _(t):
        "region_id period_start:d metric_type baseline_source value:f baseline_mean:f baseline_stddev:f baseline_samples:i "
        "latitude:f longitude:f zscore:f is_anomaly severity", "select * from ice")
 def _(t):
-    return t.ice
+    return marts.ice_extent_trends(t.gridded)
 
 
 @check("glacier_backscatter",
@@ -193,7 +193,7 @@ LAYER = "source_id region_id h3_index latitude:f longitude:f period_start:d peri
 
 @check("cell_fire", LAYER + " high_confidence_count:f", "select * from cells")
 def _(t):
-    return t.cells
+    return marts.cell_fire(t.facts)
 
 
 @check("cell_sst", LAYER, "select * from cell_sst")

@@ -19,7 +19,7 @@ from geopulse.sources import detections as source
        "observed_at:t observation_date:d latitude:f longitude:f h3_index region_id product confidence confidence_pct:f frp:f "
        "brightness_k:f daynight satellite instrument ingested_at:t run_id", "select * from detections")
 def _(t):
-    return t.detections
+    return staging.stg_detections(t.det_raw)
 
 
 @check("type_detections", "observed_at:t latitude:f longitude:f region_id product frp:f brightness_k:f run_id",
@@ -32,7 +32,7 @@ def _(t):
        "observed_at:t observation_date:d month_start:d latitude:f longitude:f h3_index region_id metric_type product "
        "spatial_scope value:f unit baseline_stddev:f day_of_year ingested_at:t run_id", "select * from gridded")
 def _(t):
-    return t.gridded
+    return staging.stg_gridded(t.grid_raw)
 
 
 @check("stg_composites",
@@ -40,7 +40,7 @@ def _(t):
        "spatial_scope value_mean:f value_stddev:f value_min:f value_max:f observation_count:i cloud_pct:f baseline_mean:f "
        "recent_mean:f ingested_at:t run_id", "select * from composites")
 def _(t):
-    return t.composites
+    return staging.stg_composites(t.comp_raw)
 
 
 @check("utc_calendar", "event_id day:d month:d",

@@ -1 +1,186 @@
-"""Pending."""
+"""Features, the isolation forest and its evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.base import check
+from geopulse.operators import evaluate as ev
+from geopulse.operators import features, forest
+from geopulse.plans import training
+from geopulse.sources.lake import dataset_revision
+
+FEATURES = " ".join(f"{name}:f" for name in features.FEATURES)
+FEATURE_SQL = ", ".join(features.FEATURES)
+
+
+@check("causal_features", f"region_id observation_date:d {FEATURES} doy_sin:f doy_cos:f zscore:f is_anomaly", "select * from feature_table")
+def _(t):
+    return features.causal_features(t.fire, t.sst_daily)
+
+
+@check("feature_matrix", f"region_id observation_date:d {FEATURES}",
+       "select * from feature_table where " + " and ".join(f"{c} is not null" for c in features.FEATURES))
+def _(t):
+    return features.feature_matrix(t.feature_table)
+
+
+@check("feature_matrix_zero", f"region_id observation_date:d {FEATURES}",
+       "select region_id, observation_date, " + ", ".join(f"coalesce({c}, 0) as {c}" for c in features.FEATURES) + " from feature_table")
+def _(t):
+    return features.feature_matrix(t.feature_table, missing="zero")
+
+
+@check("feature_report", "row_count:i usable_rows:i dropped_rows:i first_day:d last_day:d null_fraction_max:f regions:i",
+       "select count(*) as row_count, count(*) filter (" + " and ".join(f"{c} is not null" for c in features.FEATURES) + ") as usable_rows, "
+       "count(*) filter (" + " or ".join(f"{c} is null" for c in features.FEATURES) + ") as dropped_rows, "
+       "min(observation_date) as first_day, max(observation_date) as last_day, greatest("
+       + ", ".join(f"count(*) filter ({c} is null) / count(*)" for c in features.FEATURES)
+       + ") as null_fraction_max, count(distinct region_id) as regions from feature_table")
+def _(t):
+    return features.feature_report(t.feature_table)
+
+
+# -- forest: no SQL states it; tests check planted outliers, ranges and determinism ---------------
+
+
+@check("fit_isolation_forest", "tree node feature cut:f below above size depth")
+def _(t):
+    fitted = forest.fit_isolation_forest(
+        features.feature_matrix(t.feature_table), features.FEATURES, features.KEYS, trees=100
+    )
+    return fitted.nodes
+
+
+@check("score", "region_id observation_date:d anomaly_score:f")
+def _(t):
+    matrix = features.feature_matrix(t.feature_table)
+    fitted = forest.fit_isolation_forest(matrix, features.FEATURES, features.KEYS, trees=100)
+    return forest.score(matrix, fitted)
+
+
+@check("predictions", "region_id observation_date:d model_version anomaly_score:f anomaly_percentile:f is_anomaly threshold:f dataset_commit region_kind scored_at:t")
+def _(t):
+    trained = training.train(t.feature_table, trees=100)
+    return training.batch_score(t.feature_table, trained, "rev-1", F.lit("2001-10-01").cast("timestamp"))
+
+
+@check("reference_flag_kept", "region_id rows:i rule_flags:i matches:i",
+       """select region_id, count(*) as rows, count(*) filter (is_anomaly) as rule_flags, count(*) as matches from feature_table
+          where """ + " and ".join(f"{c} is not null" for c in features.FEATURES) + " group by 1")
+def _(t):
+    # the model's flags must leave the captured rule flag of every complete row untouched
+    trained = training.train(t.feature_table, trees=20)
+    rule = t.feature_table.select("region_id", "observation_date", F.coalesce("is_anomaly", F.lit(False)).alias("rule"))
+    return trained.scored.join(rule, ["region_id", "observation_date"]).groupBy("region_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("reference_is_anomaly").alias("rule_flags"),
+        F.count_if(F.col("rule") == F.col("reference_is_anomaly")).alias("matches"),
+    )
+
+
+@check("flag_top", "region_id observation_date:d anomaly_percentile:f threshold:f model_is_anomaly",
+       """select *, anomaly_percentile >= threshold as model_is_anomaly
+          from (select *, (select quantile_cont(anomaly_percentile, 0.975) from scored) as threshold from scored)""")
+def _(t):
+    return forest.flag_top(t.scored.drop("anomaly_percentile"))
+
+
+# -- evaluation -------------------------------------------------------------------------------
+
+
+@check("score_distribution",
+       "score_min:f score_max:f score_p500:f score_p750:f score_p900:f score_p950:f score_p990:f score_p999:f",
+       "select min(anomaly_score) as score_min, max(anomaly_score) as score_max, "
+       + ", ".join(f"quantile_cont(anomaly_score, {q}) as {n}" for n, q in ev.QUANTILES.items()) + " from scored")
+def _(t):
+    return ev.score_distribution(t.scored)
+
+
+TOP = "(select *, anomaly_score >= (select quantile_cont(anomaly_score, 0.975) from scored) as sel from scored)"
+AGREE = f"""select s as model_selected, f as reference_flagged, o as overlap, case when s > 0 then o / s else 0e0 end as precision_vs_reference,
+  case when f > 0 then o / f else 0e0 end as reference_recall, o / greatest(s + f - o, 1) as jaccard
+  from (select count(*) filter (sel) as s, count(*) filter (rule_flag) as f, count(*) filter (sel and rule_flag) as o from {TOP})"""
+
+
+@check("agreement", "model_selected:i reference_flagged:i overlap:i precision_vs_reference:f reference_recall:f jaccard:f", AGREE)
+def _(t):
+    return ev.agreement(t.scored, "anomaly_score", "rule_flag", 0.025)
+
+
+SEPARATE = f"""select a as flagged_mean, b as rest_mean, a / b as ratio
+  from (select avg(detection_count) filter (sel) as a, avg(detection_count) filter (not sel) as b from {TOP})"""
+
+
+@check("separation", "flagged_mean:f rest_mean:f ratio:f", SEPARATE)
+def _(t):
+    return ev.separation(t.scored, "anomaly_score", "detection_count", 0.025)
+
+
+CONCENTRATE = f"select sum(anomaly_score) filter (sel) / sum(anomaly_score) as score_mass_in_top_slice from {TOP}"
+
+
+@check("concentration", "score_mass_in_top_slice:f", CONCENTRATE)
+def _(t):
+    return ev.concentration(t.scored, "anomaly_score")
+
+
+@check("evaluate",
+       "score_min:f score_max:f score_p500:f score_p999:f score_mass_in_top_slice:f flagged_mean:f rest_mean:f ratio:f "
+       "model_selected:i reference_flagged:i overlap:i precision_vs_reference:f reference_recall:f jaccard:f rederives_rule",
+       f"""select *, precision_vs_reference >= 0.99 as rederives_rule
+          from ({AGREE}) a, ({SEPARATE}) s, ({CONCENTRATE}) c,
+          (select min(anomaly_score) as score_min, max(anomaly_score) as score_max, quantile_cont(anomaly_score, 0.5) as score_p500,
+           quantile_cont(anomaly_score, 0.999) as score_p999 from scored) d""")
+def _(t):
+    return ev.evaluate(t.scored, "anomaly_score", "rule_flag", "detection_count")
+
+
+@check("flag_rate", "rows_scored:i flagged:i flag_rate:f",
+       "select count(*) as rows_scored, count(*) filter (is_anomaly) as flagged, count(*) filter (is_anomaly) / count(*) as flag_rate from scored")
+def _(t):
+    return ev.flag_rate(t.scored, "is_anomaly")
+
+
+# one event per customer: its first order day and the week after, with peaks only some of which the data still reach
+EVENTS = """(select o_custkey as event_id, min_by(o_orderpriority, (o_orderdate, o_orderkey)) as region_id, cast(min(o_orderdate) as date) as "start",
+  cast(min(o_orderdate) as date) + cast(o_custkey % 8 as int) as "end",
+  o_custkey % 9 as recorded_peak, o_custkey % 5 <> 0 as expected from orders group by o_custkey)"""
+VERDICT = f"""select e.*, coalesce(n, 0) as window_days, coalesce(d, 0) as max_detections, coalesce(f, 0) as flagged_days, p as max_percentile,
+  case when n is null then 'no-data' when not expected and f > 0 then 'flag' when not expected then 'clean'
+       when d < floor(recorded_peak * 0.6e0) then 'data-changed' when f > 0 then 'flag' when p >= 0.9 then 'rank' else 'missed' end as criterion
+  from {EVENTS} e left join (
+    select event_id, count(*) as n, max(detection_count) as d, count(*) filter (is_anomaly) as f, max(anomaly_percentile) as p
+    from {EVENTS} x join scored s on s.region_id = x.region_id and s.observation_date between x."start" and x."end" group by 1) w
+  on w.event_id = e.event_id"""
+
+
+def events(t):
+    k, day = F.col("o_custkey"), F.to_date("o_orderdate")
+    return t.read("orders").groupBy(k.alias("event_id")).agg(
+        F.min_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("region_id"), F.min(day).alias("start")
+    ).select(
+        "event_id", "region_id", "start", F.date_add("start", (F.col("event_id") % 8).cast("int")).alias("end"),
+        (F.col("event_id") % 9).alias("recorded_peak"), (F.col("event_id") % 5 != 0).alias("expected"),
+    )
+
+
+@check("check_events",
+       "event_id region_id start:d end:d expected detected passed criterion flagged_days:i window_days:i max_detections:i recorded_peak max_percentile:f",
+       f"""select *, criterion in ('flag', 'rank') as detected, (criterion in ('flag', 'rank')) = expected as passed from ({VERDICT})""")
+def _(t):
+    return ev.check_events(t.scored, events(t))
+
+
+@check("event_pass_rate", "events:i evaluated:i passed_events:i pass_rate:f",
+       f"""select count(*) as events, count(*) filter (criterion <> 'no-data') as evaluated,
+          count(*) filter ((criterion in ('flag', 'rank')) = expected) as passed_events,
+          count(*) filter ((criterion in ('flag', 'rank')) = expected) / count(*) as pass_rate from ({VERDICT})""")
+def _(t):
+    return ev.event_pass_rate(ev.check_events(t.scored, events(t)))
+
+
+@check("dataset_revision", "length:i files:i",
+       "select 12 as length, 2 as files from orders having count(*) > 0")
+def _(t):
+    a, b = dataset_revision(t.read("orders")), dataset_revision(t.read("lineitem"))
+    return a.unionByName(b).agg(F.max(F.length("revision")).alias("length"), F.count_distinct("revision").alias("files"))

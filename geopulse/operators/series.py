@@ -8,19 +8,17 @@ from pyspark.sql import functions as F
 from geopulse.config import DEFAULTS
 
 
-def dense_spine(regions: DataFrame, bounds: DataFrame, out: str = "observation_date") -> DataFrame:
-    """Every region on every day between the one-row bounds ``(first_day, last_day)``."""
-    low = bounds.select("first_day").scalar()
-    high = bounds.select("last_day").scalar()
-    return regions.select("region_id").select(
-        "region_id", F.explode(F.sequence(low, high, F.expr("interval 1 day"))).alias(out)
-    )
-
-
 def date_bounds(df: DataFrame, day: str = "observation_date") -> DataFrame:
     return df.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
 
 
+def dense_spine(regions: DataFrame, bounds: DataFrame, out: str = "observation_date") -> DataFrame:
+    """Every region on every day between the one-row bounds ``(first_day, last_day)``."""
+    span = bounds.select(F.struct("first_day", "last_day")).scalar()
+    days = F.sequence(span["first_day"], span["last_day"], F.expr("interval 1 day"))
+    return regions.select("region_id", F.explode(days).alias(out))
+
+
 def _count_where(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("long")
 
@@ -28,8 +26,8 @@ def _count_where(condition: Column) -> Column:
 def detection_facts(detections: DataFrame) -> DataFrame:
     """Detections pre-aggregated by (region, day, cell, satellite).
 
-    Every daily figure is built from this one small table, so the raw rows are shuffled once and
-    already combined on the map side.
+    Daily figures, cell counts and distinct counts are all built from this table, so the raw rows
+    are shuffled once, already combined on the map side. Write it out before using it twice.
     """
     return detections.groupBy("region_id", "observation_date", "h3_index", "satellite").agg(
         F.count(F.lit(1)).alias("n"),
@@ -44,18 +42,7 @@ def detection_facts(detections: DataFrame) -> DataFrame:
     )
 
 
-def daily_cell(detections: DataFrame) -> DataFrame:
-    """Sparse counts per cell and day; the lowest coordinate stands for the cell."""
-    return _cells_from_facts(detection_facts(detections)).select(
-        "h3_index", "region_id", "observation_date",
-        F.col("point.latitude").alias("latitude"), F.col("point.longitude").alias("longitude"),
-        F.col("n").alias("detection_count"), "frp_sum", "frp_max",
-        F.col("high_n").alias("high_confidence_count"),
-        (F.col("pct_sum") / F.col("pct_n")).alias("confidence_pct_mean"),
-    )
-
-
-def _cells_from_facts(facts: DataFrame) -> DataFrame:
+def _cells(facts: DataFrame) -> DataFrame:
     return facts.groupBy("region_id", "observation_date", "h3_index").agg(
         F.sum("n").alias("n"),
         F.sum("frp_sum").alias("frp_sum"),
@@ -69,26 +56,38 @@ def _cells_from_facts(facts: DataFrame) -> DataFrame:
     )
 
 
-def densest_cell(detections: DataFrame) -> DataFrame:
+def daily_cell(facts: DataFrame) -> DataFrame:
+    """Sparse counts per cell and day; the lowest coordinate stands for the cell."""
+    return _cells(facts).select(
+        "h3_index", "region_id", "observation_date",
+        F.col("point.latitude").alias("latitude"), F.col("point.longitude").alias("longitude"),
+        F.col("n").alias("detection_count"), "frp_sum", "frp_max",
+        F.col("high_n").alias("high_confidence_count"),
+        (F.col("pct_sum") / F.col("pct_n")).alias("confidence_pct_mean"),
+    )
+
+
+def densest_cell(facts: DataFrame) -> DataFrame:
     """Largest per-cell count of each region and day."""
-    cells = detections.groupBy("region_id", "observation_date", "h3_index").agg(F.count(F.lit(1)).alias("n"))
+    cells = facts.groupBy("region_id", "observation_date", "h3_index").agg(F.sum("n").alias("n"))
     return cells.groupBy("region_id", "observation_date").agg(F.max("n").alias("max_cell_detections"))
 
 
-def distinct_counts(detections: DataFrame) -> DataFrame:
-    """Distinct cells and satellites per region and day, each through its own small pre-aggregate."""
-    facts = detections.groupBy("region_id", "observation_date", "h3_index", "satellite").agg(F.count(F.lit(1)).alias("n"))
+def _distinct(facts: DataFrame, column: str, out: str) -> DataFrame:
     keys = ["region_id", "observation_date"]
-    cells = facts.select(*keys, "h3_index").distinct().groupBy(*keys).agg(F.count("h3_index").alias("h3_cell_count"))
-    sats = facts.select(*keys, "satellite").distinct().groupBy(*keys).agg(F.count("satellite").alias("satellite_count"))
-    return cells.join(sats, keys)
+    return facts.select(*keys, column).distinct().groupBy(*keys).agg(F.count(column).alias(out))
 
 
-def daily_region(detections: DataFrame) -> DataFrame:
-    """All figures of a region's day from one pass over the detections."""
+def distinct_counts(facts: DataFrame) -> DataFrame:
+    """Distinct cells and satellites per region and day, each through its own small distinct set."""
+    cells = _distinct(facts, "h3_index", "h3_cell_count")
+    return cells.join(_distinct(facts, "satellite", "satellite_count"), ["region_id", "observation_date"])
+
+
+def daily_region(facts: DataFrame) -> DataFrame:
+    """All figures of a region's day."""
     keys = ["region_id", "observation_date"]
-    facts = detection_facts(detections)
-    days = _cells_from_facts(facts).groupBy(*keys).agg(
+    days = _cells(facts).groupBy(*keys).agg(
         F.sum("n").alias("detection_count"),
         F.count("h3_index").alias("h3_cell_count"),
         F.sum("high_n").alias("high_confidence_count"),
@@ -99,10 +98,7 @@ def daily_region(detections: DataFrame) -> DataFrame:
         (F.sum("frp_sum") / F.sum("frp_n")).alias("frp_mean"),
         (F.sum("pct_sum") / F.sum("pct_n")).alias("confidence_pct_mean"),
     )
-    sats = facts.select(*keys, "satellite").distinct().groupBy(*keys).agg(
-        F.count("satellite").alias("satellite_count")
-    )
-    return days.join(sats, keys)
+    return days.join(_distinct(facts, "satellite", "satellite_count"), keys)
 
 
 ZERO_FILLED = (
@@ -121,8 +117,9 @@ def spine_join(spine: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
-def dense_daily(detections: DataFrame, regions: DataFrame) -> DataFrame:
-    return spine_join(dense_spine(regions, date_bounds(detections)), daily_region(detections))
+def dense_daily(daily: DataFrame, regions: DataFrame) -> DataFrame:
+    """Daily figures with a row for every region and day of the span they cover."""
+    return spine_join(dense_spine(regions, date_bounds(daily)), daily)
 
 
 # -- seasonal ring ---------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geopulse.config import DEFAULTS, FIRE_LADDER, ICE_LADDER, NDVI_LADDER, Thresholds
 from geopulse.functions import scoring
 from geopulse.operators import series
+from geopulse.workspace import materialise
 
 
 def _model_columns() -> list[Column]:
@@ -42,9 +43,19 @@ def score_daily(daily: DataFrame, baseline: DataFrame, limits: Thresholds = DEFA
     )
 
 
-def fire_anomalies(detections: DataFrame, regions: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """Daily detection anomalies per region, from staged detections."""
-    daily = series.dense_daily(detections, regions)
+def daily_table(facts: DataFrame, regions: DataFrame) -> DataFrame:
+    """The dense region-by-day table, written out because the baseline reads it several times."""
+    daily = materialise(series.daily_region(facts), "daily-region")
+    return materialise(series.dense_daily(daily, regions), "daily")
+
+
+def fire_anomalies(
+    detections: DataFrame, regions: DataFrame, limits: Thresholds = DEFAULTS, facts: DataFrame | None = None
+) -> DataFrame:
+    """Daily detection anomalies per region, from staged detections (or their facts, if already written)."""
+    if facts is None:
+        facts = materialise(series.detection_facts(detections), "facts")
+    daily = daily_table(facts, regions)
     return score_daily(daily, series.seasonal_baseline(daily), limits)
 
 
@@ -113,10 +124,10 @@ def _cell_layer(
     )
 
 
-def cell_fire(detections: DataFrame) -> DataFrame:
-    """Detections per cell and day."""
+def cell_fire(facts: DataFrame) -> DataFrame:
+    """Detections per cell and day, from detection facts."""
     return _cell_layer(
-        series.daily_cell(detections), "firms", "observation_date", "day", F.lit("fire_detection_count"), "h3_res_7",
+        series.daily_cell(facts), "firms", "observation_date", "day", F.lit("fire_detection_count"), "h3_res_7",
         F.col("detection_count"), F.col("high_confidence_count"), F.lit(None),
     )
 
@@ -145,8 +156,9 @@ def build_marts(
     marts: dict[str, DataFrame] = {}
     if detections is not None:
         fire = regions.where("anomaly_type = 'fire'") if "anomaly_type" in regions.columns else regions
-        marts["fire_anomalies"] = fire_anomalies(detections, fire)
-        marts["cell_fire"] = cell_fire(detections)
+        facts = materialise(series.detection_facts(detections), "facts")
+        marts["fire_anomalies"] = fire_anomalies(detections, fire, facts=facts)
+        marts["cell_fire"] = cell_fire(facts)
     if gridded is not None:
         marts["ice_extent_trends"] = ice_extent_trends(gridded)
         marts["cell_sst"] = cell_sst(gridded)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from geopulse.contracts import COMPOSITES, DETECTIONS, GRIDDED, conform
 from geopulse.functions.detections import first_number
@@ -15,8 +16,12 @@ def _number(name: str) -> Column:
     return F.col(name).cast("double").alias(name)
 
 
-def _stamp(name: str, out: str | None = None) -> Column:
-    return F.col(name).cast("string").try_cast("timestamp").alias(out or name)
+def _stamp(df: DataFrame, name: str, out: str | None = None) -> Column:
+    """A timestamp column; text that does not read as one becomes null."""
+    column = F.col(name)
+    if not isinstance(df.schema[name].dataType, (TimestampType, TimestampNTZType)):
+        column = column.cast("string").try_cast("timestamp")
+    return column.cast("timestamp").alias(out or name)
 
 
 def _newest_first() -> list[Column]:
@@ -28,10 +33,10 @@ def type_detections(raw: DataFrame) -> DataFrame:
     raw = conform(raw, DETECTIONS)
     brightness = first_number(F.col("bright_ti4"), F.col("brightness"))
     typed = raw.where(F.col("region_id").isNotNull()).select(
-        _stamp("acq_datetime", "observed_at"), _number("latitude"), _number("longitude"),
+        _stamp(raw, "acq_datetime", "observed_at"), _number("latitude"), _number("longitude"),
         "h3_index", "region_id", "product", "confidence", _number("confidence_pct"), _number("frp"),
         brightness.alias("brightness_k"), "daynight", "satellite", "instrument",
-        _stamp("ingested_at"), "run_id",
+        _stamp(raw, "ingested_at"), "run_id",
     )
     return typed.where(F.col("observed_at").isNotNull())
 
@@ -45,12 +50,12 @@ def stg_detections(raw: DataFrame) -> DataFrame:
 def type_gridded(raw: DataFrame) -> DataFrame:
     raw = conform(raw, GRIDDED)
     typed = raw.where(F.col("region_id").isNotNull()).select(
-        _stamp("timestamp", "observed_at"), _number("latitude"), _number("longitude"),
+        _stamp(raw, "timestamp", "observed_at"), _number("latitude"), _number("longitude"),
         "h3_index", "region_id", "metric_type", "product",
         F.coalesce("spatial_scope", F.lit("gridded")).alias("spatial_scope"),
         _number("value"), "unit", _number("baseline_stddev"),
         F.col("day_of_year").cast("double").cast("int").alias("day_of_year"),
-        _stamp("ingested_at"), "run_id",
+        _stamp(raw, "ingested_at"), "run_id",
     )
     return typed.where(F.col("observed_at").isNotNull())
 
@@ -66,7 +71,7 @@ def stg_gridded(raw: DataFrame) -> DataFrame:
 def type_composites(raw: DataFrame) -> DataFrame:
     raw = conform(raw, COMPOSITES)
     typed = raw.where(F.col("region_id").isNotNull()).select(
-        _stamp("window_start"), _stamp("window_end"), _number("latitude"), _number("longitude"),
+        _stamp(raw, "window_start"), _stamp(raw, "window_end"), _number("latitude"), _number("longitude"),
         "h3_index", "region_id", "product", "metric_type",
         F.coalesce("spatial_scope", F.lit("region")).alias("spatial_scope"),
         F.col("mean").cast("double").alias("value_mean"),
@@ -75,7 +80,7 @@ def type_composites(raw: DataFrame) -> DataFrame:
         F.col("max").cast("double").alias("value_max"),
         F.col("observation_count").cast("string").try_cast("bigint").alias("observation_count"),
         _number("cloud_pct"), _number("baseline_mean"), _number("recent_mean"),
-        _stamp("ingested_at"), "run_id",
+        _stamp(raw, "ingested_at"), "run_id",
     )
     return typed.where(F.col("window_end").isNotNull())
 
