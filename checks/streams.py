@@ -1 +1,114 @@
-"""Pending."""
+"""Streaming forms, run to completion over the given tables and compared with the batch result."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.base import check
+from geopulse.plans import ops
+from geopulse.streaming import pipelines
+from geopulse.workspace import scratch
+
+
+def files(t, df, name: str, parts: int = 4):
+    """A folder of files for a file source to replay."""
+    path = scratch(t.spark, name)
+    df.repartition(parts).write.parquet(path)
+    return path, df.schema
+
+
+def events(t):
+    schema = t.read("events").schema
+    stream = pipelines.read_files(t.spark, t.sf_dir, schema, pattern="events.parquet")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def drain(query) -> None:
+    query.awaitTermination()
+
+
+@check("land_stream", "event_type day:d rows:i total:f",
+       "select event_type, cast(ts as date) as day, count(*) as rows, sum(value) as total from events group by 1, 2")
+def _(t):
+    out = scratch(t.spark, "landed")
+    drain(pipelines.land_stream(events(t), out, scratch(t.spark, "cp"), "ts"))
+    day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+    return t.spark.read.parquet(out).groupBy("event_type", day.alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("value").alias("total")
+    )
+
+
+@check("stream_latest_wins", "product region_id observation_date:d rows:i frp:f",
+       "select product, region_id, observation_date, count(*) as rows, sum(frp) as frp from detections group by 1, 2, 3")
+def _(t):
+    path, schema = files(t, t.det_raw, "refetched")
+    sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "latest"), F.date_format("acq_datetime", "yyyyMM"))
+    newest = [F.desc_nulls_last("ingested_at"), F.desc_nulls_last("run_id")]
+    stream = pipelines.read_files(t.spark, path, schema, max_files=2)
+    keys = ["product", "acq_datetime", "latitude", "longitude"]
+    drain(pipelines.upsert_stream(stream, sink, scratch(t.spark, "cp"), keys, newest))
+    return sink.latest().groupBy("product", "region_id", F.to_date("acq_datetime").alias("observation_date")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("frp").alias("frp")
+    )
+
+
+@check("stream_first_wins", "event_type users:i", "select event_type, count(distinct user_id) as users from events group by 1")
+def _(t):
+    sink = pipelines.VersionedSink(t.spark, scratch(t.spark, "first"))
+    firsts = pipelines.first_wins(events(t), ["event_type", "user_id"], "ts", "60 days")
+    drain(pipelines.upsert_stream(firsts, sink, scratch(t.spark, "cp"), ["event_type", "user_id"]))
+    return sink.latest().groupBy("event_type").agg(F.count(F.lit(1)).alias("users"))
+
+
+@check("stream_daily_counts", "observation_date:d event_type detection_count:i value_sum:f",
+       "select cast(ts as date) as observation_date, event_type, count(*) as detection_count, sum(value) as value_sum from events group by 1, 2")
+def _(t):
+    sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "counts"), F.date_format("observation_date", "yyyyMM"))
+    counts = pipelines.daily_counts(events(t), "ts", ["event_type"], "value")
+    keys = ["observation_date", "event_type"]
+    drain(pipelines.upsert_stream(counts, sink, scratch(t.spark, "cp"), keys, output_mode="update"))
+    return sink.latest()
+
+
+@check("stream_sliding_stats", "window_end:d event_type events:i value_mean:f value_max:f",
+       """select cast(d as date) + cast(o as int) as window_end, event_type, count(*) as events, avg(value) as value_mean, max(value) as value_max
+          from (select cast(ts as date) as d, event_type, value, unnest(range(1, 8)) as o from events) group by 1, 2""")
+def _(t):
+    sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "sliding"), F.date_format("window_end", "yyyyMM"))
+    stats = pipelines.sliding_stats(events(t), "ts", ["event_type"], "value", 7)
+    keys = ["window_end", "event_type"]
+    drain(pipelines.upsert_stream(stats, sink, scratch(t.spark, "cp"), keys, output_mode="update"))
+    return sink.latest()
+
+
+@check("stream_flag_online", "region_id observation_date:d detection_count:i zscore:f is_anomaly severity",
+       "select * from fire where detection_count > 0")
+def _(t):
+    path, schema = files(t, t.detections, "staged")
+    stream = pipelines.read_files(t.spark, path, schema)
+    counts = pipelines.daily_counts(stream, "observed_at", ["region_id"], "frp")
+    flagged = pipelines.flag_online(counts, t.baseline)
+    sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "online"), F.date_format("observation_date", "yyyyMM"))
+    keys = ["region_id", "observation_date"]
+    drain(pipelines.upsert_stream(flagged, sink, scratch(t.spark, "cp"), keys, output_mode="update"))
+    return sink.latest()
+
+
+@check("stream_monitor_runs", "stage workflow state last_run:t age_hours:f rows runs:i success_rate:f",
+       """select stage, s.workflow, last_run, age_hours, last_rows as rows, coalesce(runs, 0) as runs, ok / runs as success_rate,
+          case when s.workflow is null then 'external' when runs is null then 'unrecorded' when last_status <> 'success' then 'failed'
+               when age_hours > budget then 'overdue' else 'live' end as state
+          from (values ('collect', 'collect_data', 8), ('store', 'collect_data', null), ('transform', 'transform', 30),
+                ('train', 'train_model', 216), ('score', 'train_model', 216), ('serve', null, null)) as s(stage, workflow, budget)
+          left join (select workflow, count(*) as runs, count(*) filter (status = 'success') as ok, max(started_at) as last_run,
+                     arg_max(status, (started_at, run_id)) as last_status, arg_max(rows_written, (started_at, run_id)) as last_rows,
+                     greatest(epoch(timestamp '2024-01-31 12:00:00' - max(started_at)) / 3600e0, 0) as age_hours
+                     from runs group by 1) t on t.workflow = s.workflow""")
+def _(t):
+    path, schema = files(t, t.runs, "runs")
+    history = pipelines.PeriodSink(t.spark, scratch(t.spark, "history"), F.date_format("started_at", "yyyyMMdd"))
+    out = pipelines.VersionedSink(t.spark, scratch(t.spark, "stages"))
+    stream = pipelines.read_files(t.spark, path, schema, max_files=2)
+    asof = F.lit("2024-01-31 12:00:00").cast("timestamp")
+    drain(pipelines.monitor_runs(stream, history, scratch(t.spark, "cp"), ops.stage_table(t.spark), asof, out))
+    return out.latest()

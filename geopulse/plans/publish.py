@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from geopulse.config import MODEL_OWNED, PUBLISH_KEYS
 from geopulse.operators.upsert import check_key, upsert
-from geopulse.workspace import scratch
 
 REPORT_SCHEMA = "table string, state string, rows bigint, added_columns array<string>"
 
@@ -19,15 +18,16 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a finished table in place of the one it was read from."""
+    """Put a finished table in place of the one it was read from; the old one goes last."""
     jvm = spark._jvm.org.apache.hadoop.fs.Path
     fs = jvm(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(jvm(path), True)
-    parent = jvm(path).getParent()
-    if parent is not None:
-        fs.mkdirs(parent)
+    previous = f"{path}__previous"
+    fs.delete(jvm(previous), True)
+    if fs.exists(jvm(path)) and not fs.rename(jvm(path), jvm(previous)):
+        raise OSError(f"could not set {path} aside")
     if not fs.rename(jvm(staged), jvm(path)):
-        raise OSError(f"could not move {staged} to {path}")
+        raise OSError(f"could not move {staged} to {path}; the former table is at {previous}")
+    fs.delete(jvm(previous), True)
 
 
 def publish_table(
@@ -46,7 +46,7 @@ def publish_table(
         added = [name for name in df.columns if name not in target.columns]
         kept = [name for name in protected if name in df.columns or name in target.columns]
         result = upsert(target, df, keys, kept)
-    staged = f"{path}__staged" if "://" in path or path.startswith("/") else scratch(spark, "publish")
+    staged = f"{path}__staged"
     result.write.mode("overwrite").option("compression", "zstd").parquet(staged)
     _swap(spark, staged, path)
     return added

@@ -66,9 +66,11 @@ def parse_market_documents(documents: DataFrame, metric: str, xml: str = "xml")
     text = F.col(xml)
     empty = F.contains(text, F.lit(NO_DATA))
     wrong_root = F.raise_error(F.concat(F.lit(f"{metric}: unexpected document "), root_name(text)))
-    staged = documents.where(~(empty & (root_name(text) != root))).select(
+    # an acknowledgement becomes a null document, which unfolds to no rows wherever filters move
+    staged = documents.select(
         *keep,
         F.when(root_name(text) == root, F.from_xml(text, DOCUMENT, {"ignoreNamespace": "true", "mode": "FAILFAST"}))
+        .when(empty, F.lit(None).cast(DOCUMENT))
         .otherwise(wrong_root.cast(DOCUMENT)).alias("doc"),
     )
     points = F.flatten(

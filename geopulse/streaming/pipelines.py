@@ -53,51 +53,91 @@ def first_wins(stream: DataFrame, keys: Sequence[str], time_col: str, delay: str
     return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-class TableSink:
-    """A parquet table that each micro-batch folds into, by version.
+def _filesystem(spark: SparkSession, path: str):
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    return jvm(path).getFileSystem(spark._jsc.hadoopConfiguration()), jvm
 
-    Version ``n + 1`` is written beside version ``n`` and named after the batch, so a replayed batch
-    overwrites its own attempt and readers always find a whole table.
+
+class VersionedSink:
+    """A small parquet table that each micro-batch rewrites as a new version.
+
+    Version ``n`` is named after batch ``n``, so a replayed batch overwrites its own attempt and
+    readers always find a whole table. For tables bounded by a dimension: run history, stage states.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, keep: int = 2):
+        self.spark, self.root, self.keep = spark, root, keep
 
     def _path(self, version: int) -> str:
         return f"{self.root}/version={version:010d}"
 
+    def _versions(self) -> list[int]:
+        fs, path = _filesystem(self.spark, self.root)
+        if not fs.exists(path(self.root)):
+            return []
+        names = [status.getPath() for status in fs.listStatus(path(self.root))]
+        return sorted(int(p.getName().split("=")[1]) for p in names if fs.exists(path(f"{p}/_SUCCESS")))
+
     def latest(self, before: int | None = None) -> DataFrame | None:
-        jvm = self.spark._jvm.org.apache.hadoop.fs.Path
-        fs = jvm(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(jvm(self.root)):
+        found = [v for v in self._versions() if before is None or v < before]
+        return self.spark.read.parquet(self._path(found[-1])) if found else None
+
+    def fold(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
+        merge(self.latest(before=batch_id), batch).write.mode("overwrite").parquet(self._path(batch_id))
+        fs, path = _filesystem(self.spark, self.root)
+        for version in self._versions()[: -self.keep]:
+            fs.delete(path(self._path(version)), True)
+
+
+class PeriodSink:
+    """A keyed table split by period, of which each micro-batch rewrites only the periods it touches.
+
+    ``period`` must follow from the key, so that all copies of a key share one. Folding a batch a
+    second time changes nothing, which makes replays harmless.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, period: Column):
+        self.spark, self.root = spark, root
+        self.period = F.concat(F.lit("p"), period.cast("string"))
+
+    def _read(self) -> DataFrame | None:
+        fs, path = _filesystem(self.spark, self.root)
+        if not fs.exists(path(self.root)):
             return None
-        found = []
-        for status in fs.listStatus(jvm(self.root)):
-            path = status.getPath()
-            if fs.exists(jvm(f"{path}/_SUCCESS")):
-                number = int(path.getName().split("=")[1])
-                if before is None or number < before:
-                    found.append(number)
-        return self.spark.read.parquet(self._path(max(found))) if found else None
+        periods = any(s.getPath().getName().startswith("_period=") for s in fs.listStatus(path(self.root)))
+        return self.spark.read.parquet(self.root) if periods else None
+
+    def latest(self) -> DataFrame | None:
+        table = self._read()
+        return None if table is None else table.drop("_period")
+
+    def fold(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
+        current = self._read()
+        if current is not None:
+            touched = batch.select(self.period.alias("_period")).distinct()
+            current = current.join(touched, "_period", "left_semi").drop("_period")
+        merged = merge(current, batch).withColumn("_period", self.period)
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("_period").parquet(self.root)
+
 
-    def fold(self, batch_id: int, merge: Callable[[DataFrame | None], DataFrame]) -> None:
-        merge(self.latest(before=batch_id)).write.mode("overwrite").parquet(self._path(batch_id))
+Sink = VersionedSink | PeriodSink
 
 
 def upsert_stream(
-    stream: DataFrame, sink: TableSink, checkpoint: str, keys: Sequence[str], newest_first: Sequence[Column] = (),
+    stream: DataFrame, sink: Sink, checkpoint: str, keys: Sequence[str], newest_first: Sequence[Column] = (),
     *, output_mode: str = "append", available_now: bool = True,
 ) -> StreamingQuery:
     """Fold each micro-batch into a keyed table; with ``newest_first`` the newest copy of a key wins."""
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        def merge(current: DataFrame | None) -> DataFrame:
-            if not newest_first:
-                return batch if current is None else upsert(current, batch, keys)
-            rows = batch if current is None else current.unionByName(batch, allowMissingColumns=True)
-            return latest_wins(rows, keys, newest_first)
+    def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if not newest_first:
+            return batch if current is None else upsert(current, batch, keys)
+        rows = batch if current is None else current.unionByName(batch, allowMissingColumns=True)
+        return latest_wins(rows, keys, newest_first)
 
-        sink.fold(batch_id, merge)
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        sink.fold(batch, batch_id, merge)
 
     writer = stream.writeStream.outputMode(output_mode).foreachBatch(fold)
     return _start(writer, checkpoint, available_now)
@@ -137,18 +177,18 @@ def flag_online(counts: DataFrame, baseline: DataFrame, limits: Thresholds = DEF
 
 
 def monitor_runs(
-    stream: DataFrame, sink: TableSink, checkpoint: str, stages: DataFrame, asof: Column, out: TableSink,
+    stream: DataFrame, history: Sink, checkpoint: str, stages: DataFrame, asof: Column, out: VersionedSink,
     *, available_now: bool = True,
 ) -> StreamingQuery:
     """Keep the run history current and re-state every stage after each batch of runs."""
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        def merge(current: DataFrame | None) -> DataFrame:
-            return batch if current is None else upsert(current, batch, ["run_id"])
+    def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+        return batch if current is None else upsert(current, batch, ["run_id"])
 
-        sink.fold(batch_id, merge)
-        runs = sink.latest()
-        out.fold(batch_id, lambda _: stage_states(runs, stages, asof))
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        history.fold(batch, batch_id, merge)
+        runs = history.latest()
+        out.fold(batch, batch_id, lambda _, __: stage_states(runs, stages, asof))
 
     writer = stream.writeStream.foreachBatch(fold)
     return _start(writer, checkpoint, available_now)
