@@ -153,11 +153,11 @@ def _(t):
     return source.normalise(raw(t), strict=False)
 
 
-@check("first_number", "k:i attempt:i brightness_k:f",
-       "select k, attempt, coalesce(bright_ti4, brightness) as brightness_k from det_raw")
+@check("first_number", "k:i b:i attempt:i brightness_k:f",
+       "select k, b, attempt, coalesce(bright_ti4, brightness) as brightness_k from det_raw")
 def _(t):
     value = dx.first_number(F.col("bright_ti4").cast("string"), F.col("brightness").cast("string"))
-    return t.det_raw.select("k", "attempt", value.alias("brightness_k"))
+    return t.det_raw.select("k", "b", "attempt", value.alias("brightness_k"))
 
 
 # -- contracts -------------------------------------------------------------------
@@ -188,7 +188,7 @@ def _(t):
 
 
 @check("conform", "k:i scan_null:i type_null:i columns:i",
-       "select k, 1 as scan_null, 1 as type_null, 26 as columns from det_raw")
+       "select k, 1 as scan_null, 1 as type_null, 27 as columns from det_raw")
 def _(t):
     df = conform(t.det_raw, DETECTIONS)
     return df.select(

@@ -33,7 +33,7 @@ def _(t):
     )
 
 
-@check("read_lake", "region_id rows:i orders:i total:f",
+@check("read_lake", "region_id rows:i orders:i total:f2",
        """select region_id, count(*) as rows, count(k) as orders, sum(v) as total from (
           select event_type as region_id, null as k, value as v from events
           union all select o_orderpriority, o_orderkey, o_totalprice from orders) group by 1""")
@@ -92,7 +92,7 @@ def _(t):
 # -- text sources ---------------------------------------------------------------------
 
 
-@check("read_detections_csv", "product rows:i latitude:f acq_date:d frp:f",
+@check("read_detections_csv", "product rows:i latitude:f4 acq_date:d frp:f2",
        f"""select 'VIIRS' as product, count(*) as rows, sum({LAT}) as latitude, min(o_orderdate) as acq_date, sum(o_totalprice) as frp from orders""")
 def _(t):
     c = F.col("o_custkey")

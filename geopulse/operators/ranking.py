@@ -1,47 +1,18 @@
 """Exact global ranks and quantiles without sorting everything in one task.
 
 Rows collapse to (value, count) pairs first, so a value shared by a third of the rows is one pair.
-The pairs are cut into value buckets of about equal size; only the bucket totals (at most
-``BUCKETS + 1`` rows) are summed in one place, and each bucket is ranked by its own task.
+The pairs are range-partitioned and written once with the number of their range; each range is then
+ranked by its own task, and only the range totals (one row per task) are summed in one place.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 512
-
-
-def _bucket_edges(pairs: DataFrame, value: str) -> list[float]:
-    """Approximate splits; they steer the work and never change the result."""
-    probabilities = [k / BUCKETS for k in range(1, BUCKETS)]
-    return sorted(set(pairs.approxQuantile(value, probabilities, 1.0 / (4 * BUCKETS))))
-
-
-def _bucket(value: Column, edges: list[float]) -> Column:
-    """How many edges lie at or below a value, by binary search over a literal array."""
-    if not edges:
-        return F.lit(0)
-    array = F.array(*[F.lit(edge) for edge in edges])
-    steps = max(1, math.ceil(math.log2(len(edges) + 1)))
-    state = F.aggregate(
-        F.array(*[F.lit(i) for i in range(steps)]),
-        F.struct(F.lit(0).alias("lo"), F.lit(len(edges)).alias("hi")),
-        lambda acc, _: F.when(
-            acc["lo"] < acc["hi"],
-            F.when(
-                F.get(array, F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")) <= value,
-                F.struct((F.floor((acc["lo"] + acc["hi"]) / 2) + 1).cast("int").alias("lo"), acc["hi"].alias("hi")),
-            ).otherwise(
-                F.struct(acc["lo"].alias("lo"), F.floor((acc["lo"] + acc["hi"]) / 2).cast("int").alias("hi"))
-            ),
-        ).otherwise(acc),
-    )
-    return state["lo"]
+from geopulse.workspace import materialise
 
 
 def cumulative_counts(df: DataFrame, value: str, weight: Column | None = None) -> DataFrame:
@@ -55,19 +26,18 @@ def cumulative_counts(df: DataFrame, value: str, weight: Column | None = None) -
         .groupBy(F.col(value).cast("double").alias("value"))
         .agg(counted)
     )
-    edges = _bucket_edges(pairs, "value")
-    pairs = pairs.withColumn("bucket", _bucket(F.col("value"), edges))
-    totals = pairs.groupBy("bucket").agg(F.sum("n_equal").alias("in_bucket"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    totals = totals.select(
-        "bucket",
-        F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("n_before"),
-        F.sum("in_bucket").over(everything).alias("n_total"),
+    # written out, because range bounds come from sampling and both uses below must see the same ones
+    ranged = materialise(pairs.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "ranks")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = ranged.groupBy("part").agg(F.sum("n_equal").alias("in_part")).select(
+        "part",
+        F.coalesce(F.sum("in_part").over(before), F.lit(0)).alias("n_before"),
+        F.sum("in_part").over(everything).alias("n_total"),
     )
-    inside = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    # bucket totals hold at most BUCKETS + 1 rows, so this side is always small enough to broadcast
-    return pairs.join(F.broadcast(totals), "bucket").select(
+    inside = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # one row per range partition, so this side never exceeds spark.sql.shuffle.partitions rows
+    return ranged.join(F.broadcast(totals), "part").select(
         "value",
         "n_equal",
         (F.col("n_before") + F.sum("n_equal").over(inside)).alias("n_upto"),

@@ -66,29 +66,28 @@ def parse_market_documents(documents: DataFrame, metric: str, xml: str = "xml")
     text = F.col(xml)
     empty = F.contains(text, F.lit(NO_DATA))
     wrong_root = F.raise_error(F.concat(F.lit(f"{metric}: unexpected document "), root_name(text)))
+    has_value = lambda p: F.coalesce(F.trim(p[element]), F.lit("")) != ""
+
+    def points(doc: Column) -> Column:
+        per_series = lambda s: F.transform(s["Period"], lambda p: F.coalesce(p["Point"], F.array()))
+        return F.flatten(F.flatten(F.transform(doc["TimeSeries"], per_series)))
+
+    def undrifted(doc: Column) -> Column:
+        """The document, unless it has points and none of them a value: then the element was renamed."""
+        drifted = (F.size(points(doc)) > 0) & ~F.exists(points(doc), has_value)
+        error = F.raise_error(F.lit(f"{metric}: points without any {element}"))
+        return F.when(drifted, error.cast(DOCUMENT)).otherwise(doc)
+
     # an acknowledgement becomes a null document, which unfolds to no rows wherever filters move
-    staged = documents.select(
-        *keep,
+    parsed = (
         F.when(root_name(text) == root, F.from_xml(text, DOCUMENT, {"ignoreNamespace": "true", "mode": "FAILFAST"}))
         .when(empty, F.lit(None).cast(DOCUMENT))
-        .otherwise(wrong_root.cast(DOCUMENT)).alias("doc"),
-    )
-    points = F.flatten(
-        F.flatten(
-            F.transform(
-                F.col("doc.TimeSeries"),
-                lambda s: F.transform(s["Period"], lambda p: F.coalesce(p["Point"], F.array())),
-            )
-        )
-    )
-    named = f"count {element}"
-    has_value = lambda p: F.coalesce(F.trim(p[element]), F.lit("")) != ""
-    drifted = (F.size(points) > 0) & (F.size(F.filter(points, has_value)) == 0)
-    drift = F.raise_error(F.lit(f"{metric}: points without any value ({named})")).cast("boolean")
-    checked = staged.where(F.when(drifted, drift).otherwise(F.lit(True)))
-    periods = checked.select(*keep, F.explode("doc.TimeSeries").alias("s")).select(
-        *keep, _unit(F.col("s"), metric).alias("unit"), F.explode("s.Period").alias("p")
+        .otherwise(wrong_root.cast(DOCUMENT))
     )
+    # bound through a one-element array so that each document is parsed once
+    checked = F.element_at(F.transform(F.array(parsed), undrifted), 1)
+    series = documents.select(*keep, F.explode(checked["TimeSeries"]).alias("s"))
+    periods = series.select(*keep, _unit(F.col("s"), metric).alias("unit"), F.explode("s.Period").alias("p"))
     timed = periods.select(
         *keep, "unit",
         period_start(F.col("p.timeInterval.start")).alias("_start"),

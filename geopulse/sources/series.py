@@ -44,7 +44,7 @@ def read_csv_after_header(
     spark: SparkSession, path: str, sentinel: str, columns: list[str], units_rows: int = 0
 ) -> DataFrame:
     """Publisher files under ``path``, read whole because the header's position differs per file."""
-    files = spark.read.option("wholetext", "true").text(path).withColumn("source_dataset", F.col("_metadata.file_name"))
+    files = spark.read.text(path, wholetext=True).withColumn("source_dataset", F.col("_metadata.file_name"))
     return csv_rows(files, "value", sentinel, columns, units_rows)
 
 
