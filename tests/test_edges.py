@@ -296,7 +296,7 @@ def test_market_documents(spark):
     assert {(r.timestamp, r.value, r.unit) for r in good} == {(dt.datetime(2024, 1, 1, 23), 5.0, "EUR"), (dt.datetime(2024, 1, 2, 1), 7.0, "EUR")}
     assert parse("<Acknowledgement_MarketDocument><text>No matching data found</text></Acknowledgement_MarketDocument>").count() == 0
     fails(parse("<Other><text>broken</text></Other>"), "unexpected document")
-    fails(parse(document([(1, "<Price.Amount>5</Price.Amount>")])), "points without any")
+    fails(parse(document([(1, "<amount>5</amount>")])), "points without any")
     fails(parse(document([(0, "<price.amount>5</price.amount>")])), "unusable position")
     fails(parse(document([(1, "<price.amount>5</price.amount>")], "P1Y")), "unsupported resolution")
 

@@ -36,5 +36,6 @@ def test_window_filter_reaches_the_scan(spark):
     from geopulse.plans import serving
 
     cells = serving.window_filter(Tables.of(spark, SF_DIR).cells, "1996-01-01", "1996-02-01", region="2-HIGH")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     text = plan(cells)
     assert "PushedFilters" in text and "GreaterThanOrEqual(period_start" in text and "EqualTo(region_id,2-HIGH)" in text
