@@ -74,9 +74,9 @@ E2 = num(hexgrid.EDGE_DEGREES[2])
           from (select *, unnest(generate_series(cast(ceil(west / ({E2} * {ROOT3}) - r / 2e0) as bigint),
                                                  cast(floor(east / ({E2} * {ROOT3}) - r / 2e0) as bigint))) as q
                 from (select *, unnest(generate_series(cast(ceil(south / (1.5e0 * {E2})) as bigint),
-                                                       cast(floor(north / (1.5e0 * {E2})) as bigint))) as r from boxes))""")
+                                                       cast(floor(north / (1.5e0 * {E2})) as bigint))) as r from customer_boxes))""")
 def _(t):
-    return regions.cells_for_bbox(t.boxes, 2)
+    return regions.cells_for_bbox(t.customer_boxes, 2)
 
 
 @check("coordinate_validity", "s_suppkey valid",
@@ -91,20 +91,20 @@ BEST = """(select region_id, west, south, east, north,
   abs((north - south) * 110.574e0 * ((east - west) * 111.320e0 * cos(radians((south + north) / 2e0)))) as area from boxes)"""
 
 
-@check("approx_area_km2", "region_id area:f2", f"select * from {BEST}")
+@check("approx_area_km2", "region_id area:f2", f"select * from {BEST}".replace("from boxes", "from customer_boxes"))
 def _(t):
     w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
-    return t.boxes.select("region_id", hexgrid.approx_area_km2(w, s, e, n).alias("area"))
+    return t.customer_boxes.select("region_id", hexgrid.approx_area_km2(w, s, e, n).alias("area"))
 
 
 @check("bbox_geometry", "region_id ring lat:f lon:f holds_centre",
        """select region_id, '[' || concat_ws(',', w || ',' || s, e || ',' || s, e || ',' || n, w || ',' || n, w || ',' || s) || ']' as ring,
           (south + north) / 2e0 as lat, (west + east) / 2e0 as lon, true as holds_centre
-          from (select *, cast(west as int) as w, cast(south as int) as s, cast(east as int) as e, cast(north as int) as n from boxes)""")
+          from (select *, cast(west as int) as w, cast(south as int) as s, cast(east as int) as e, cast(north as int) as n from customer_boxes)""")
 def _(t):
     w, s, e, n = (F.col(c) for c in ("west", "south", "east", "north"))
     ring = F.transform(F.flatten(hexgrid.bbox_ring(w, s, e, n)), lambda v: v.cast("int").cast("string"))
-    return t.boxes.select(
+    return t.customer_boxes.select(
         "region_id", F.concat(F.lit("["), F.array_join(ring, ","), F.lit("]")).alias("ring"),
         hexgrid.bbox_center(w, s, e, n).alias("c"), w, s, e, n,
     ).select("region_id", "ring", "c.lat", "c.lon", hexgrid.bbox_contains(w, s, e, n, F.col("c.lat"), F.col("c.lon")).alias("holds_centre"))

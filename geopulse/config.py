@@ -108,3 +108,25 @@ INVESTIGATIONS = (
     ("antarctic-sea-ice-deficit", "antarctic", "2026-08-20", "2026-09-19", "lower"),
     ("greece-2024-autumn", "greece_fire", "2024-09-29", "2024-10-01", "upper"),
 )
+
+# Observation sources (id, label, metrics, anomaly types, cell resolution, cron).
+SOURCES = (
+    ("firms", "Active fire detections", ("fire_radiative_power", "brightness"), ("fire",), 7, "15 */6 * * *"),
+    ("sentinel", "Vegetation index and radar backscatter composites", ("ndvi", "sar_backscatter"), ("deforestation", "ice"), 7, "30 3 * * *"),
+    ("noaa_nsidc", "Sea-surface temperature anomaly and sea-ice index", ("sst_anomaly", "sea_ice_extent", "sea_ice_extent_climatology"), ("fire", "ice"), 5, "45 4 * * 1"),
+    ("entsoe", "Day-ahead electricity price and actual load", ("day_ahead_price", "actual_load"), ("fire", "deforestation", "ice"), 7, "35 7 * * *"),
+)
+
+# Published tables (name, domain, sources, date column, internal).
+TABLES = (
+    ("fire_anomalies", "fire", ("firms",), "observation_date", False),
+    ("cell_fire", "fire", ("firms",), "period_start", False),
+    ("ice_extent_trends", "cryosphere", ("noaa_nsidc",), "period_start", False),
+    ("cell_sst", "marine", ("noaa_nsidc",), "period_start", False),
+    ("deforestation_index", "vegetation", ("sentinel",), "month_start", False),
+    ("glacier_backscatter", "cryosphere", ("sentinel",), "period_start", False),
+    ("cell_change", "vegetation", ("sentinel",), "period_start", False),
+    ("predictions", "operations", ("firms", "sentinel", "noaa_nsidc"), "observation_date", True),
+    ("pipeline_runs", "operations", (), "started_at", True),
+    ("sources", "operations", (), None, True),
+)

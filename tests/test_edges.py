@@ -221,6 +221,21 @@ def test_look_back_falls_back():
     assert serving.look_back({"days": 3}) == 400 and serving.look_back(float("nan")) == 400 and serving.look_back(-30.9) == 30
 
 
+def test_registries_agree(spark):
+    from geopulse.config import MART_BUDGET_DAYS, PUBLISH_KEYS
+    from geopulse.plans import registry
+
+    tables = {r["table"]: r for r in registry.table_registry(spark).collect()}
+    assert set(PUBLISH_KEYS) <= set(tables) and set(MART_BUDGET_DAYS) <= set(tables)
+    known = {r.source_id: set(r.metric_types) for r in registry.source_table(spark).collect()}
+    assert {s for r in tables.values() for s in r.source_ids} <= set(known)
+    assert all(metrics <= set(contracts.METRIC_UNITS) for metrics in known.values())
+    ids = {r.region_id for r in registry.region_table(spark).collect()}
+    assert len(ids) == 7
+    assert {r.region_id for r in registry.known_events(spark).collect()} <= ids
+    assert {r.region_id for r in registry.investigations(spark).collect()} <= ids
+
+
 # -- model ---------------------------------------------------------------------------
 
 
