@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import ASOF, LAT, LON, check, num
+from checks.base import ASOF, LAT, LON, check
 from geopulse.contracts import DETECTIONS, GRIDDED, METRIC_UNITS, conform, enrich, to_silver, validate
 from geopulse.functions import detections as dx
 from geopulse.functions import hexgrid, scoring, text, timefns
@@ -551,6 +551,3 @@ def _(t):
         "o_orderkey", text.pick_property(F.col("m"), "ndvi_20240930").alias("mean"),
         text.pick_property(F.col("m"), "spread").alias("spread"), text.pick_property(F.col("m"), "absent").alias("absent"),
     )
-
-
-assert num(1.0) == "1.0e0"

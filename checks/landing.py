@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import LAT, LON, check
+from checks.base import LAT, check
 from geopulse.functions import timefns
 from geopulse.plans import publish
 from geopulse.sources import detections as source
 from geopulse.sources import grids, lake, markets, rasters, series
-from geopulse.workspace import materialise, scratch
+from geopulse.workspace import scratch
 
 # -- lake ------------------------------------------------------------------------
 
@@ -320,6 +320,3 @@ def _(t):
           where recent_mean is not null and baseline_mean is not null""")
 def _(t):
     return rasters.grid_change(pixels(t), F.lit("2000-01-01").cast("date"), F.lit("2000-12-31").cast("date"))
-
-
-assert LON and materialise

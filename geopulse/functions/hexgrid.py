@@ -7,8 +7,6 @@ the date line, and a parent covers its children only approximately.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -173,7 +171,3 @@ def mercator_y(lat: Column) -> Column:
     phi = F.radians(F.greatest(F.lit(-MERCATOR_LIMIT), F.least(F.lit(MERCATOR_LIMIT), lat)))
     y = (F.lit(1.0) - F.log(F.tan(phi) + F.lit(1.0) / F.cos(phi)) / F.pi()) / 2.0
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), y))
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
