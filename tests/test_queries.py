@@ -6,9 +6,11 @@ import pytest
 from compare import connect, differences, duck_side, spark_side
 
 import __spark_entry__ as entry_module
+from checks import CHECKS
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES = {k: v for k, v in entry_module.queries().items() if k in CHECKS}
+ORACLES = {k: v for k, v in entry_module.oracle_sql().items() if k in CHECKS}
 
 
 @pytest.fixture(scope="session")
