@@ -119,3 +119,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "m")), F.sum(F.hash("v", "m").cast("long"))).first())
+
+
+def texts(column: pa.Array) -> list[str]:
+    """A string column as Python strings; null is empty, bytes that are not UTF-8 become U+FFFD."""
+    return [x.decode("utf-8", "replace") for x in binaries(column)]
+
+
+def tokenizer_file(name: str) -> str:
+    """Where a public vocabulary lies on the machine that asks; resolved inside the task."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geopulse.llm import simhash
+from geopulse.llm import bpe, secrets, simhash
 from geopulse.llm.common import table
 
 
@@ -14,5 +14,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    spelled = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(spelled, ",").alias("spans"), "n_random")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), "byte_bpe_multi_50k.tiktoken")
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op5_secrets": op5_secrets, "op7_bpe": op7_bpe}
 ORACLE_SQL: dict[str, str] = {}
