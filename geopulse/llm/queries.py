@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geopulse.llm import bpe, secrets, simhash
+from geopulse.llm import bpe, langid, packing, secrets, simhash
 from geopulse.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     spelled = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
@@ -24,5 +28,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), "byte_bpe_multi_50k.tiktoken")
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op5_secrets": op5_secrets, "op7_bpe": op7_bpe}
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash, "op3_packing": op3_packing, "op5_secrets": op5_secrets, "op7_bpe": op7_bpe, "op9_langid": op9_langid,
+}
 ORACLE_SQL: dict[str, str] = {}
