@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geopulse.llm import bpe, langid, packing, secrets, simhash
+from geopulse.llm import bpe, langid, packing, secrets, simhash, substrings
 from geopulse.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(spelled, ",").alias("spans"), "n_random")
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), "byte_bpe_multi_50k.tiktoken")
 
@@ -36,6 +41,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_simhash": op1_simhash, "op3_packing": op3_packing, "op5_secrets": op5_secrets, "op7_bpe": op7_bpe, "op9_langid": op9_langid,
+    "op1_simhash": op1_simhash, "op3_packing": op3_packing, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings,
+    "op7_bpe": op7_bpe, "op9_langid": op9_langid,
 }
 ORACLE_SQL: dict[str, str] = {}
