@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geopulse.llm import bpe, langid, packing, secrets, simhash, substrings
+from geopulse.llm import bpe, langid, lines, packing, secrets, simhash, substrings
 from geopulse.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     spelled = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
@@ -41,7 +45,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_simhash": op1_simhash, "op3_packing": op3_packing, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings,
+    "op1_simhash": op1_simhash, "op3_packing": op3_packing, "op4_lines": op4_lines, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings,
     "op7_bpe": op7_bpe, "op9_langid": op9_langid,
 }
 ORACLE_SQL: dict[str, str] = {}
