@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geopulse.llm import bpe, langid, lines, packing, secrets, simhash, substrings
+from geopulse.llm import bpe, langid, lines, neighbours, packing, secrets, simhash, substrings, winnowing
 from geopulse.llm.common import table
 
 
@@ -14,6 +14,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.against_edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), winnowing.digest(F.col("marks")).alias("fingerprint"),
+        winnowing.digest(F.col("edited_marks")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -44,8 +52,12 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
-    "op1_simhash": op1_simhash, "op3_packing": op3_packing, "op4_lines": op4_lines, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings,
-    "op7_bpe": op7_bpe, "op9_langid": op9_langid,
+    "op1_simhash": op1_simhash, "op2_winnowing": op2_winnowing, "op3_packing": op3_packing, "op4_lines": op4_lines, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings,
+    "op7_bpe": op7_bpe, "op9_langid": op9_langid, "op10_neighbours": op10_neighbours,
 }
 ORACLE_SQL: dict[str, str] = {}
