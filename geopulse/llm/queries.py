@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geopulse.llm import bpe, langid, lines, neighbours, packing, secrets, simhash, substrings, winnowing
+from geopulse.llm import bpe, langid, lines, neighbours, packing, secrets, simhash, substrings, token_counts, winnowing
 from geopulse.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), "byte_bpe_multi_50k.tiktoken")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~langid.held_out()))
@@ -58,6 +62,6 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash, "op2_winnowing": op2_winnowing, "op3_packing": op3_packing, "op4_lines": op4_lines, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings,
-    "op7_bpe": op7_bpe, "op9_langid": op9_langid, "op10_neighbours": op10_neighbours,
+    "op7_bpe": op7_bpe, "op8_token_counts": op8_token_counts, "op9_langid": op9_langid, "op10_neighbours": op10_neighbours,
 }
 ORACLE_SQL: dict[str, str] = {}
