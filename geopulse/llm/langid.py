@@ -3,10 +3,11 @@
 A text is lower-cased, what is not a letter in ASCII counts as a space, and its byte n-grams are hashed into a fixed
 number of features. Vectors are 1 + ln(count) times inverse document frequency, of length one. Every language has
 several centroids from spherical k-means; the prediction is the language of the centroid of largest cosine, ties to
-the first in order. A text is rejected where that cosine lies under a floor learned for texts of its length.
+the first in order. A text is rejected where no centroid is nearer than the background, the direction of a text that
+holds every feature equally often: noise and foreign scripts lie there at any length, prose does not.
 
-Document frequencies are counted over all learning rows. Centroids and floors are fitted on at most ``per_language``
-texts of each language, the ones of lowest hash of the id. Null text and text without a letter are ``und`` with score
+Document frequencies are counted over all learning rows. Centroids are fitted on at most ``per_language`` texts of
+each language, the ones of lowest hash of the id. Null text and text without a letter are ``und`` with score
 0 and rejected, as is everything when there was nothing to learn from. Rows with a null label or id teach nothing.
 """
 
@@ -28,10 +29,6 @@ FEATURES = 4096
 GRAMS = (1, 2, 3, 4)
 PER_LANGUAGE = 600
 CENTROIDS = 4
-#: A text is rejected under this share of the lowest cosine of learning texts as long as it.
-SLACK = 0.6
-#: Texts of fewer n-grams (about a line) are too short for their distance to tell anything.
-LEAST_GRAMS = 512
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _FOLD = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -42,7 +39,6 @@ class Model:
     languages: tuple[str, ...]  # of each centroid
     centroids: np.ndarray  # rows of length one
     idf: np.ndarray
-    floors: tuple[float, ...]  # by length class
 
 
 def count_grams(text: str, features: int = FEATURES, block: int = 1 << 22) -> np.ndarray:
@@ -66,10 +62,6 @@ def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
-def length_class(counts: np.ndarray) -> np.ndarray:
-    return np.log2(np.maximum(counts.sum(axis=1), 1)).astype(np.int64)
-
-
 def cluster(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     """Spherical k-means from a farthest-first start; rows of length one in, centroids of length one out."""
     chosen = [0]
@@ -115,29 +107,20 @@ def fit(
     chosen = rows.select("doc_id", "lang").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= per_language)
     sample = rows.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi")
 
-    def learn(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def learn(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "text"])
         counts = np.stack([count_grams(x, features) for x in frame["text"] if _LETTER.search(x)] or [np.zeros(features, np.int64)])
         x = vectors(counts, idf)
-        centres = cluster(x, centroids)
-        best, kind = (x @ centres.T).max(axis=1), length_class(counts)
-        low = [float(best[kind == c].min()) if (kind == c).any() else None for c in range(64)]
-        return pd.DataFrame({"lang": [key[0]], "centres": [centres.tobytes()], "low": [low]})
+        return pd.DataFrame({"lang": [key[0]], "centres": [cluster(x, centroids).tobytes()]})
 
-    learned = sample.groupBy("lang").applyInPandas(learn, "lang string, centres binary, low array<double>").orderBy("lang").collect()
-    languages, stacked, low = [], [], [None] * 64
+    learned = sample.groupBy("lang").applyInPandas(learn, "lang string, centres binary").orderBy("lang").collect()
+    languages, stacked = [], []
     for row in learned:
         centres = np.frombuffer(row["centres"], np.float32).reshape(-1, features)
         centres = centres[np.linalg.norm(centres, axis=1) > 0]
         languages += [row["lang"]] * len(centres)
         stacked.append(centres)
-        low = [b if a is None else a if b is None else min(a, b) for a, b in zip(low, row["low"], strict=True)]
-    floors, least = [], 0.0
-    for kind, seen in enumerate(low):  # a class that was not seen takes the floor of the shorter texts
-        if seen is not None and 2**kind >= LEAST_GRAMS:
-            least = SLACK * seen
-        floors.append(least)
-    return Model(tuple(languages), np.concatenate(stacked) if stacked else np.zeros((0, features), np.float32), idf, tuple(floors))
+    return Model(tuple(languages), np.concatenate(stacked) if stacked else np.zeros((0, features), np.float32), idf)
 
 
 def predict(model: Model, batch: list[str], block: int = 256) -> tuple[list[str], list[float], list[bool]]:
@@ -146,8 +129,10 @@ def predict(model: Model, batch: list[str], block: int = 256) -> tuple[list[str]
     for at in range(0, len(batch), block):
         part = batch[at : at + block]
         counts = np.stack([count_grams(x, len(model.idf)) for x in part])
-        near = vectors(counts, model.idf) @ model.centroids.T if len(model.languages) else np.zeros((len(part), 0))
-        for text, row, kind in zip(part, near, length_class(counts), strict=True):
+        x = vectors(counts, model.idf)
+        near = x @ model.centroids.T if len(model.languages) else np.zeros((len(part), 0))
+        background = x @ (model.idf / np.linalg.norm(model.idf))
+        for text, row, apart in zip(part, near, background, strict=True):
             if not len(row) or not _LETTER.search(text):
                 lang.append(UNKNOWN)
                 score.append(0.0)
@@ -156,7 +141,7 @@ def predict(model: Model, batch: list[str], block: int = 256) -> tuple[list[str]
             best = int(np.argmax(row))
             lang.append(model.languages[best])
             score.append(float(min(max(row[best], 0.0), 1.0)))
-            rejected.append(bool(row[best] < model.floors[kind]))
+            rejected.append(bool(row[best] <= apart))
     return lang, score, rejected
 
 
