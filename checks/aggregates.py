@@ -101,20 +101,17 @@ def _(t):
     return series.year_over_year(series.monthly_region(t.composites), calendar=True)
 
 
-@check("change_stats", "region_id change_mean:f change_stddev:f change_samples:i",
-       "select * from yoy_stats where metric_type = 'ndvi'")
+@check("change_stats", "region_id metric_type change_mean:f change_stddev:f change_samples:i", "select * from yoy_stats")
 def _(t):
-    monthly = series.monthly_region(t.composites.where("metric_type = 'ndvi'"))
-    return series.change_stats(series.year_over_year(monthly))
+    return series.change_stats(series.year_over_year(series.monthly_region(t.composites)))
 
 
-@check("join_change_stats", "region_id month_start:d value_change:f change_mean:f change_stddev:f change_samples:i",
-       """select y.region_id, y.month_start, y.value_change, s.change_mean, s.change_stddev, s.change_samples
-          from yoy y left join yoy_stats s on s.region_id = y.region_id and s.metric_type = y.metric_type
-          where y.metric_type = 'ndvi'""")
+@check("join_change_stats", "region_id metric_type month_start:d value_change:f change_mean:f change_stddev:f change_samples:i",
+       """select y.region_id, y.metric_type, y.month_start, y.value_change, s.change_mean, s.change_stddev, s.change_samples
+          from yoy y left join yoy_stats s on s.region_id = y.region_id and s.metric_type = y.metric_type""")
 def _(t):
-    changes = series.year_over_year(series.monthly_region(t.composites.where("metric_type = 'ndvi'")))
-    return changes.join(series.change_stats(changes), "region_id", "left")
+    changes = series.year_over_year(series.monthly_region(t.composites))
+    return changes.join(series.change_stats(changes), ["region_id", "metric_type"], "left")
 
 
 @check("climatology_normals", "region_id day_of_year:i clim_mean:f clim_stddev:f", "select * from normals")

@@ -84,10 +84,16 @@ def _(t):
     return serving.regions(t.fire)
 
 
-@check("drop_duplicates", "region_id product confidence satellite",
-       "select distinct region_id, product, confidence, satellite from det_raw")
+@check("drop_duplicates", "region_id acq_datetime:t latitude:f longitude:f product confidence frp:f bright_ti4:f brightness:f daynight satellite instrument ingested_at:t run_id h3_index",
+       """select distinct region_id, acq_datetime, latitude, longitude, product, confidence, frp, bright_ti4, brightness, daynight,
+          satellite, instrument, ingested_at, run_id, h3_index from det_raw""")
 def _(t):
-    return t.det_raw.select("region_id", "product", "confidence", "satellite").dropDuplicates()
+    # a fetch that delivered the second attempt again
+    rows = t.det_raw.select(
+        "region_id", "acq_datetime", "latitude", "longitude", "product", "confidence", "frp", "bright_ti4", "brightness",
+        "daynight", "satellite", "instrument", "ingested_at", "run_id", "h3_index", "attempt",
+    )
+    return dedup.union_by_name([rows, rows.where("attempt = 1")]).drop("attempt").dropDuplicates()
 
 
 ARCHIVES = """(select o_orderkey as k, o_custkey % 97 as w, o_totalprice as v, case when o_orderstatus = 'F' then 'sp' else 'nrt' end as product from orders)"""
@@ -173,6 +179,24 @@ def _(t):
     )
 
 
+# orders by customer, null for every third: the source repeats keys, and the latest order of each wins
+REPEATED = """(select case when o_custkey % 3 = 0 then null else o_custkey % 97 end as k, o_orderkey as n, o_totalprice as v from orders)"""
+
+
+def repeated(t, keep):
+    k = F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey") % 97)
+    return t.read("orders").where(keep).select(k.alias("k"), F.col("o_orderkey").alias("n"), F.col("o_totalprice").alias("v"))
+
+
+@check("upsert_repeated_and_null_keys", "k n v:f2",
+       f"""select distinct k, max(n) over (partition by k) as n, arg_max(v, n) over (partition by k) as v from {REPEATED}""")
+def _(t):
+    first = upsert.upsert(repeated(t, "false"), repeated(t, "o_orderkey % 2 = 0"), ["k"], order=["n"])
+    late = dedup.union_by_name([first, repeated(t, "o_orderkey % 2 = 1")])
+    once = upsert.upsert(first, late, ["k"], order=["n"])
+    return upsert.upsert(once, late, ["k"], order=["n"])  # again, which must change nothing
+
+
 @check("upsert_evolved", "region_id observation_date:d detection_count:i frp_max:f",
        f"""with p as {PUBLISHED}, i as {INCOMING}
           select coalesce(i.region_id, p.region_id) as region_id, coalesce(i.observation_date, p.observation_date) as observation_date,

@@ -25,7 +25,7 @@ def event_rows(t):
 def _(t):
     root = scratch(t.spark, "lake")
     for _ in range(2):  # the second landing must leave the same lake
-        path = lake.land(event_rows(t), root, "events", "observed_at", spread=2)
+        path = lake.land(event_rows(t), root, "events", "observed_at", max_records_per_file=2000)
     landed = t.spark.read.parquet(path)
     day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
     return landed.groupBy(F.col("region").alias("region_id"), day.alias("day")).agg(
@@ -39,12 +39,12 @@ def _(t):
           union all select o_orderpriority, o_orderkey, o_totalprice from orders) group by 1""")
 def _(t):
     root = scratch(t.spark, "lake")
-    lake.land(event_rows(t), root, "mixed", "observed_at", spread=1)
+    lake.land(event_rows(t), root, "mixed", "observed_at")
     archive = t.read("orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("observed_at"),
         F.col("o_orderpriority").alias("region_id"), F.col("o_totalprice").alias("value"),
     )
-    lake.land(archive, root, "mixed", "observed_at", backfill=True, spread=1)
+    lake.land(archive, root, "mixed", "observed_at", backfill=True)
     if lake.read_lake(t.spark, root, "absent") is not None:
         raise AssertionError("an absent source must read as None")
     both = lake.read_lake(t.spark, root, "mixed")
@@ -302,15 +302,18 @@ def _(t):
     return rasters.composite_mean(pixels(t), weeks(t), ["region_id"])
 
 
-@check("composite_wide", "region_id ndvi_19950331:f ndvi_20000229:f",
-       f"""select region_id, avg(value) filter (day between date '1995-03-01' and date '1995-03-31') as ndvi_19950331,
-          avg(value) filter (day between date '2000-02-01' and date '2000-02-29') as ndvi_20000229 from {PIXELS} group by 1""")
+@check("composite_wide", "region_id band mean:f",
+       f"""select region_id, 'ndvi_' || strftime(least(last_day(day), b), '%Y%m%d') as band, avg(value) as mean
+          from {PIXELS}, {SPAN} group by 1, 2""")
 def _(t):
     day = F.to_date("l_shipdate")
     span = t.read("lineitem").agg(F.min(day).alias("a"), F.max(day).alias("b"))
     months = span.select(F.explode(timefns.month_windows(F.col("a"), F.col("b"))).alias("w")).select("w.*")
     means = rasters.composite_mean(pixels(t), months, ["region_id"])
-    return rasters.composite_wide(means, ["region_id"], "ndvi", ["1995-03-31", "2000-02-29"])
+    # every window end of the data is a column, one for each month; turned back into rows to compare
+    ends = [str(r[0]) for r in months.select("window_end").orderBy("window_end").collect()]
+    wide = rasters.composite_wide(means, ["region_id"], "ndvi", ends)
+    return wide.unpivot("region_id", wide.columns[1:], "band", "mean").where("mean is not null")
 
 
 @check("grid_change", "region_id h3_index recent_mean:f baseline_mean:f mean:f",

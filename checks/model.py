@@ -47,7 +47,7 @@ def _(t):
 @check("fit_isolation_forest", "tree node feature cut:f below above size depth")
 def _(t):
     fitted = forest.fit_isolation_forest(
-        features.feature_matrix(t.feature_table), features.FEATURES, features.KEYS, trees=100
+        features.feature_matrix(t.feature_table), features.FEATURES, features.KEYS
     )
     return fitted.nodes
 
@@ -55,13 +55,13 @@ def _(t):
 @check("score", "region_id observation_date:d anomaly_score:f")
 def _(t):
     matrix = features.feature_matrix(t.feature_table)
-    fitted = forest.fit_isolation_forest(matrix, features.FEATURES, features.KEYS, trees=100)
+    fitted = forest.fit_isolation_forest(matrix, features.FEATURES, features.KEYS)
     return forest.score(matrix, fitted)
 
 
 @check("predictions", "region_id observation_date:d model_version anomaly_score:f anomaly_percentile:f is_anomaly threshold:f dataset_commit region_kind scored_at:t")
 def _(t):
-    trained = training.train(t.feature_table, trees=100)
+    trained = training.train(t.feature_table)
     return training.batch_score(t.feature_table, trained, "rev-1", F.lit("2001-10-01").cast("timestamp"))
 
 
@@ -70,7 +70,7 @@ def _(t):
           where """ + " and ".join(f"{c} is not null" for c in features.FEATURES) + " group by 1")
 def _(t):
     # the model's flags must leave the captured rule flag of every complete row untouched
-    trained = training.train(t.feature_table, trees=20)
+    trained = training.train(t.feature_table)
     rule = t.feature_table.select("region_id", "observation_date", F.coalesce("is_anomaly", F.lit(False)).alias("rule"))
     return trained.scored.join(rule, ["region_id", "observation_date"]).groupBy("region_id").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("reference_is_anomaly").alias("rule_flags"),
@@ -125,12 +125,12 @@ def _(t):
 
 
 @check("evaluate",
-       "score_min:f score_max:f score_p500:f score_p999:f score_mass_in_top_slice:f flagged_mean:f rest_mean:f ratio:f "
+       "score_min:f score_max:f score_p500:f score_p750:f score_p900:f score_p950:f score_p990:f score_p999:f score_mass_in_top_slice:f flagged_mean:f rest_mean:f ratio:f "
        "model_selected:i reference_flagged:i overlap:i precision_vs_reference:f reference_recall:f jaccard:f rederives_rule",
        f"""select *, precision_vs_reference >= 0.99 as rederives_rule
           from ({AGREE}) a, ({SEPARATE}) s, ({CONCENTRATE}) c,
-          (select min(anomaly_score) as score_min, max(anomaly_score) as score_max, quantile_cont(anomaly_score, 0.5) as score_p500,
-           quantile_cont(anomaly_score, 0.999) as score_p999 from scored) d""")
+          (select min(anomaly_score) as score_min, max(anomaly_score) as score_max,
+           {", ".join(f"quantile_cont(anomaly_score, {q}) as {n}" for n, q in ev.QUANTILES.items())} from scored) d""")
 def _(t):
     return ev.evaluate(t.scored, "anomaly_score", "rule_flag", "detection_count")
 
@@ -179,8 +179,17 @@ def _(t):
     return ev.event_pass_rate(ev.check_events(t.scored, events(t)))
 
 
-@check("dataset_revision", "length:i files:i",
-       "select 12 as length, 2 as files from orders having count(*) > 0")
+@check("dataset_revision", "length:i files:i again:i both:i",
+       "select 12 as length, 2 as files, 1 as again, 1 as both from orders having count(*) > 0")
 def _(t):
-    a, b = dataset_revision(t.read("orders")), dataset_revision(t.read("lineitem"))
-    return a.unionByName(b).agg(F.max(F.length("revision")).alias("length"), F.count_distinct("revision").alias("files"))
+    # two tables differ, a table twice does not, and the order of files within a frame does not matter
+    def named(df, name):
+        return dataset_revision(df).withColumn("of", F.lit(name))
+
+    orders, lines = t.read("orders"), t.read("lineitem")
+    keys = orders.select(F.col("o_orderkey").alias("k")), lines.select(F.col("l_orderkey").alias("k"))
+    rows = named(orders, "orders").unionByName(named(lines, "lineitem")).unionByName(named(t.read("orders"), "orders"))
+    rows = rows.unionByName(named(keys[0].unionByName(keys[1]), "both")).unionByName(named(keys[1].unionByName(keys[0]), "both"))
+    of = lambda name: F.count_distinct(F.when(F.col("of") == name, F.col("revision")))
+    single = F.count_distinct(F.when(F.col("of") != "both", F.col("revision")))
+    return rows.agg(F.max(F.length("revision")).alias("length"), single.alias("files"), of("orders").alias("again"), of("both").alias("both"))

@@ -101,7 +101,9 @@ def _(t):
 @check("sensitivity", "check hits:i passed",
        """select 'fire_spike' as "check", count(*) as hits, count(*) > 0 as passed from fire where is_anomaly and detection_count >= 5
           union all select 'ice_excursion', count(*), count(*) > 0 from ice where is_anomaly and zscore <= -1
-          union all select 'marine_heat', count(*), count(*) > 0 from cell_sst where value >= 1.5""")
+          union all select 'marine_heat', count(*), count(*) > 0 from cell_sst where value >= 1.5
+          union all select 'ndvi_crash', count(*), count(*) > 0 from yoy y join yoy_stats s on s.region_id = y.region_id
+          and s.metric_type = y.metric_type where y.metric_type = 'ndvi' and y.value_change < s.change_mean""")
 def _(t):
     from geopulse.operators.dedup import union_by_name
     from geopulse.plans import marts
@@ -112,6 +114,7 @@ def _(t):
             planted_hits("fire_spike", t.fire, F.col("is_anomaly") & (F.col("detection_count") >= 5)),
             planted_hits("ice_excursion", t.ice, F.col("is_anomaly") & (F.col("zscore") <= -1)),
             planted_hits("marine_heat", marts.cell_sst(t.gridded), F.col("value") >= 1.5),
+            planted_hits("ndvi_crash", marts.deforestation_index(t.composites), F.col("ndvi_change") < F.col("change_mean")),
         ]
     )
 

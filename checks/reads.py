@@ -12,10 +12,9 @@ CURRENT = "(select model_version from predictions group by 1 order by max(scored
 
 @check("anomalies", "region_id observation_date:d detection_count:i zscore:f severity is_anomaly anomaly_percentile:f",
        f"""select f.*, p.anomaly_percentile from fire f left join predictions p on p.region_id = f.region_id
-          and p.observation_date = f.observation_date and p.model_version = {CURRENT}
-          where f.observation_date >= date '{ASOF}' - 400""")
+          and p.observation_date = f.observation_date and p.model_version = {CURRENT}""")
 def _(t):
-    return serving.anomalies(t.fire, t.predictions, ASOF, days="not a number")
+    return serving.anomalies(t.fire, t.predictions, ASOF)
 
 
 @check("anomalies_flagged", "region_id observation_date:d zscore:f anomaly_percentile:f",
@@ -27,11 +26,17 @@ def _(t):
 
 
 @check("ice_trends", "region_id period_start:d value:f baseline_mean:f baseline_source zscore:f severity is_anomaly",
-       f"select * from ice where period_start >= date '{ASOF}' - 400")
+       "select * from ice")
 def _(t):
     return serving.ice_trends(t.ice, ASOF)
 
 
+@check("ice_trends_recent", "region_id period_start:d value:f baseline_mean:f baseline_source zscore:f severity is_anomaly",
+       f"select * from ice where period_start >= date '{ASOF}' - 400")
+def _(t):
+    return serving.ice_trends(t.ice, ASOF, days=400)
+
+
 @check("seasonal_profile", "region_id month:i mean_detections:f flagged_days:i",
        """select region_id, month(observation_date) as month, avg(detection_count) as mean_detections,
           count(*) filter (is_anomaly) as flagged_days from fire group by 1, 2""")

@@ -113,7 +113,7 @@ def _(t):
 
 
 @check("densest_cells", "h3_index region_id period_start:d value:f",
-       "select * from cells order by value desc, h3_index, period_start, region_id limit 6000")
+       "select * from cells order by value desc, h3_index, period_start, region_id")
 def _(t):
     return serving.densest_cells(t.cells)
 

@@ -120,10 +120,14 @@ def _lattice(west: Column, south: Column, east: Column, north: Column, edge: flo
     return rows, columns
 
 
-def bbox_rows(west: Column, south: Column, east: Column, north: Column, resolution: int, max_cells: int) -> Column:
-    """Grid rows whose centres fall inside a bbox; an oversized bbox is an error."""
+def bbox_rows(
+    west: Column, south: Column, east: Column, north: Column, resolution: int, max_cells: int | None = None
+) -> Column:
+    """Grid rows whose centres fall inside a bbox; one over ``max_cells`` is an error."""
     (low, high), columns = _lattice(west, south, east, north, EDGE_DEGREES[_check_resolution(resolution)])
     rows = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+    if max_cells is None:
+        return rows
     total = F.aggregate(
         rows, F.lit(0).cast("long"),
         lambda acc, r: acc + F.greatest(columns(r)[1] - columns(r)[0] + 1, F.lit(0)),

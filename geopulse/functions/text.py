@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ CREDENTIAL_SHAPES = (
         "$1$2" + REDACTED,
     ),
 )
+# Where a path carries a key, and what the name of a sensitive key holds.
 KEY_IN_PATH = r"(?i)(/api/(?:area|data)/[a-z_]*/?)([A-Za-z0-9]{20,})(/)"
 SENSITIVE_KEY_PARTS = ("secret", "token", "password", "map_key", "webhook")
 
@@ -58,30 +61,46 @@ def pick_property(properties: Column, *names: str) -> Column:
     return F.coalesce(*exact, F.try_element_at(F.map_values(matching), F.lit(1)))
 
 
+def _rules(secrets: Iterable[str], first: Sequence[tuple[str, str]] = ()) -> list[tuple[str, str]]:
+    """All rewrites of a text in order: the caller's own secrets as one alternation, longest first, then shapes."""
+    literals = sorted(set(secrets), key=lambda value: (-len(value), value))
+    if any(not value for value in literals):
+        raise ValueError("an empty secret would match everywhere")
+    quoted = "|".join(re.sub(r"([^A-Za-z0-9_\s])", r"\\\1", value) for value in literals)
+    return [*((f"(?:{quoted})", REDACTED) for _ in range(bool(quoted))), *first, *CREDENTIAL_SHAPES]
+
+
+def _rewrite(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
+    return reduce(lambda column, rule: F.regexp_replace(column, *rule), rules, text)
+
+
 def redact(text: Column, secrets: Iterable[str] = ()) -> Column:
-    """Replace known secrets and credential shapes anywhere in a text column."""
-    for secret in sorted({value for value in secrets if len(value) >= 8}, key=len, reverse=True):
-        text = F.replace(text, F.lit(secret), F.lit(REDACTED))
-    for pattern, replacement in CREDENTIAL_SHAPES:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+    """Replace known secrets, however short, and credential shapes anywhere in a text column."""
+    return _rewrite(text, _rules(secrets))
 
 
 def redact_url(url: Column, secrets: Iterable[str] = ()) -> Column:
     """As :func:`redact`, and also a key that sits in the path."""
-    return redact(F.regexp_replace(url, KEY_IN_PATH, "$1" + REDACTED + "$3"), secrets)
+    return _rewrite(url, _rules(secrets, [(KEY_IN_PATH, "$1" + REDACTED + "$3")]))
 
 
 def redact_map(payload: Column, sensitive: Iterable[str] = (), secrets: Iterable[str] = ()) -> Column:
-    """Sensitive keys report only ``set``/``missing``; other values are redacted as text."""
-    exact = [name.lower() for name in sensitive]
+    """Sensitive keys report only ``set``/``missing``; other values are redacted as text.
+
+    A value that is itself JSON is searched for such keys at any depth; objects and lists under one count as set.
+    """
+    names = "|".join(re.escape(name.lower()) for name in sensitive)
+    parts = "|".join(SENSITIVE_KEY_PARTS)
+    hit = f"^(?:{names})$|{parts}" if names else parts
+    inner = rf"\"(?:[^\"]*(?:{parts})[^\"]*{'|' + names if names else ''})\"\s*:\s*"
+    scalar = r'"(?:[^"\\]|\\.)+"|-?[0-9][0-9.eE+-]*|true|false|\{[^{}]*\}|\[[^\[\]]*\]'
+    nested = [(rf'(?i)({inner})(?:""|null)', '$1"missing"'), (rf'(?i)({inner})(?:(?!"missing"){scalar})', '$1"set"')]
+    rules = _rules(secrets)
 
     def clean(key: Column, value: Column) -> Column:
-        lowered = F.lower(key)
-        hit = F.lit(False) if not exact else lowered.isin(*exact)
-        hit = hit | lowered.rlike("|".join(SENSITIVE_KEY_PARTS))
         state = F.when(F.coalesce(value, F.lit("")) != "", "set").otherwise("missing")
-        return F.when(hit, state).otherwise(redact(value, secrets))
+        opened = F.when(value.rlike(r"^\s*[\[{]"), _rewrite(value, nested)).otherwise(value)
+        return F.when(F.lower(key).rlike(hit), state).otherwise(_rewrite(opened, rules))
 
     return F.transform_values(payload, clean)
 

@@ -7,7 +7,6 @@ bounds everything that is grouped, collected or shipped to the executors.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -46,31 +45,23 @@ def tree_samples(
     df: DataFrame, features: Sequence[str], keys: Sequence[str], rows: int,
     trees: int = TREES, sample_size: int = SAMPLE_SIZE, seed: int = SEED,
 ) -> DataFrame:
-    """Rows of each tree's sub-sample, chosen by hash of the row key so it does not depend on layout.
+    """Exactly ``min(sample_size, rows)`` rows of each tree, chosen by hash of the row key, whatever the layout.
 
-    Each row draws a few (tree, priority) slots; only slots below a cutoff are kept, so about
-    ``2 * trees * sample_size`` rows leave the scan whatever the table size.
+    Every row has one priority in every tree and the lowest win. A cutoff that leaves about four times the sample
+    (never fewer than wanted, but for a chance below 1e-100) keeps the rest of a large table from leaving the scan.
     """
-    wanted = 2.0 * trees * sample_size
-    slots = max(1, math.ceil(wanted / max(rows, 1)))
-    keep = min(1.0, wanted / (max(rows, 1) * slots))
-    row_key = F.xxhash64(*keys)
-    span = 1 << 31
-
-    def draw(slot: Column) -> Column:
-        return F.struct(
-            F.pmod(F.xxhash64(row_key, slot, F.lit(seed), F.lit("tree")), F.lit(trees)).cast("int").alias("tree"),
-            F.pmod(F.xxhash64(row_key, slot, F.lit(seed), F.lit("order")), F.lit(span)).alias("priority"),
-        )
-
-    slot_ids = F.sequence(F.lit(0), F.lit(slots - 1))
-    drawn = F.filter(F.transform(slot_ids, draw), lambda s: s["priority"] < F.lit(int(keep * span)))
-    candidates = (
-        df.select(row_key.alias("_row"), *[F.col(c).cast("double").alias(c) for c in features], F.explode(drawn).alias("s"))
-        .select("_row", F.col("s.tree").alias("tree"), F.col("s.priority").alias("priority"), *features)
-        .dropDuplicates(["tree", "_row"])
-    )
-    order = Window.partitionBy("tree").orderBy("priority", "_row")
+    row_key, span = F.xxhash64(*keys), 1 << 31
+    keep = min(1.0, 4.0 * sample_size / max(rows, 1))
+
+    def draw(tree: Column) -> Column:
+        return F.struct(tree.cast("int").alias("tree"), F.pmod(F.xxhash64(row_key, tree, F.lit(seed)), F.lit(span)).alias("priority"))
+
+    ids = F.sequence(F.lit(0), F.lit(trees - 1))
+    drawn = F.filter(F.transform(ids, draw), lambda s: s["priority"] <= F.lit(int(keep * span)))
+    candidates = df.select(
+        row_key.alias("_row"), *[F.col(c).cast("double").alias(c) for c in features], F.explode(drawn).alias("s")
+    ).select("_row", F.col("s.tree").alias("tree"), F.col("s.priority").alias("priority"), *features)
+    order = Window.partitionBy("tree").orderBy("priority", "_row", *features)
     return (
         candidates.withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= sample_size)
@@ -93,6 +84,8 @@ def fit_isolation_forest(
     size = min(sample_size, rows)
 
     def build_tree(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) != size:
+            raise ValueError(f"a tree has {len(pdf)} rows instead of {size}")
         pdf = pdf.sort_values("_rank")
         x = pdf[names].to_numpy(dtype=float)
         rng = np.random.default_rng([seed, int(pdf["tree"].iloc[0])])

@@ -91,8 +91,8 @@ def invalid_coordinates(df: DataFrame, lat: str = "latitude", lon: str = "longit
     )
 
 
-def cells_for_bbox(boxes: DataFrame, resolution: int, max_cells: int = 500_000) -> DataFrame:
-    """Dense grid spine: every cell whose centre lies in each row's bbox."""
+def cells_for_bbox(boxes: DataFrame, resolution: int, max_cells: int | None = None) -> DataFrame:
+    """Dense grid spine: every cell whose centre lies in each row's bbox; a caller's ``max_cells`` makes a larger one an error."""
     w, s, e, n = (F.col(name) for name in ("west", "south", "east", "north"))
     rows = boxes.withColumn("_r", F.explode(hexgrid.bbox_rows(w, s, e, n, resolution, max_cells)))
     cells = rows.withColumn("_q", F.explode(hexgrid.bbox_columns(w, e, F.col("_r"), resolution)))

@@ -250,10 +250,10 @@ def year_over_year(monthly: DataFrame, calendar: bool = False) -> DataFrame:
 
 
 def change_stats(series: DataFrame, change: str = "value_change") -> DataFrame:
-    """Mean, spread and number of the known changes of each region."""
+    """Mean, spread and number of the known changes of each region and metric."""
     return (
         series.where(F.col(change).isNotNull())
-        .groupBy("region_id")
+        .groupBy("region_id", "metric_type")
         .agg(
             F.avg(change).alias("change_mean"),
             F.stddev_samp(change).alias("change_stddev"),

@@ -63,7 +63,7 @@ def deforestation_index(composites: DataFrame, limits: Thresholds = DEFAULTS) ->
     """Monthly vegetation index with its year-over-year change scored on the lower tail."""
     monthly = series.year_over_year(series.monthly_region(composites.where("metric_type = 'ndvi'")))
     z = scoring.zscore(F.col("value_change"), F.col("change_mean"), F.col("change_stddev"), limits.ndvi_floor)
-    scored = monthly.join(series.change_stats(monthly), "region_id", "left").withColumn("change_zscore", z)
+    scored = monthly.join(series.change_stats(monthly), ["region_id", "metric_type"], "left").withColumn("change_zscore", z)
     return scored.select(
         "region_id", "month_start", F.col("value_mean").alias("ndvi_mean"), F.col("value_stddev").alias("ndvi_stddev"),
         F.col("value_min").alias("ndvi_min"), F.col("value_max").alias("ndvi_max"),
@@ -100,7 +100,7 @@ def glacier_backscatter(composites: DataFrame, limits: Thresholds = DEFAULTS) ->
         F.col("value_change"), F.col("change_mean"), F.col("change_stddev"), limits.ice_floor,
         F.col("change_samples") >= limits.min_samples,
     )
-    scored = monthly.join(series.change_stats(monthly), "region_id", "left").withColumn("zscore", z)
+    scored = monthly.join(series.change_stats(monthly), ["region_id", "metric_type"], "left").withColumn("zscore", z)
     return scored.select(
         "region_id", F.col("month_start").alias("period_start"), "metric_type",
         F.lit("series_yoy").alias("baseline_source"), F.col("value_mean").alias("value"),

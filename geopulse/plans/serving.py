@@ -12,11 +12,7 @@ from pyspark.sql import functions as F
 from geopulse.functions import hexgrid, scoring, timefns
 from geopulse.operators import ranking
 
-# Default look-back, page and map limits, legend quantiles.
-LOOK_BACK_DAYS = 400
-PAGE_LIMIT = 500
-MAP_LIMIT = 6000
-MAP_LIMIT_MAX = 20000
+# Legend quantiles.
 LEGEND = {"p50": 0.50, "p75": 0.75, "p90": 0.90, "p98": 0.98}
 LEGEND_FALLBACK = {"p50": 1.0, "p75": 2.0, "p90": 3.0, "p98": 4.0}
 
@@ -29,14 +25,18 @@ def _count(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("long")
 
 
-def look_back(days: object, fallback: int = LOOK_BACK_DAYS) -> int:
-    """A usable look-back: anything that is not a finite number reads as the default."""
-    numeric = isinstance(days, (int, float)) and not isinstance(days, bool) and math.isfinite(days)
-    return abs(int(days)) if numeric else fallback
+def look_back(days: float | None) -> int | None:
+    """Whole days to look back; ``None`` means all, anything that is not a finite number is an error."""
+    if days is None:
+        return None
+    if isinstance(days, bool) or not isinstance(days, (int, float)) or not math.isfinite(days):
+        raise ValueError(f"a look-back is a number of days, got {days!r}")
+    return abs(int(days))
 
 
-def since(df: DataFrame, day: str, days: object, asof: Column | date | str) -> DataFrame:
-    return df.where(F.col(day) >= F.date_sub(_lit(asof), look_back(days)))
+def since(df: DataFrame, day: str, days: float | None, asof: Column | date | str) -> DataFrame:
+    back = look_back(days)
+    return df if back is None else df.where(F.col(day) >= F.date_sub(_lit(asof), back))
 
 
 # -- model pinning ----------------------------------------------------------
@@ -65,7 +65,7 @@ def with_percentile(fire: DataFrame, predictions: DataFrame, how: str = "left")
 
 
 def anomalies(
-    fire: DataFrame, predictions: DataFrame, asof: Column | date | str, *, days: object = None,
+    fire: DataFrame, predictions: DataFrame, asof: Column | date | str, *, days: float | None = None,
     region: str | None = None, only_anomalies: bool = False,
 ) -> DataFrame:
     rows = since(fire, "observation_date", days, asof)
@@ -78,7 +78,7 @@ def anomalies(
     )
 
 
-def ice_trends(ice: DataFrame, asof: Column | date | str, days: object = None) -> DataFrame:
+def ice_trends(ice: DataFrame, asof: Column | date | str, days: float | None = None) -> DataFrame:
     return since(ice, "period_start", days, asof).select(
         "region_id", "period_start", "value", "baseline_mean", "baseline_source", "zscore", "severity", "is_anomaly"
     )
@@ -199,19 +199,15 @@ def window_filter(
     return rows
 
 
-def clamp_limit(limit: int, ceiling: int = MAP_LIMIT_MAX) -> int:
-    return min(max(limit, 1), ceiling)
+def densest_cells(cells: DataFrame, limit: int | None = None) -> DataFrame:
+    """Cells to draw, densest first, all of them unless the caller names a limit.
 
-
-def densest_cells(cells: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:
-    """The page a map draws; totals and legend come from the whole window, not from this page."""
-    return (
-        cells.select(
-            "h3_index", "region_id", "latitude", "longitude", "period_start", "metric_type", "spatial_scope", "value"
-        )
-        .orderBy(F.desc("value"), "h3_index", "period_start", "region_id")
-        .limit(clamp_limit(limit))
-    )
+    Totals and legend come from the whole window, not from this page.
+    """
+    ordered = cells.select(
+        "h3_index", "region_id", "latitude", "longitude", "period_start", "metric_type", "spatial_scope", "value"
+    ).orderBy(F.desc("value"), "h3_index", "period_start", "region_id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def cell_activity(cells: DataFrame) -> DataFrame:
@@ -222,7 +218,7 @@ def busiest_period(activity: DataFrame) -> DataFrame:
     return activity.orderBy(F.desc("cells"), "period_start").limit(1)
 
 
-def map_summary(cells: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:
+def map_summary(cells: DataFrame, limit: int | None = None) -> DataFrame:
     """Legend breaks, domain, totals and whether the page is cut, as one row."""
     stats = ranking.nearest_rank_quantiles(cells, "value", LEGEND)
     return stats.select(
@@ -230,7 +226,7 @@ def map_summary(cells: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:
         F.coalesce("min_value", F.lit(0.0)).alias("domain_min"),
         F.coalesce("max_value", F.lit(0.0)).alias("domain_max"),
         F.col("n").alias("total_cells"),
-        (F.col("n") > clamp_limit(limit)).alias("truncated"),
+        (F.lit(False) if limit is None else F.col("n") > limit).alias("truncated"),
     )
 
 
@@ -240,7 +236,7 @@ def coverage(layer: DataFrame) -> DataFrame:
 
 def map_window(
     layer: DataFrame, start: Column | date | str, end: Column | date | str, *, grain: str = "day",
-    region: str | None = None, fire: DataFrame | None = None, limit: int = MAP_LIMIT,
+    region: str | None = None, fire: DataFrame | None = None, limit: int | None = None,
 ) -> dict[str, DataFrame]:
     """The four answers of one map request; they share one filtered window."""
     cells = window_filter(layer, start, end, grain=grain, region=region, fire=fire)
@@ -299,17 +295,19 @@ def table_status(spark, tables: Mapping[str, tuple[DataFrame | None, str | None]
 
 
 def page(
-    df: DataFrame, order: Sequence[Column], *, limit: int = 50, offset: int = 0, region: str | None = None,
-    day: str | None = None, days: object = None, asof: Column | date | str | None = None,
+    df: DataFrame, order: Sequence[Column], *, limit: int | None = None, offset: int = 0, region: str | None = None,
+    day: str | None = None, days: float | None = None, asof: Column | date | str | None = None,
 ) -> DataFrame:
-    """One page of a table, newest first, with the filtered total on every row."""
+    """One page of a table in the given order, with the filtered total on every row; no limit means all rows."""
     rows = df
     if region:
         rows = rows.where(F.col("region_id") == region)
-    if day and days and asof is not None:
+    if day and days is not None and asof is not None:
         rows = since(rows, day, days, asof)
     total = rows.agg(F.count(F.lit(1)).alias("n"))
-    cut = rows.orderBy(*order).offset(max(offset, 0)).limit(clamp_limit(limit, PAGE_LIMIT))
+    cut = rows.orderBy(*order)
+    cut = cut.offset(offset) if offset > 0 else cut
+    cut = cut if limit is None else cut.limit(limit)
     return cut.withColumn("total", total.scalar())
 
 

@@ -54,7 +54,7 @@ def type_gridded(raw: DataFrame) -> DataFrame:
         "h3_index", "region_id", "metric_type", "product",
         F.coalesce("spatial_scope", F.lit("gridded")).alias("spatial_scope"),
         _number("value"), "unit", _number("baseline_stddev"),
-        F.col("day_of_year").cast("double").cast("int").alias("day_of_year"),
+        F.col("day_of_year").cast("string").try_cast("double").cast("int").alias("day_of_year"),
         _stamp(raw, "ingested_at"), "run_id",
     )
     return typed.where(F.col("observed_at").isNotNull())

@@ -22,10 +22,12 @@ class Training:
 
 def train(
     features: DataFrame, *, trees: int = fr.TREES, contamination: float = fr.CONTAMINATION, seed: int = fr.SEED,
-    columns: tuple[str, ...] = ft.FEATURES,
+    columns: tuple[str, ...] = ft.FEATURES, sample_size: int = fr.SAMPLE_SIZE,
 ) -> Training:
     """Fit on complete rows, score them, and compare with the rule's own flag.
 
+    ``sample_size`` bounds the rows that fit one tree; all rows are scored.
+
     The rule's flag is captured under its own name before the model flags anything.
     """
     if "is_anomaly" not in features.columns:
@@ -36,7 +38,7 @@ def train(
     )
     complete = materialise(complete, "features")
     forest = fr.fit_isolation_forest(
-        complete, columns, ft.KEYS, trees=trees, contamination=contamination, seed=seed
+        complete, columns, ft.KEYS, trees=trees, contamination=contamination, seed=seed, sample_size=sample_size
     )
     forest = replace(forest, nodes=materialise(forest.nodes, "forest"))
     scored = materialise(fr.score(complete, forest), "scores")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geopulse.operators.upsert import upsert
@@ -18,6 +20,11 @@ def layout_paths(root: str, source: str) -> tuple[str, str]:
     return f"{root}/{source}", f"{root}/backfill/{source}"
 
 
+def reject_path(root: str, source: str) -> str:
+    """Where rows without an observation time are kept."""
+    return f"{root}/rejected/{source}"
+
+
 def read_lake(spark: SparkSession, root: str, source: str) -> DataFrame | None:
     """All rows of a source under whichever layouts exist, columns united by name.
 
@@ -48,23 +55,30 @@ def _period_columns(df: DataFrame, time_col: str, backfill: bool) -> tuple[DataF
 
 def land(
     df: DataFrame, root: str, source: str, time_col: str, *, backfill: bool = False,
-    max_records_per_file: int = 5_000_000, spread: int = 8,
+    max_records_per_file: int = 5_000_000,
 ) -> str:
     """Write rows under their observation day (live) or month (archive), replacing those periods only.
 
-    Running it twice leaves the same lake. Rows are spread over a few writers per period by a hash,
-    so a period that holds most of the rows is not written by one task. An empty frame is refused.
+    Running it twice leaves the same lake. A period is spread by a hash over as many writers as its rows fill
+    files, so one that holds most of the rows is not written by one task. Rows without an observation time go
+    to the source's reject folder, named by their content. An empty frame is refused.
     """
     if df.where(F.col(time_col).isNotNull()).isEmpty():
         raise ValueError(f"refusing to land an empty {source} frame")
     live, archive = layout_paths(root, source)
     path = archive if backfill else live
+    line = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+    undated = df.where(F.col(time_col).isNull())
+    rows, mark = undated.agg(F.count(F.lit(1)), F.bit_xor(line)).first()
+    if rows:
+        undated.write.mode("overwrite").option("compression", "zstd").parquet(f"{reject_path(root, source)}/batch={rows}-{mark & (1 << 64) - 1:x}")
     keyed, keys = _period_columns(df.where(F.col(time_col).isNotNull()), time_col, backfill)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(spread))
+    writers = keyed.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_records_per_file)).alias("_writers"))
     (
-        keyed.withColumn("_salt", salt)
+        keyed.join(writers, keys)
+        .withColumn("_salt", F.pmod(line, F.col("_writers")))
         .repartition(*keys, "_salt")
-        .drop("_salt")
+        .select(*df.columns, *[key for key in keys if key not in df.columns])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
@@ -75,9 +89,9 @@ def land(
     return path
 
 
-def merge_period(existing: DataFrame, incoming: DataFrame, keys: list[str | Column]) -> DataFrame:
+def merge_period(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Re-landing a period: incoming rows replace those with the same key, the others stay."""
-    return upsert(existing, incoming, keys)
+    return upsert(existing, incoming, keys, repeats=True)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -87,15 +101,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
 
 
 def dataset_revision(df: DataFrame) -> DataFrame:
-    """Hash over the input files behind a frame (name, size, modification time), as one row."""
-    files = df.select(
-        F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_size").alias("s"),
-        F.col("_metadata.file_modification_time").cast("string").alias("m"),
-    ).distinct()
-    line = F.xxhash64("f", "s", "m")
-    # one number per file, combined without regard to order
-    return files.agg(
-        F.substring(
-            F.sha2(F.concat_ws("|", F.count(F.lit(1)).cast("string"), F.bit_xor(line).cast("string")), 256), 1, 12
-        ).alias("revision")
-    )
+    """Hash over the input files behind a frame (name, size, modification time), as one row.
+
+    The files are listed through the file system; no row is read.
+    """
+    spark, lines = df.sparkSession, []
+    for name in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        lines.append(f"{path.getName()}|{status.getLen()}|{status.getModificationTime()}")
+    return spark.createDataFrame([(hashlib.sha256("\n".join(sorted(lines)).encode()).hexdigest()[:12],)], "revision string")

@@ -217,8 +217,11 @@ def test_documented_events(spark):
     assert len(KNOWN_EVENTS) == 6 and sum(not e[4] for e in KNOWN_EVENTS) == 1
 
 
-def test_look_back_falls_back():
-    assert serving.look_back({"days": 3}) == 400 and serving.look_back(float("nan")) == 400 and serving.look_back(-30.9) == 30
+def test_look_back_is_all_or_a_number_of_days():
+    assert serving.look_back(None) is None and serving.look_back(-30.9) == 30
+    for bad in ({"days": 3}, float("nan"), "400", True):
+        with pytest.raises(ValueError):
+            serving.look_back(bad)
 
 
 def test_registries_agree(spark):
@@ -333,3 +336,69 @@ def test_acceptance_catches_a_detector_that_flags_everything(spark):
     fire = spark.createDataFrame(rows, "region_id string, observation_date date, detection_count bigint, zscore double, is_anomaly boolean")
     got = {r["check"]: r.passed for r in acceptance.acceptance({"fire_anomalies": fire}).collect()}
     assert got["fire_spike_detected"] and not got["fire_flag_rate_is_selective"] and not got["marts_are_populated"]
+
+
+# -- nothing is dropped ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("rows", [1, 2, 100, 256, 300])
+def test_every_tree_samples_what_it_should(spark, planted, rows):
+    small = planted.where(F.col("k") < rows)
+    fitted = forest.fit_isolation_forest(small, ["a", "b", "c"], ["k"], trees=60)
+    nodes = fitted.nodes.collect()
+    roots = [n["size"] for n in nodes if n["node"] == 0]
+    assert roots == [min(256, rows)] * 60
+    leaves = {}
+    for n in nodes:
+        if n["feature"] < 0:
+            leaves[n["tree"]] = leaves.get(n["tree"], 0) + n["size"]
+    assert set(leaves.values()) == {min(256, rows)} and max(n["depth"] for n in nodes) <= 8
+    assert forest.score(small, fitted).count() == rows
+
+
+def test_rows_without_a_time_are_kept_aside(spark):
+    root = scratch(spark, "undated")
+    df = spark.createDataFrame([("2020-01-01", "a", 1.0), (None, "a", 2.0), (None, None, 3.0)], "at string, region_id string, v double")
+    df = df.withColumn("at", F.col("at").cast("timestamp"))
+    for _ in range(2):
+        lake.land(df, root, "s", "at")
+    assert spark.read.parquet(lake.reject_path(root, "s")).count() == 2 and lake.read_lake(spark, root, "s").count() == 1
+
+
+def test_upsert_refuses_repeats_and_takes_null_keys_as_equal(spark):
+    from geopulse.operators.upsert import upsert
+
+    old = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    new = spark.createDataFrame([(None, "c"), (2, "d")], "k int, v string")
+    once = upsert(old, new, ["k"])
+    assert sorted(map(str, once.collect())) == sorted(map(str, upsert(once, new, ["k"]).collect()))
+    assert once.count() == 3 and once.where("v = 'b'").isEmpty()
+    fails(upsert(old, new.union(new), ["k"]), "repeats a key")
+    assert upsert(old, new.union(new), ["k"], repeats=True).count() == 5
+
+
+def test_upsert_needs_no_join(spark):
+    from geopulse.operators.upsert import upsert
+
+    old = spark.createDataFrame([(1, "a", 0.5)], "k int, v string, score double")
+    new = spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string")
+    out = upsert(old, new, ["k"], ["score"])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+    assert {tuple(r) for r in out.select("k", "v", "score").collect()} == {(1, "b", 0.5), (2, "c", None)}
+
+
+def test_redaction_reaches_short_secrets_and_inner_json(spark):
+    row = {"note": "pin 4711.", "inner": '{"a": {"my_token": "abc", "n": 1}, "password": "", "list": [{"secret": 5}]}', "map_key": ""}
+    df = spark.createDataFrame([(row,)], "m map<string,string>")
+    got = one(df.select(text.redact_map(F.col("m"), secrets=["4711."]).alias("m"))).m
+    assert got["note"] == f"pin {text.REDACTED}" and got["map_key"] == "missing"
+    assert got["inner"] == '{"a": {"my_token": "set", "n": 1}, "password": "missing", "list": [{"secret": "set"}]}'
+    with pytest.raises(ValueError):
+        text.redact(F.col("m"), [""])
+
+
+def test_metrics_do_not_mix_in_change_statistics(spark):
+    rows = [("r", m, float(v)) for m, v in (("ndvi", 1), ("ndvi", 3), ("sar", 10), ("sar", 30))]
+    df = spark.createDataFrame(rows, "region_id string, metric_type string, value_change double")
+    assert {(r.metric_type, r.change_mean) for r in series.change_stats(df).collect()} == {("ndvi", 2.0), ("sar", 20.0)}
