@@ -353,7 +353,7 @@ def links(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_col: st
                 lines = list({line for _, text in part for line in text.split("\n") if len(line) >= least})
                 yield pa.RecordBatch.from_arrays([pa.array([_identity(x)[0] for x in lines], pa.int64()), pa.array(lines, pa.string())], ["id", "line"])
 
-    text = _rows(docs, id_col, text_col).mapInArrow(spelled, "id long, line string").join(wanted, "id", "left_semi")
+    text = _rows(docs, id_col, text_col).mapInArrow(spelled, "id long, line string").join(wanted.hint("merge"), "id", "left_semi")
     text = materialise(text.groupBy("id").agg(F.min("line").alias("line")), "lines")
 
     def verify(batches):
@@ -389,7 +389,7 @@ def deduplicate(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_c
     found = classes(docs, edits=edits, least=least, id_col=id_col, text_col=text_col)
     late = found.where(F.col("chars") >= least).where("doc_id <> class_doc_id or line_no <> class_line_no")
     gone = late.groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
-    named = gone.withColumnRenamed("doc_id", "__id")
+    named = gone.withColumnRenamed("doc_id", "__id").hint("merge")
     joined = docs.join(named, docs[id_col].cast("long") == F.col("__id"), "left").drop("__id")
     place, names, schema = docs.columns.index(text_col), docs.columns, docs.schema
 
