@@ -53,6 +53,25 @@ def _(t):
     )
 
 
+@check("refresh_months", "region_id observation_date:d rows:i total:f2",
+       """select o_orderpriority as region_id, o_orderdate as observation_date, count(*) as rows,
+          sum(case when o_orderdate between date '1995-03-01' and date '1995-03-31' then 2 else 1 end * o_totalprice) as total
+          from orders group by 1, 2""")
+def _(t):
+    # a staged table is built once, one month of the lake lands again with other values, and only that month is staged anew
+    root, path = scratch(t.spark, "lake"), scratch(t.spark, "staged")
+    rows = t.read("orders").select(
+        F.col("o_orderpriority").alias("region_id"), F.col("o_orderdate").cast("timestamp").alias("observed_at"), F.col("o_totalprice").alias("value"),
+    )
+    stage = lambda raw: raw.withColumn("observation_date", F.to_date("observed_at"))
+    lake.land(rows, root, "orders", "observed_at", backfill=True)
+    lake.refresh(t.spark, root, "orders", path, stage, "observation_date")
+    again = rows.where("date_format(observed_at, 'yyyy-MM') = '1995-03'").withColumn("value", F.col("value") * 2)
+    lake.land(again, root, "orders", "observed_at", backfill=True)
+    staged = lake.refresh(t.spark, root, "orders", path, stage, "observation_date", months=["1995-03"])
+    return staged.groupBy("region_id", "observation_date").agg(F.count(F.lit(1)).alias("rows"), F.sum("value").alias("total"))
+
+
 @check("write_table", "region_id observation_date:d detection_count:i zscore:f", "select * from fire")
 def _(t):
     return lake.write_table(t.fire, scratch(t.spark, "table"))
@@ -84,7 +103,7 @@ def _(t):
     )
     publish.publish_table(t.spark, filled, f"{root}/fire_anomalies", ["region_id", "observation_date"], protected=())
     publish.publish_table(t.spark, t.fire, f"{root}/fire_anomalies", ["region_id", "observation_date"])
-    return t.spark.read.parquet(f"{root}/fire_anomalies").groupBy("region_id").agg(
+    return publish.published(t.spark, f"{root}/fire_anomalies").groupBy("region_id").agg(
         F.count(F.lit(1)).alias("rows"), F.count("anomaly_score").alias("scored"), F.count_if("is_anomaly").alias("flagged")
     )
 

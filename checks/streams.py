@@ -18,13 +18,23 @@ def files(t, df, name: str, parts: int = 4):
 
 
 def events(t):
-    schema = t.read("events").schema
-    stream = pipelines.read_files(t.spark, t.sf_dir, schema, pattern="events.parquet")
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    """The events in four micro-batches by time of arrival; every ninth event arrives two days late."""
+    rows = t.read("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.when(F.col("event_id") % 9 == 0, 2).otherwise(0)
+    rows = rows.withColumn("_at", F.unix_seconds("ts") + late * F.lit(86_400))
+    low, high = rows.agg(F.min("_at"), F.max("_at")).first()
+    path = scratch(t.spark, "arrivals")
+    for part in range(4):  # a file source replays files in the order they were written
+        batch = rows.where(F.least(F.floor((F.col("_at") - low) * 4 / max(high - low, 1)), F.lit(3)) == part)
+        batch.drop("_at").coalesce(1).write.mode("append").parquet(path)
+    return pipelines.read_files(t.spark, path, rows.drop("_at").schema, max_files=1)
 
 
 def drain(query) -> None:
     query.awaitTermination()
+    batches = [p for p in query.recentProgress if p["numInputRows"]]
+    if len(batches) < 2:
+        raise AssertionError("the stream ran in one micro-batch")
 
 
 @check("land_stream", "event_type day:d rows:i total:f",
@@ -54,7 +64,7 @@ def _(t):
 
 @check("stream_first_wins", "event_type users:i", "select event_type, count(distinct user_id) as users from events group by 1")
 def _(t):
-    sink = pipelines.VersionedSink(t.spark, scratch(t.spark, "first"))
+    sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "first"), F.pmod("user_id", F.lit(16)))
     firsts = pipelines.first_wins(events(t), ["event_type", "user_id"], "ts", "60 days")
     drain(pipelines.upsert_stream(firsts, sink, scratch(t.spark, "cp"), ["event_type", "user_id"]))
     return sink.latest().groupBy("event_type").agg(F.count(F.lit(1)).alias("users"))
@@ -64,7 +74,7 @@ def _(t):
        "select cast(ts as date) as observation_date, event_type, count(*) as detection_count, sum(value) as value_sum from events group by 1, 2")
 def _(t):
     sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "counts"), F.date_format("observation_date", "yyyyMM"))
-    counts = pipelines.daily_counts(events(t), "ts", ["event_type"], "value")
+    counts = pipelines.daily_counts(events(t), "ts", ["event_type"], "value", delay="3 days")
     keys = ["observation_date", "event_type"]
     drain(pipelines.upsert_stream(counts, sink, scratch(t.spark, "cp"), keys, output_mode="update"))
     return sink.latest()
@@ -75,18 +85,39 @@ def _(t):
           from (select cast(ts as date) as d, event_type, value, unnest(range(1, 8)) as o from events) group by 1, 2""")
 def _(t):
     sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "sliding"), F.date_format("window_end", "yyyyMM"))
-    stats = pipelines.sliding_stats(events(t), "ts", ["event_type"], "value", 7)
+    stats = pipelines.sliding_stats(events(t), "ts", ["event_type"], "value", 7, delay="3 days")
     keys = ["window_end", "event_type"]
     drain(pipelines.upsert_stream(stats, sink, scratch(t.spark, "cp"), keys, output_mode="update"))
     return sink.latest()
 
 
+LENGTHS = (7, 14, 30)
+TRAILING = ", ".join(
+    f"""case when count(*) filter (o < {n}) > 0 then sum(c) filter (o < {n}) / {n}e0 end as mean_{n}, max(c) filter (o < {n}) as max_{n},
+        case when count(*) filter (o < {n}) > 0 then sqrt(greatest(sum(c * c) filter (o < {n}) - (sum(c) filter (o < {n})) * (sum(c) filter (o < {n})) / {n}e0, 0) / ({n} - 1)) end as stddev_{n},
+        case when count(*) filter (o < {n}) > 0 then {n} - count(*) filter (o < {n} and c <> 0) end as zero_days_{n}"""
+    for n in LENGTHS
+)
+
+
+@check("stream_trailing_stats", "event_type window_end:d " + " ".join(f"mean_{n}:f max_{n}:f stddev_{n}:f4 zero_days_{n}:i" for n in LENGTHS),
+       f"""select event_type, d + cast(o as int) as window_end, {TRAILING} from (
+          select event_type, cast(ts as date) as d, cast(count(*) as double) as c, unnest(range(0, 30)) as o from events group by 1, 2) group by 1, 2""")
+def _(t):
+    sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "daily"), F.date_format("observation_date", "yyyyMM"))
+    counts = pipelines.daily_counts(events(t), "ts", ["event_type"], "value", delay="3 days")
+    keys = ["observation_date", "event_type"]
+    drain(pipelines.upsert_stream(counts, sink, scratch(t.spark, "cp"), keys, output_mode="update"))
+    return pipelines.trailing_stats(sink.latest(), ["event_type"], "detection_count", LENGTHS)
+
+
 @check("stream_flag_online", "region_id observation_date:d detection_count:i zscore:f is_anomaly severity",
        "select * from fire where detection_count > 0")
 def _(t):
     path, schema = files(t, t.detections, "staged")
-    stream = pipelines.read_files(t.spark, path, schema)
-    counts = pipelines.daily_counts(stream, "observed_at", ["region_id"], "frp")
+    stream = pipelines.read_files(t.spark, path, schema, max_files=2)
+    counts = pipelines.daily_counts(stream, "observed_at", ["region_id"], "frp", delay="20000 days")
+    # the file order is not the order of time here, so nothing may be called late
     flagged = pipelines.flag_online(counts, t.baseline)
     sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "online"), F.date_format("observation_date", "yyyyMM"))
     keys = ["region_id", "observation_date"]

@@ -8,47 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from geopulse.config import MODEL_OWNED, PUBLISH_KEYS
 from geopulse.operators.upsert import check_key, upsert
+from geopulse.sources.versions import VersionedSink
 
 REPORT_SCHEMA = "table string, state string, rows bigint, added_columns array<string>"
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
-def _swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a finished table in place of the one it was read from; the old one goes last."""
-    jvm = spark._jvm.org.apache.hadoop.fs.Path
-    fs = jvm(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    previous = f"{path}__previous"
-    fs.delete(jvm(previous), True)
-    if fs.exists(jvm(path)) and not fs.rename(jvm(path), jvm(previous)):
-        raise OSError(f"could not set {path} aside")
-    if not fs.rename(jvm(staged), jvm(path)):
-        raise OSError(f"could not move {staged} to {path}; the former table is at {previous}")
-    fs.delete(jvm(previous), True)
+def published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current version of a published table."""
+    return VersionedSink(spark, path).latest()
 
 
 def publish_table(
     spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
     protected: Sequence[str] = MODEL_OWNED, rebuild: bool = False,
 ) -> list[str]:
-    """Upsert into the table at ``path`` through a staged copy; returns columns it gained.
+    """Upsert into the table at ``path`` as a new version; returns columns it gained.
 
-    ``rebuild`` replaces the table, for when the key itself changed meaning.
+    Readers keep the former version until the new one is whole. ``rebuild`` replaces the table, for when the key
+    itself changed meaning.
     """
     check_key(df, keys, path)
-    added: list[str] = []
-    result = df
-    if not rebuild and _table_exists(spark, path):
-        target = spark.read.parquet(path)
-        added = [name for name in df.columns if name not in target.columns]
-        kept = [name for name in protected if name in df.columns or name in target.columns]
-        result = upsert(target, df, keys, kept)
-    staged = f"{path}__staged"
-    result.write.mode("overwrite").option("compression", "zstd").parquet(staged)
-    _swap(spark, staged, path)
+    sink = VersionedSink(spark, path)
+    target = sink.latest()
+    added = [] if rebuild or target is None else [name for name in df.columns if name not in target.columns]
+
+    def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if rebuild or current is None:
+            return batch
+        return upsert(current, batch, keys, [name for name in protected if name in {*batch.columns, *current.columns}])
+
+    sink.fold(df, max(sink.versions(), default=-1) + 1, merge)
     return added
 
 
@@ -67,5 +56,5 @@ def publish(
             report.append((name, "empty", 0, []))
             continue
         added = publish_table(spark, df, f"{root}/{name}", key, rebuild=name in rebuild)
-        report.append((name, "published", spark.read.parquet(f"{root}/{name}").count(), added))
+        report.append((name, "published", published(spark, f"{root}/{name}").count(), added))
     return spark.createDataFrame(report, REPORT_SCHEMA)

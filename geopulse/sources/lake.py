@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,10 @@ from pyspark.sql import functions as F
 from geopulse.operators.upsert import upsert
 
 
+#: Path keys of the two layouts, from coarse to fine.
+PERIOD_KEYS = ("region", "year", "month", "day")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
@@ -25,17 +31,54 @@ def reject_path(root: str, source: str) -> str:
     return f"{root}/rejected/{source}"
 
 
-def read_lake(spark: SparkSession, root: str, source: str) -> DataFrame | None:
-    """All rows of a source under whichever layouts exist, columns united by name.
+def read_lake(
+    spark: SparkSession, root: str, source: str, *, since: str | None = None, until: str | None = None,
+    months: Sequence[str] | None = None, regions: Sequence[str] | None = None,
+) -> DataFrame | None:
+    """Rows of a source under whichever layouts exist, columns united by name; all of them unless something is asked for.
 
-    Path keys differ between the layouts, so they are not read as columns. An absent source gives
-    ``None``, so that only what is built from it is skipped.
+    ``since`` and ``until`` (days), ``months`` (yyyy-MM) and ``regions`` choose folders, so other files are not
+    listed as tasks: the live layout by day, the archive, whose folders are months, by month. Each layout is read
+    with its own path keys, which do not become columns. An absent source gives ``None``, so that only what is built
+    from it is skipped.
+    """
+    parts = []
+    for path in layout_paths(root, source):
+        if not _exists(spark, path):
+            continue
+        rows = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
+        keys = [key for key in PERIOD_KEYS if key in rows.columns]
+        if "year" in keys and "month" in keys:
+            month = F.col("year").cast("int") * 100 + F.col("month").cast("int")
+            day = month * 100 + F.col("day").cast("int") if "day" in keys else None
+            for bound, low in ((since, True), (until, False)):
+                if bound:
+                    y, m, d = map(int, str(bound).split("-"))
+                    left, right = (month, y * 100 + m) if day is None else (day, (y * 100 + m) * 100 + d)
+                    rows = rows.where(left >= right if low else left <= right)
+            if months is not None:
+                rows = rows.where(month.isin([int(m.replace("-", "")) for m in months]))
+        if regions is not None and "region" in keys:
+            rows = rows.where(F.col("region").cast("string").isin(list(regions)))
+        parts.append(rows.drop(*keys))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
+def refresh(
+    spark: SparkSession, root: str, source: str, path: str, stage: Callable[[DataFrame], DataFrame], day: str,
+    months: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rebuild the given months of a staged table from the lake, all of them by default; the others stay as they are.
+
+    ``stage`` must work month by month, as latest-wins does whose key holds the time; ``day`` names its day column.
     """
-    paths = [path for path in layout_paths(root, source) if _exists(spark, path)]
-    if not paths:
-        return None
-    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-    return reader.parquet(*paths)
+    raw = read_lake(spark, root, source, months=months)
+    if raw is None:
+        raise ValueError(f"the lake holds no {source}")
+    staged = stage(raw).withColumn("_month", F.date_format(day, "yyyy-MM"))
+    writer = staged.repartition("_month", F.pmod(F.xxhash64(*staged.columns), F.lit(8))).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("_month").parquet(path)
+    return spark.read.parquet(path).drop("_month")
 
 
 def _period_columns(df: DataFrame, time_col: str, backfill: bool) -> tuple[DataFrame, list[str]]:

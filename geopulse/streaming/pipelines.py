@@ -6,7 +6,7 @@ Every query runs from a file source with an explicit schema and a checkpoint in
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from geopulse.functions import scoring
 from geopulse.operators.dedup import latest_wins
 from geopulse.operators.upsert import upsert
 from geopulse.plans.ops import stage_states
+from geopulse.sources.versions import PeriodSink, VersionedSink
 
 
 def read_files(
@@ -53,74 +54,6 @@ def first_wins(stream: DataFrame, keys: Sequence[str], time_col: str, delay: str
     return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark._jvm.org.apache.hadoop.fs.Path
-    return jvm(path).getFileSystem(spark._jsc.hadoopConfiguration()), jvm
-
-
-class VersionedSink:
-    """A small parquet table that each micro-batch rewrites as a new version.
-
-    Version ``n`` is named after batch ``n``, so a replayed batch overwrites its own attempt and
-    readers always find a whole table. For tables bounded by a dimension: run history, stage states.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, keep: int = 2):
-        self.spark, self.root, self.keep = spark, root, keep
-
-    def _path(self, version: int) -> str:
-        return f"{self.root}/version={version:010d}"
-
-    def _versions(self) -> list[int]:
-        fs, path = _filesystem(self.spark, self.root)
-        if not fs.exists(path(self.root)):
-            return []
-        names = [status.getPath() for status in fs.listStatus(path(self.root))]
-        return sorted(int(p.getName().split("=")[1]) for p in names if fs.exists(path(f"{p}/_SUCCESS")))
-
-    def latest(self, before: int | None = None) -> DataFrame | None:
-        found = [v for v in self._versions() if before is None or v < before]
-        return self.spark.read.parquet(self._path(found[-1])) if found else None
-
-    def fold(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
-        merge(self.latest(before=batch_id), batch).write.mode("overwrite").parquet(self._path(batch_id))
-        fs, path = _filesystem(self.spark, self.root)
-        for version in self._versions()[: -self.keep]:
-            fs.delete(path(self._path(version)), True)
-
-
-class PeriodSink:
-    """A keyed table split by period, of which each micro-batch rewrites only the periods it touches.
-
-    ``period`` must follow from the key, so that all copies of a key share one. Folding a batch a
-    second time changes nothing, which makes replays harmless.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, period: Column):
-        self.spark, self.root = spark, root
-        self.period = F.concat(F.lit("p"), period.cast("string"))
-
-    def _read(self) -> DataFrame | None:
-        fs, path = _filesystem(self.spark, self.root)
-        if not fs.exists(path(self.root)):
-            return None
-        periods = any(s.getPath().getName().startswith("_period=") for s in fs.listStatus(path(self.root)))
-        return self.spark.read.parquet(self.root) if periods else None
-
-    def latest(self) -> DataFrame | None:
-        table = self._read()
-        return None if table is None else table.drop("_period")
-
-    def fold(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
-        current = self._read()
-        if current is not None:
-            touched = batch.select(self.period.alias("_period")).distinct()
-            current = current.join(touched, "_period", "left_semi").drop("_period")
-        merged = merge(current, batch).withColumn("_period", self.period)
-        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("_period").parquet(self.root)
-
-
 Sink = VersionedSink | PeriodSink
 
 
@@ -132,7 +65,7 @@ def upsert_stream(
 
     def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
         if not newest_first:
-            return batch if current is None else upsert(current, batch, keys)
+            return batch if current is None else upsert(current, batch, keys, repeats=True)
         rows = batch if current is None else current.unionByName(batch, allowMissingColumns=True)
         return latest_wins(rows, keys, newest_first)
 
@@ -180,10 +113,12 @@ def monitor_runs(
     stream: DataFrame, history: Sink, checkpoint: str, stages: DataFrame, asof: Column, out: VersionedSink,
     *, available_now: bool = True,
 ) -> StreamingQuery:
-    """Keep the run history current and re-state every stage after each batch of runs."""
+    """Keep the run history current and re-state every stage after each batch of runs; a later copy of a run wins."""
+    newest = [F.desc_nulls_last("finished_at"), F.desc_nulls_last("started_at")]
 
     def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return batch if current is None else upsert(current, batch, ["run_id"])
+        rows = batch if current is None else current.unionByName(batch, allowMissingColumns=True)
+        return latest_wins(rows, ["run_id"], newest)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         history.fold(batch, batch_id, merge)
@@ -192,3 +127,28 @@ def monitor_runs(
 
     writer = stream.writeStream.foreachBatch(fold)
     return _start(writer, checkpoint, available_now)
+
+
+def trailing_stats(
+    counts: DataFrame, keys: Sequence[str], value: str, lengths: Sequence[int] = (7, 14, 30), day: str = "observation_date"
+) -> DataFrame:
+    """Trailing statistics of daily counts: mean, maximum, deviation and zero days of each window, days without rows as zero.
+
+    Each day's count goes to the at most ``max(lengths)`` windows that hold it, so sums need no ordered scan of a series;
+    a window is stated for every day on which it holds a count. Zero days are those of the window without a count.
+    """
+    longest = max(lengths)
+    moved = counts.select(
+        *keys, F.col(day), F.col(value).cast("double").alias("v"), F.explode(F.sequence(F.lit(0), F.lit(longest - 1))).alias("back")
+    ).withColumn("window_end", F.date_add(day, F.col("back")))
+    out = []
+    for n in lengths:
+        inside = F.col("back") < n
+        held, total, square = (F.sum(F.when(inside, x)) for x in (F.lit(1), F.col("v"), F.col("v") * F.col("v")))
+        some = F.count_if(inside & (F.col("v") != 0))
+        spread = F.greatest(square - total * total / n, F.lit(0.0)) / (n - 1) if n > 1 else F.lit(None)
+        out += [
+            F.when(held > 0, total / n).alias(f"mean_{n}"), F.max(F.when(inside, F.col("v"))).alias(f"max_{n}"),
+            F.when(held > 0, F.sqrt(spread)).alias(f"stddev_{n}"), F.when(held > 0, n - some).alias(f"zero_days_{n}"),
+        ]
+    return moved.groupBy(*keys, "window_end").agg(*out)

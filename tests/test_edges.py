@@ -402,3 +402,35 @@ def test_metrics_do_not_mix_in_change_statistics(spark):
     rows = [("r", m, float(v)) for m, v in (("ndvi", 1), ("ndvi", 3), ("sar", 10), ("sar", 30))]
     df = spark.createDataFrame(rows, "region_id string, metric_type string, value_change double")
     assert {(r.metric_type, r.change_mean) for r in series.change_stats(df).collect()} == {("ndvi", 2.0), ("sar", 20.0)}
+
+
+def test_lake_reads_only_the_folders_asked_for(spark):
+    root = scratch(spark, "pruned")
+    rows = [(f"2020-0{m}-1{d} 05:00:00", r, float(m)) for m in (1, 2, 3) for d in (0, 1) for r in ("a", "b")]
+    df = spark.createDataFrame(rows, "at string, region_id string, v double").withColumn("at", F.col("at").cast("timestamp"))
+    lake.land(df.where("at >= '2020-02-01'"), root, "s", "at")
+    lake.land(df.where("at < '2020-02-01'"), root, "s", "at", backfill=True)
+    some = lake.read_lake(spark, root, "s", since="2020-02-11", until="2020-03-10", regions=["a"])
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and plan.count("PartitionFilters") == 2
+    assert sorted(str(r["at"])[:10] for r in some.collect()) == ["2020-02-11", "2020-03-10"]
+    assert lake.read_lake(spark, root, "s").count() == 12 and lake.read_lake(spark, root, "s", months=["2020-01"]).count() == 4
+    assert set(some.columns) == {"at", "region_id", "v"}
+
+
+def test_a_broken_write_leaves_the_table_and_can_be_replayed(spark):
+    from geopulse.sources.versions import PeriodSink, VersionedSink
+
+    merge = lambda old, new: new if old is None else upsert.upsert(old, new, ["k"])
+    batch = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    broken = lambda old, new: merge(old, new).where(F.raise_error(F.lit("lost")).cast("boolean"))
+    for sink in (PeriodSink(spark, scratch(spark, "p"), F.col("k") % 2), VersionedSink(spark, scratch(spark, "v"))):
+        sink.fold(batch([(1, "a"), (2, "a"), (3, "a")]), 0, merge)
+        with pytest.raises(Exception, match="lost"):
+            sink.fold(batch([(1, "b"), (4, "b")]), 1, broken)
+        assert {tuple(r) for r in sink.latest().select("k", "v").collect()} == {(1, "a"), (2, "a"), (3, "a")}
+        for _ in range(2):
+            sink.fold(batch([(1, "b"), (4, "b")]), 1, merge)
+        sink.fold(batch([(3, "c")]), 2, merge)
+        sink.fold(batch([(3, "c")]), 2, merge)
+        assert {tuple(r) for r in sink.latest().select("k", "v").collect()} == {(1, "b"), (2, "a"), (3, "c"), (4, "b")}
