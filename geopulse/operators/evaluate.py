@@ -90,14 +90,14 @@ def evaluate(scored: DataFrame, score: str, reference_flag: str, value: str, top
     """The full unsupervised report as one row, from one conditional aggregate."""
     if reference_flag not in scored.columns:
         raise KeyError(f"{reference_flag} is missing: a model must not be compared with its own flags")
-    facts = _with_cutoff(scored, score, top_fraction).agg(
+    wanted = QUANTILES | {"_cut": 1.0 - top_fraction}
+    at = ranking.linear_quantiles(scored, score, wanted).select(F.struct(*wanted)).scalar()  # one rank table, read once
+    facts = scored.withColumn("_selected", F.col(score) >= at["_cut"]).agg(
         F.min(score).alias("score_min"), F.max(score).alias("score_max"),
         _concentration_column(score), *_separation_columns(value), *_agreement_columns(reference_flag),
     )
     ratios = facts.select("*", _separation_ratio(), *_agreement_ratios())
-    quantiles = ranking.linear_quantiles(scored, score, QUANTILES)
-    for name in QUANTILES:
-        ratios = ratios.withColumn(name, quantiles.select(name).scalar())
+    ratios = ratios.withColumns({name: at[name] for name in QUANTILES})
     return ratios.withColumn("rederives_rule", F.col("precision_vs_reference") >= 0.99)
 
 
@@ -163,7 +163,7 @@ def check_events(
 
 
 def event_pass_rate(outcomes: DataFrame) -> DataFrame:
-    """Passed share of the evaluated events; ``evaluated = 0`` means the check said nothing."""
+    """Passed share of all events; ``evaluated = 0`` means the check said nothing."""
     return outcomes.agg(
         F.count(F.lit(1)).alias("events"),
         _count(F.col("criterion") != "no-data").alias("evaluated"),

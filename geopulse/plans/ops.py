@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geopulse.config import DEFAULT_BUDGET_DAYS, MART_BUDGET_DAYS, STAGES
@@ -105,10 +105,11 @@ def ops_report(runs: DataFrame, status: DataFrame, predictions: DataFrame) -> Da
         F.avg((F.col("status") == "success").cast("int")).alias("success_rate"),
         F.max("started_at").alias("last_run"),
     )
+    totals = tables.select(F.struct("tables", "rows")).scalar()
     return facts.withColumns(
         {
-            "tables": tables.select("tables").scalar(),
-            "table_rows": tables.select("rows").scalar(),
+            "tables": totals["tables"],
+            "table_rows": totals["rows"],
             "model_version": current_model(predictions).select("model_version").scalar(),
         }
     )
@@ -116,8 +117,8 @@ def ops_report(runs: DataFrame, status: DataFrame, predictions: DataFrame) -> Da
 
 def health(status: DataFrame, core: str) -> DataFrame:
     """Registered tables with their rows, and whether the core one is there."""
-    healthy = status.agg(F.max((F.col("present") & (F.col("table") == core)).cast("int")).alias("ok"))
-    return status.select("table", "present", "rows").withColumn("healthy", healthy.scalar() == 1)
+    core_there = F.max((F.col("present") & (F.col("table") == core)).cast("int")).over(Window.partitionBy(F.lit(1)))
+    return status.select("table", "present", "rows", (core_there == 1).alias("healthy"))  # a row for each table
 
 
 def marts_by_source(registry: DataFrame) -> DataFrame:

@@ -250,7 +250,8 @@ def map_window(
 
 def feature_rows(cells: DataFrame, summary: DataFrame) -> DataFrame:
     """Each cell as a GeoJSON feature with its legend step."""
-    breaks = [summary.select(name).scalar() for name in LEGEND]
+    legend = summary.select(F.struct(*LEGEND)).scalar()
+    breaks = [legend[name] for name in LEGEND]
     ring = F.transform(hexgrid.cell_boundary(F.col("h3_index")), lambda p: F.array(p["lon"], p["lat"]))
     properties = F.struct(
         "value", scoring.ramp_step(F.col("value"), breaks).alias("step"), F.col("region_id").alias("region"),
