@@ -58,14 +58,41 @@ def _(t):
     return cells(t).select("h3_index", hexgrid.cell_parent(F.col("h3_index"), 1).alias("parent"))
 
 
-@check("k_ring", "h3_index neighbour",
-       f"""select h3_index, level || ':' || (q + dq) || ':' || (r + dr) as neighbour from {CELLS},
-          (select dq, dr from (select unnest(range(-2, 3)) as dq), (select unnest(range(-2, 3)) as dr)
-           where abs(dq) + abs(dr) + abs(dq + dr) <= 4)""")
+AROUND = sql_axial("y", "x", "edge")
+
+
+def ring_sql(cells_sql: str) -> str:
+    """Neighbours up to two steps; a centre off the map is taken over the pole or the date line first."""
+    return f"""select distinct h3_index, case when abs(lat) <= 90 and lon >= -180 and lon < 180 then level || ':' || q || ':' || r
+            else level || ':' || {AROUND[0]} || ':' || {AROUND[1]} end as neighbour
+          from (select *, case when abs(lat) > 90 then sign(lat) * 180e0 - lat else lat end as y,
+                       turned - floor((turned + 180e0) / 360e0) * 360e0 as x
+                from (select *, case when abs(lat) > 90 then lon + 180e0 else lon end as turned
+                      from (select *, edge * 1.5e0 * r as lat, edge * {ROOT3} * (q + r / 2e0) as lon
+                            from (select h3_index, level, q + dq as q, r + dr as r, {SQL_EDGES}[level + 1] as edge from {cells_sql},
+                                  (select dq, dr from (select unnest(range(-2, 3)) as dq), (select unnest(range(-2, 3)) as dr)
+                                   where abs(dq) + abs(dr) + abs(dq + dr) <= 4)))))"""
+
+
+@check("k_ring", "h3_index neighbour", ring_sql(CELLS))
 def _(t):
     return cells(t).select("h3_index", F.explode(hexgrid.k_ring(F.col("h3_index"), 2)).alias("neighbour"))
 
 
+# points up to 87 degrees and 179.9, and some at exactly 180
+FAR_LON = "case when k % 7 = 0 then 180e0 else lon * 1.055e0 end"
+FAR_CELL = sql_cell("lat * 1.45e0", f"({FAR_LON} - case when k % 7 = 0 then 360e0 else 0e0 end)", 2)
+FAR_CELLS = f"""(select h3_index, cast(split_part(h3_index, ':', 1) as int) as level, cast(split_part(h3_index, ':', 2) as bigint) as q,
+  cast(split_part(h3_index, ':', 3) as bigint) as r from (select distinct {FAR_CELL} as h3_index from {POINTS}))"""
+
+
+@check("k_ring_at_the_edges", "h3_index neighbour", ring_sql(FAR_CELLS))
+def _(t):
+    east = F.when(F.col("k") % 7 == 0, 180.0).otherwise(F.col("lon") * 1.055)
+    far = points(t).select(hexgrid.cell(F.col("lat") * 1.45, east, 2).alias("h3_index")).distinct()
+    return far.select("h3_index", F.explode(hexgrid.k_ring(F.col("h3_index"), 2)).alias("neighbour"))
+
+
 E2 = num(hexgrid.EDGE_DEGREES[2])
 
 

@@ -1,8 +1,9 @@
 """A planar hexagonal grid in degrees, addressed by axial coordinates.
 
 Cell ids read ``resolution:q:r``. They are not ids of any other hexagon library; a cell id that a
-source already supplies is kept as it is. Degrees are not equal-area, the grid does not wrap at
-the date line, and a parent covers its children only approximately.
+source already supplies is kept as it is. Degrees are not equal-area, and a parent covers its
+children only approximately. Longitude 180 is -180, and a ring that leaves the map at the date line
+or over a pole goes on at the other side.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def _nearest(value: Column) -> Column:
     return F.floor(value + 0.5)
 
 
-def axial(lat: Column, lon: Column, edge: float) -> tuple[Column, Column]:
+def axial(lat: Column, lon: Column, edge: float | Column) -> tuple[Column, Column]:
     """Axial coordinates of the hexagon around a point, by cube rounding."""
     q = (F.lit(SQRT3) / 3.0 * lon - lat / 3.0) / edge
     r = (F.lit(2.0) / 3.0 * lat) / edge
@@ -55,7 +56,8 @@ def cell_id(resolution: int | Column, q: Column, r: Column) -> Column:
 def cell(lat: Column, lon: Column, resolution: int) -> Column:
     """The cell holding a point; null for an unusable coordinate."""
     edge = EDGE_DEGREES[_check_resolution(resolution)]
-    q, r = axial(lat.cast("double"), lon.cast("double"), edge)
+    east = lon.cast("double")
+    q, r = axial(lat.cast("double"), F.when(east == 180.0, -180.0).otherwise(east), edge)
     return F.when(valid_latlon(lat, lon), cell_id(resolution, q, r))
 
 
@@ -64,6 +66,13 @@ def parts(cell: Column) -> tuple[Column, Column, Column]:
     return fields[0].cast("int"), fields[1].cast("long"), fields[2].cast("long")
 
 
+def on_map(lat: Column, lon: Column) -> tuple[Column, Column]:
+    """A place past a pole or the date line, as coordinates on the map."""
+    over = F.abs(lat) > 90.0
+    turned = F.when(over, lon + 180.0).otherwise(lon)
+    return F.when(over, F.sign(lat) * 180.0 - lat).otherwise(lat), turned - F.floor((turned + 180.0) / 360.0) * 360.0
+
+
 def is_valid_cell(cell: Column) -> Column:
     return F.coalesce(cell.rlike(r"^(?:[0-9]|1[0-5]):-?\d+:-?\d+$"), F.lit(False))
 
@@ -103,12 +112,20 @@ def cell_parent(child: Column, resolution: int) -> Column:
 
 
 def k_ring(cell: Column, k: int) -> Column:
-    """The cell and its neighbours up to ``k`` steps: ``1 + 3k(k+1)`` ids."""
+    """The cell and its neighbours up to ``k`` steps: ``1 + 3k(k+1)`` ids, fewer where a ring meets itself past a pole."""
     if k < 0:
         raise ValueError(f"k must be >= 0, got {k}")
     level, q, r = parts(cell)
     steps = [(dq, dr) for dq in range(-k, k + 1) for dr in range(max(-k, -dq - k), min(k, -dq + k) + 1)]
-    return F.array(*[cell_id(level, q + dq, r + dr) for dq, dr in steps])
+    ring = F.array(*[F.struct((q + dq).alias("q"), (r + dr).alias("r")) for dq, dr in steps])
+    edge = edge_of(cell)
+
+    def neighbour(at: Column) -> Column:
+        lat, lon = edge * 1.5 * at["r"], edge * SQRT3 * (at["q"] + at["r"] / F.lit(2.0))
+        there = cell_id(level, *axial(*on_map(lat, lon), edge))
+        return F.when((F.abs(lat) <= 90.0) & (lon >= -180.0) & (lon < 180.0), cell_id(level, at["q"], at["r"])).otherwise(there)
+
+    return F.array_distinct(F.transform(ring, neighbour))
 
 
 def _lattice(west: Column, south: Column, east: Column, north: Column, edge: float):

@@ -434,3 +434,15 @@ def test_a_broken_write_leaves_the_table_and_can_be_replayed(spark):
         sink.fold(batch([(3, "c")]), 2, merge)
         sink.fold(batch([(3, "c")]), 2, merge)
         assert {tuple(r) for r in sink.latest().select("k", "v").collect()} == {(1, "b"), (2, "a"), (3, "c"), (4, "b")}
+
+
+def test_the_grid_goes_on_past_the_date_line_and_the_poles(spark):
+    df = spark.createDataFrame([(10.0, 180.0), (10.0, -180.0), (89.9, 50.0), (-89.9, 179.9)], "lat double, lon double")
+    df = df.withColumn("id", hexgrid.cell(F.col("lat"), F.col("lon"), 3))
+    ids = [r["id"] for r in df.collect()]
+    assert ids[0] == ids[1]
+    near = df.select("lat", F.explode(hexgrid.k_ring(F.col("id"), 2)).alias("n")).distinct()
+    centres = near.select("lat", hexgrid.cell_center(F.col("n")).alias("c")).collect()
+    edge = hexgrid.EDGE_DEGREES[3]
+    assert all(abs(r.c.lon) <= 180 + edge and abs(r.c.lat) <= 90 + edge for r in centres)
+    assert min(r.c.lon for r in centres if r.lat == 10) < -178 and max(r.c.lon for r in centres if r.lat == 10) > 178
