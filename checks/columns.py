@@ -233,13 +233,23 @@ def _(t):
 
 
 @check("validate_gridded", "column check failures:i",
-       """select 'value' as "column", 'not_null' as "check", count(*) as failures from grid_raw where value is null having count(*) > 0
-          union all select 'metric_type', 'isin', count(*) from grid_raw
+       """with bad as (select case when value < -2 then null else value end as value, case when value between 0 and 0.5 then 'mystery' else metric_type end as metric_type,
+            case when value between -1 and 0 then -1e0 else baseline_stddev end as baseline_stddev, case when value between -2 and -1 then 400e0 else day_of_year end as day_of_year from grid_raw)
+          select 'value' as "column", 'not_null' as "check", count(*) as failures from bad where value is null having count(*) > 0
+          union all select 'metric_type', 'isin', count(*) from bad
           where metric_type not in ('sst_anomaly', 'sea_ice_extent', 'sea_ice_extent_climatology') having count(*) > 0
-          union all select 'baseline_stddev', 'ge(0)', count(*) from grid_raw where baseline_stddev < 0 having count(*) > 0
-          union all select 'day_of_year', 'le(366)', count(*) from grid_raw where day_of_year > 366 having count(*) > 0""")
-def _(t):
-    return validate(t.grid_raw, GRIDDED)
+          union all select 'baseline_stddev', 'ge(0)', count(*) from bad where baseline_stddev < 0 having count(*) > 0
+          union all select 'day_of_year', 'le(366)', count(*) from bad where day_of_year > 366 having count(*) > 0""")
+def _(t):
+    v = F.col("value")
+    bad = t.grid_raw.select(
+        "*", v.alias("was")
+    ).withColumns({
+        "value": F.when(v < -2, None).otherwise(v), "metric_type": F.when(v.between(0, 0.5), "mystery").otherwise(F.col("metric_type")),
+        "baseline_stddev": F.when(v.between(-1, 0), -1.0).otherwise(F.col("baseline_stddev")),
+        "day_of_year": F.when(v.between(-2, -1), 400.0).otherwise(F.col("day_of_year")),
+    }).drop("was")
+    return validate(bad, GRIDDED)
 
 
 # -- scores and ratios --------------------------------------------------------------

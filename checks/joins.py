@@ -232,17 +232,29 @@ def _(t):
 
 
 @check("key_sanity", "table covers violations:i",
-       """select 'fire_anomalies' as "table", true as covers, count(*) as violations
-          from (select region_id, observation_date from fire group by 1, 2 having count(*) > 1)
-          union all select 'cell_fire', true, count(*)
-          from (select h3_index, period_start, metric_type from cells group by 1, 2, 3 having count(*) > 1)""")
+       " union all ".join(
+           f"""select '{name}' as "table", true as covers, count(*) as violations from (select {key} from {source} group by {key} having count(*) > 1)"""
+           for name, key, source in (
+               ("fire_anomalies", "region_id, observation_date", "fire"), ("ice_extent_trends", "region_id, period_start", "ice"),
+               ("cell_fire", "h3_index, period_start, metric_type, region_id", "cells"),
+               ("cell_sst", "h3_index, period_start, metric_type, region_id", "cell_sst"),
+               ("deforestation_index", "region_id, month_start", "(select * from yoy where metric_type = 'ndvi')"),
+               ("glacier_backscatter", "region_id, month_start", "(select * from yoy where metric_type = 'sar_backscatter')"),
+               ("cell_change", "h3_index, period_end, metric_type, region_id", "(select * from composites where spatial_scope = 'grid')"),
+           )))
 def _(t):
     from geopulse.config import PUBLISH_KEYS
     from geopulse.operators.expect import unique_combination
+    from geopulse.plans import marts
 
+    tables = {"fire_anomalies": t.fire, "cell_fire": t.cells} | {
+        name: df for name, df in marts.build_marts(None, t.gridded, t.composites, t.region_dim).items()
+    }
+    grain = {"fire_anomalies": KEY, "ice_extent_trends": ["region_id", "period_start"], "deforestation_index": ["region_id", "month_start"],
+             "glacier_backscatter": ["region_id", "period_start"]}
     parts = []
-    for name, df, unique in (("fire_anomalies", t.fire, KEY), ("cell_fire", t.cells, ["h3_index", "period_start"])):
-        key = PUBLISH_KEYS[name]
+    for name, key in PUBLISH_KEYS.items():
+        df, unique = tables[name], grain.get(name, ["h3_index", "period_start", "region_id"])
         upsert.check_key(df, key, name)
         bad = unique_combination(df, list(key)).agg(F.count(F.lit(1)).alias("violations"))
         parts.append(bad.select(F.lit(name).alias("table"), F.lit(upsert.key_covers(key, unique)).alias("covers"), "violations"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from geopulse import config
 from checks.base import check
 from geopulse.operators import expect
 
@@ -49,9 +50,11 @@ def _(t):
     return expect.not_older_than(t.detections, "observation_date", 45, F.lit("2001-12-01").cast("date"))
 
 
-@check("not_empty", "row_count:i", "select count(*) as row_count from fire having count(*) = 0")
+@check("not_empty", "row_count:i",
+       """select count(*) as row_count from fire having count(*) = 0
+          union all select count(*) from fire where detection_count < 0 having count(*) = 0""")
 def _(t):
-    return expect.not_empty(t.fire)
+    return expect.not_empty(t.fire).unionByName(expect.not_empty(t.fire.where("detection_count < 0")))
 
 
 @check("no_future", "model_name latest:d",
@@ -143,19 +146,25 @@ def _(t):
 
 
 @check("registry_in_step", "problem value row_count:i",
-       """select 'nation without region' as problem, cast(n_regionkey as varchar) as value, count(*) as row_count from nation
-          where n_regionkey not in (select r_regionkey from region) group by 2
-          union all select 'event type without workflow', event_type, count(*) from events
-          where event_type not in (select case workflow when 'collect_data' then 'click' else workflow end from runs) group by 2""")
+       f"""select 'region not registered' as problem, region_id as value, count(*) as row_count from detections
+          where region_id not in ({", ".join(f"'{r[0]}'" for r in config.REGIONS)}) group by 2
+          union all select 'metric not registered', metric_type, count(*) from (select metric_type from gridded
+            union all select metric_type from composites union all select event_type from events) as seen
+          where metric_type not in ({", ".join(f"'{m}'" for s in config.SOURCES for m in s[2])}) group by 2
+          union all select 'source of a table not registered', s, count(*) from (select unnest([{", ".join(f"'{x}'" for r in config.TABLES for x in r[2])}]) as s)
+          where s not in ({", ".join(f"'{s[0]}'" for s in config.SOURCES)}) group by 2""")
 def _(t):
     from geopulse.operators.dedup import union_by_name
-
-    orphan = expect.relationships(t.read("nation"), "n_regionkey", t.read("region"), "r_regionkey")
-    known = t.runs.select(F.when(F.col("workflow") == "collect_data", "click").otherwise(F.col("workflow")).alias("w")).distinct()
-    kinds = expect.relationships(t.read("events"), "event_type", known, "w")
-    return union_by_name(
-        [
-            orphan.select(F.lit("nation without region").alias("problem"), F.col("value").cast("string").alias("value"), "row_count"),
-            kinds.select(F.lit("event type without workflow").alias("problem"), "value", "row_count"),
-        ]
-    )
+    from geopulse.plans import registry
+
+    sources, regions = registry.source_table(t.spark), registry.region_table(t.spark)
+    metrics = sources.select(F.explode("metric_types").alias("metric"))
+    # event types are no metrics, so they must be reported
+    seen = union_by_name([df.select("metric_type") for df in (t.gridded, t.composites)] + [t.read("events").select(F.col("event_type").alias("metric_type"))])
+    used = registry.table_registry(t.spark).select(F.explode("source_ids").alias("source_id"))
+    found = {
+        "region not registered": expect.relationships(t.detections, "region_id", regions, "region_id"),
+        "metric not registered": expect.relationships(seen, "metric_type", metrics, "metric"),
+        "source of a table not registered": expect.relationships(used, "source_id", sources, "source_id"),
+    }
+    return union_by_name([df.select(F.lit(name).alias("problem"), F.col("value").cast("string").alias("value"), "row_count") for name, df in found.items()])

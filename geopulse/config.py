@@ -66,15 +66,16 @@ ZONES = (
     ("norway_ice", "10YNO-0--------C"),
 )
 
-# Upsert key of each published table, and the columns a republish must not blank.
+# Upsert key of each published table, and the columns a republish must not blank. Cell layers hold a row for
+# each region that a cell belongs to, so the region is part of their keys.
 PUBLISH_KEYS = {
     "fire_anomalies": ("region_id", "observation_date"),
     "ice_extent_trends": ("region_id", "period_start"),
-    "cell_fire": ("h3_index", "period_start", "metric_type"),
-    "cell_sst": ("h3_index", "period_start", "metric_type"),
+    "cell_fire": ("h3_index", "period_start", "metric_type", "region_id"),
+    "cell_sst": ("h3_index", "period_start", "metric_type", "region_id"),
     "deforestation_index": ("region_id", "month_start"),
     "glacier_backscatter": ("region_id", "period_start"),
-    "cell_change": ("h3_index", "period_start", "metric_type"),
+    "cell_change": ("h3_index", "period_start", "metric_type", "region_id"),
 }
 PREDICTION_KEY = ("region_id", "observation_date", "model_version")
 MODEL_OWNED = ("anomaly_score", "model_version", "scored_at")

@@ -34,7 +34,7 @@ def publish_table(
 
     def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
         if rebuild or current is None:
-            return batch
+            current = batch.limit(0)  # nothing to keep, but a repeated key is refused all the same
         return upsert(current, batch, keys, [name for name in protected if name in {*batch.columns, *current.columns}])
 
     sink.fold(df, max(sink.versions(), default=-1) + 1, merge)
