@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import LAT, check
+from checks.base import LAT, LON, check
 from geopulse.functions import timefns
 from geopulse.plans import publish
 from geopulse.sources import detections as source
@@ -111,6 +111,29 @@ def _(t):
 # -- text sources ---------------------------------------------------------------------
 
 
+@check("ingest_source", "region_id day:d rows:i frp:f2 metric_type unit source_id run_id",
+       f"""with p as (select o_orderkey as k, {LAT} as lat, {LON} as lon, o_orderdate as day, o_totalprice as frp from orders where o_totalprice > 0),
+          m as (select k, day, frp, (select arg_min(region_id, area) from (select region_id, abs((north - south) * 110.574e0 * (east - west) * 111.320e0
+               * cos(radians((south + north) / 2e0))) as area, * from boxes) b where lon between west and east and lat between south and north) as region_id from p)
+          select region_id, day, count(*) as rows, sum(frp) as frp, 'fire_radiative_power' as metric_type, 'MW' as unit, 'firms' as source_id, 'run-000001' as run_id
+          from m group by 1, 2""")
+def _(t):
+    from geopulse.sources.source import detections_source
+
+    c, root, inbox = F.col("o_custkey"), scratch(t.spark, "lake"), scratch(t.spark, "inbox")
+    t.read("orders").where("o_totalprice > 0").select(
+        ((c * 37 % 1200) / 10.0 - 60.0).alias("latitude"), ((c * 101 % 3400) / 10.0 - 170.0).alias("longitude"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("acq_date"), F.lit("0930").alias("acq_time"),
+        F.lit("n").alias("confidence"), F.col("o_totalprice").alias("frp"),
+    ).write.option("header", "true").csv(inbox)
+    firms = detections_source("firms", "VIIRS", 3)
+    firms.ingest(t.spark, inbox, root, "run-000001", F.lit("2001-08-02").cast("timestamp"), regions=t.boxes, backfill=True)
+    landed = lake.read_lake(t.spark, root, "firms")
+    return landed.groupBy("region_id", F.to_date("acq_datetime").alias("day"), "metric_type", "unit", "source_id", "run_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("frp").alias("frp")
+    )
+
+
 @check("read_detections_csv", "product rows:i latitude:f4 acq_date:d frp:f2",
        f"""select 'VIIRS' as product, count(*) as rows, sum({LAT}) as latitude, min(o_orderdate) as acq_date, sum(o_totalprice) as frp from orders""")
 def _(t):
