@@ -18,6 +18,7 @@ from checks import CHECKS  # noqa: E402
 from checks.base import Tables, shape  # noqa: E402
 from geopulse.plans import marts  # noqa: E402
 from geopulse.session import get_spark  # noqa: E402
+from geopulse.workspace import release  # noqa: E402
 
 HEADLINE = (
     "stg_detections", "stg_composites", "fire_anomalies", "deforestation_index", "ice_extent_trends",
@@ -68,6 +69,7 @@ def main() -> None:
         ),
         flush=True,
     )
+    release(spark)
     spark.stop()
 
 

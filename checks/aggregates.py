@@ -200,7 +200,7 @@ def _(t):
 
 @check("cell_change", LAYER + " baseline_mean:f",
        """select 'sentinel' as source_id, region_id, h3_index, latitude, longitude, period_end as period_start,
-          'week' as period_grain, metric_type, 'h3_res_5' as spatial_scope, value_mean as value, baseline_mean
+          'week' as period_grain, metric_type, 'h3_res_' || split_part(h3_index, ':', 1) as spatial_scope, value_mean as value, baseline_mean
           from composites where spatial_scope = 'grid'""")
 def _(t):
     return marts.cell_change(t.composites)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geopulse.config import DEFAULTS, FIRE_LADDER, ICE_LADDER, NDVI_LADDER, Thresholds
-from geopulse.functions import scoring
+from geopulse.functions import hexgrid, scoring
 from geopulse.operators import series
 from geopulse.workspace import materialise
 
@@ -119,7 +119,9 @@ def _cell_layer(
     return df.select(
         F.lit(source).alias("source_id"), "region_id", "h3_index", "latitude", "longitude",
         F.col(period).alias("period_start"), F.lit(grain).alias("period_grain"), metric.alias("metric_type"),
-        F.lit(scope).alias("spatial_scope"), value.cast("double").alias("value"),
+        # a cell of our own grid names its resolution; other ids keep what the source stands for
+        F.when(hexgrid.is_valid_cell(F.col("h3_index")), F.concat(F.lit("h3_res_"), hexgrid.parts(F.col("h3_index"))[0].cast("string")))
+        .otherwise(scope).alias("spatial_scope"), value.cast("double").alias("value"),
         high.cast("double").alias("high_confidence_count"), baseline.cast("double").alias("baseline_mean"),
     )
 

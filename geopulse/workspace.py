@@ -20,9 +20,20 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def run_root(spark: SparkSession) -> str:
+    """The folder of this application under the shared root; it owns everything written to scratch."""
+    return f"{shared_root(spark)}/geopulse-{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared root, never reused between runs."""
-    return f"{shared_root(spark)}/geopulse-{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's folder, never reused between runs."""
+    return f"{run_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application wrote to scratch; frames that were not written elsewhere are gone with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

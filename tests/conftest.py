@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 @pytest.fixture(scope="session")
 def spark():
     from geopulse.session import get_spark
+    from geopulse.workspace import release
 
     session = get_spark(
         "tests",
@@ -23,4 +24,5 @@ def spark():
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    release(session)

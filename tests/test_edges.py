@@ -446,3 +446,13 @@ def test_the_grid_goes_on_past_the_date_line_and_the_poles(spark):
     edge = hexgrid.EDGE_DEGREES[3]
     assert all(abs(r.c.lon) <= 180 + edge and abs(r.c.lat) <= 90 + edge for r in centres)
     assert min(r.c.lon for r in centres if r.lat == 10) < -178 and max(r.c.lon for r in centres if r.lat == 10) > 178
+
+
+def test_scratch_has_an_owner_that_can_let_go(spark):
+    import os
+
+    from geopulse.workspace import materialise, run_root
+
+    df = materialise(spark.range(3).toDF("k"), "mine")
+    assert df.count() == 3 and run_root(spark).removeprefix("file:") in df.inputFiles()[0]
+    assert os.path.isdir(run_root(spark).removeprefix("file:"))
