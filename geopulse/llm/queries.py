@@ -64,4 +64,24 @@ QUERIES = {
     "op1_simhash": op1_simhash, "op2_winnowing": op2_winnowing, "op3_packing": op3_packing, "op4_lines": op4_lines, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings,
     "op7_bpe": op7_bpe, "op8_token_counts": op8_token_counts, "op9_langid": op9_langid, "op10_neighbours": op10_neighbours,
 }
-ORACLE_SQL: dict[str, str] = {}
+# The others hash with XXH64, tokenise, learn or approximate, which SQL does not state; tests hold them against brute force.
+ORACLE_SQL = {
+    "op6_substrings": r"""
+with split as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+windows as (
+  select doc_id, unnest(range(1, len(ws) - 11)) as i,
+         unnest(list_transform(range(1, len(ws) - 11), lambda j: array_to_string(ws[j:j + 12], ' '))) as words
+  from split where len(ws) >= 13),
+firsts as (select words, min(doc_id) as first_id from windows group by words),
+gone as (
+  select distinct doc_id, i + k as i
+  from windows join firsts using (words), (select unnest(range(0, 13)) as k) where first_id < doc_id),
+spelled as (select doc_id, unnest(range(1, len(ws) + 1)) as i, unnest(ws) as word from split where len(ws) > 0),
+kept as (
+  select s.doc_id, count(g.i) as n_removed, coalesce(string_agg(case when g.i is null then s.word end, ' ' order by s.i), '') as text
+  from spelled s left join gone g on g.doc_id = s.doc_id and g.i = s.i group by s.doc_id)
+select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+       sha256(coalesce(kept.text, '')) as kept_sha256
+from split d left join kept on kept.doc_id = d.doc_id
+""",
+}

@@ -9,7 +9,7 @@ from pyspark.sql import Row
 
 from geopulse.llm import lines, simhash, substrings
 from geopulse.llm.common import components
-from geopulse.llm.queries import QUERIES
+from geopulse.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -150,3 +150,10 @@ def test_substrings_awkward(awkward, empty):
     got = {r["doc_id"]: r for r in substrings.deduplicate(awkward).collect()}
     assert got[1]["n_removed"] == 0 and got[2]["n_removed"] == 15 and got[4]["n_words"] == 0 and got[12]["n_removed"] == 0
     assert substrings.deduplicate(awkward).count() == awkward.count() and substrings.deduplicate(empty).count() == 0
+
+
+def test_substrings_sql_says_the_same(spark):
+    from compare import connect, differences, duck_side, spark_side
+
+    assert set(ORACLE_SQL) <= set(QUERIES)
+    assert not differences(spark_side(QUERIES["op6_substrings"](spark, SF)), duck_side(connect(SF), ORACLE_SQL["op6_substrings"]))
