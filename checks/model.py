@@ -9,6 +9,7 @@ from geopulse.operators import evaluate as ev
 from geopulse.operators import features, forest
 from geopulse.plans import training
 from geopulse.sources.lake import dataset_revision
+from geopulse.workspace import materialise
 
 FEATURES = " ".join(f"{name}:f" for name in features.FEATURES)
 FEATURE_SQL = ", ".join(features.FEATURES)
@@ -52,6 +53,27 @@ def _(t):
     return fitted.nodes
 
 
+COMPLETE = " and ".join(f"{c} is not null" for c in features.FEATURES)
+
+
+@check("forest_invariants", "tree root_rows:i leaf_rows:i uneven_splits:i too_deep:i",
+       f"""select tree, n as root_rows, n as leaf_rows, 0 as uneven_splits, 0 as too_deep
+          from (select unnest(range({forest.TREES})) as tree), (select least({forest.SAMPLE_SIZE}, count(*)) as n from feature_table where {COMPLETE})""")
+def _(t):
+    # every tree: the rows it starts from, the rows of its leaves, splits whose children do not add up, nodes past the depth limit
+    nodes = materialise(
+        forest.fit_isolation_forest(features.feature_matrix(t.feature_table), features.FEATURES, features.KEYS).nodes, "forest"
+    )
+    child = nodes.select("tree", F.col("node").alias("child"), F.col("size").alias("child_size"))
+    inner = nodes.where("feature >= 0").select("tree", "node", "size", F.explode(F.array("below", "above")).alias("child"))
+    uneven = inner.join(child, ["tree", "child"]).groupBy("tree", "node", "size").agg(F.sum("child_size").alias("parts")).where("parts <> size")
+    counted = nodes.groupBy("tree").agg(
+        F.sum(F.when(F.col("node") == 0, F.col("size"))).alias("root_rows"), F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("leaf_rows"),
+        F.count_if(F.col("depth") > 8).alias("too_deep"),
+    )
+    return counted.join(uneven.groupBy("tree").agg(F.count(F.lit(1)).alias("n")), "tree", "left").withColumn("uneven_splits", F.coalesce("n", F.lit(0)))
+
+
 @check("score", "region_id observation_date:d anomaly_score:f")
 def _(t):
     matrix = features.feature_matrix(t.feature_table)
@@ -65,6 +87,21 @@ def _(t):
     return training.batch_score(t.feature_table, trained, "rev-1", F.lit("2001-10-01").cast("timestamp"))
 
 
+NAMES = "[" + ", ".join(f"''{name}''" for name in sorted(features.FEATURES)) + "]"
+
+
+@check("prediction_labels", "region_id observation_date:d model_version dataset_commit region_kind scored_at:t scored:i",
+       f"""select region_id, observation_date, '{forest.MODEL_KIND}:' || substr(sha256('{forest.MODEL_KIND}|rev-1|{NAMES}|{forest.TREES}|{forest.SEED}'), 1, 12) as model_version,
+          'rev-1' as dataset_commit, 'fire' as region_kind, timestamp '2001-10-01' as scored_at, 1 as scored from feature_table""")
+def _(t):
+    trained = training.train(t.feature_table)
+    out = training.batch_score(t.feature_table, trained, "rev-1", F.lit("2001-10-01").cast("timestamp"))
+    fine = F.col("anomaly_score").between(0, 1) & F.col("anomaly_percentile").between(0, 1) & (
+        F.col("is_anomaly") == (F.col("anomaly_percentile") >= F.col("threshold"))
+    )
+    return out.withColumn("scored", fine.cast("int"))
+
+
 @check("reference_flag_kept", "region_id rows:i rule_flags:i matches:i",
        """select region_id, count(*) as rows, count(*) filter (is_anomaly) as rule_flags, count(*) as matches from feature_table
           where """ + " and ".join(f"{c} is not null" for c in features.FEATURES) + " group by 1")
