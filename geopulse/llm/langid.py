@@ -103,9 +103,13 @@ def fit(
     total = frequency.get(-1, 0)
     idf = np.array([math.log((1 + total) / (1 + frequency.get(i, 0))) + 1 for i in range(features)])
 
-    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= per_language)
-    sample = rows.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi")
+    # A cutoff on the hash leaves about four times the sample of each language, so few texts travel; a row per language.
+    span = 1 << 31
+    cutoffs = [(r["lang"], int(min(1.0, 4 * per_language / r["count"]) * span)) for r in rows.groupBy("lang").count().collect()]
+    cutoffs = docs.sparkSession.createDataFrame(cutoffs, "lang string, cutoff long")
+    some = rows.join(F.broadcast(cutoffs), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) <= F.col("cutoff"))
+    turn = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(span)), "doc_id", "text")
+    sample = some.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= per_language).select("doc_id", "text", "lang")
 
     def learn(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "text"])
