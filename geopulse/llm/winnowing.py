@@ -1,11 +1,11 @@
 """Document fingerprints by winnowing (Schleimer et al. 2003), in column expressions only.
 
-A text is its runs of non-space characters in pieces of at most ``PIECE`` code points, so a text without spaces still
-has many. Every ``GRAM`` neighbouring pieces have a hash, rolled up from halves. In every window of ``SPAN`` hashes
-the least is chosen, the rightmost of equal ones; positions of the chosen stay. Two texts that share a run of
-``GRAM + SPAN - 1`` pieces share a chosen hash, and nothing shorter than ``GRAM`` pieces is ever matched.
+A text is its code points without white space. Every ``GRAM`` neighbouring ones have a hash, at stride one. In every
+window of ``SPAN`` hashes the least is chosen, the rightmost of equal ones; positions of the chosen stay. Two texts that
+share a run of ``GRAM + SPAN - 1`` code points, at whatever places, share a chosen hash, and nothing shorter than
+``GRAM`` code points is ever matched.
 
-Null is the empty text, which has no hashes; a text of fewer than ``GRAM`` pieces has one hash of them all, one of
+Null is the empty text, which has no hashes; a text of fewer than ``GRAM`` code points has one hash of them all, one of
 fewer than ``SPAN`` hashes has one window. Equal texts have equal fingerprints. Likeness is the Jaccard index of the
 chosen hashes, 1 for two empty sets. Nothing here runs outside the JVM.
 """
@@ -17,8 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECE, GRAM, SPAN = 16, 4, 8
-#: Bits of a position beside the leading bits of its hash in one long; a string has fewer pieces than that.
+GRAM, SPAN = 16, 8
+#: Bits of a position beside the leading bits of its hash in one long; a string has fewer code points than that.
 PLACE_BITS = 30
 _LAST = (1 << PLACE_BITS) - 1
 
@@ -35,22 +35,19 @@ def _neighbours(values: Column, apart: int, join) -> Column:
 
 
 def grams(text: Column) -> Column:
-    """Hashes of every ``GRAM`` neighbouring pieces, in order."""
-    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[^\\x20\\x09-\\x0D]{{1,{PIECE}}}"), F.lit(0))
+    """Hashes of every ``GRAM`` neighbouring code points, in order."""
+    solid = F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", "")
 
-    def rolled(hashes: Column, done: int = 1) -> Column:
-        if done == GRAM:
-            return hashes
-        return _let(_neighbours(hashes, done, lambda a, b: F.xxhash64(a, b)), lambda h: rolled(h, 2 * done))
-
-    def of(found: Column) -> Column:
+    def of(points: Column) -> Column:
+        size = (F.octet_length(points) / 4).cast("int")
+        places = F.sequence(F.lit(0), size - GRAM)
         return (
-            F.when(F.size(found) == 0, F.expr("cast(array() as array<bigint>)"))
-            .when(F.size(found) < GRAM, F.array(F.xxhash64(F.array_join(found, " "))))
-            .otherwise(_let(F.transform(found, lambda x: F.xxhash64(x)), lambda h: rolled(h)))
+            F.when(size == 0, F.expr("cast(array() as array<bigint>)"))
+            .when(size < GRAM, F.array(F.xxhash64(points)))
+            .otherwise(F.transform(places, lambda i: F.xxhash64(F.substring(points, i * 4 + 1, F.lit(4 * GRAM)))))
         )
 
-    return _let(pieces, of)
+    return _let(F.encode(solid, "UTF-32"), of)
 
 
 def chosen(hashes: Column) -> Column:
@@ -100,7 +97,8 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id, text, marks, next_text, next_marks``: each text and the next one by id (after the last, the first).
 
     One shuffle of the texts: ranges of ids become buckets, and the first row of each also goes to the bucket before
-    it, so a window inside the bucket sees every next row. Null ids come first, equal ids in order of text.
+    it, so a window inside the bucket sees every next row. Null ids come first, equal ids in order of text. Marks pass the
+    window as plain arrays, a third of their size as structs; of ``next_marks`` there is only ``hash``.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -122,8 +120,11 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.select("doc_id", "text", "at", F.col("spot.bucket").alias("bucket"), F.col("spot.guest").alias("guest"))
     rows = rows.repartition(buckets, "bucket").withColumn("marks", fingerprint(F.col("text")))
     order = Window.partitionBy("bucket").orderBy("guest", "at", "text")
-    seen = rows.withColumn("following", F.lead(F.struct("text", "marks")).over(order)).where("guest = 0")
-    return seen.select("doc_id", "text", "marks", F.col("following.text").alias("next_text"), F.col("following.marks").alias("next_marks"))
+    rows = rows.select("doc_id", "text", "at", "bucket", "guest", F.col("marks.hash").alias("hashes"), F.col("marks.place").alias("places"))
+    seen = rows.withColumn("following", F.lead(F.struct("text", "hashes")).over(order)).where("guest = 0")
+    marks = F.zip_with("hashes", "places", lambda h, p: F.struct(h.alias("hash"), p.alias("place")))
+    following = F.struct(F.col("following.hashes").alias("hash"))
+    return seen.select("doc_id", "text", marks.alias("marks"), F.col("following.text").alias("next_text"), following.alias("next_marks"))
 
 
 def _bucket(value: Column, cuts: list[int]) -> Column:
