@@ -385,9 +385,12 @@ def classes(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_col:
 
 
 def deduplicate(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows with only the first line of each class left in the text; lines under ``least`` characters always stay."""
+    """The rows with only the first line of each class left in the text; blank lines always stay.
+
+    A line under ``least`` characters is a class with its exact repeats alone.
+    """
     found = classes(docs, edits=edits, least=least, id_col=id_col, text_col=text_col)
-    late = found.where(F.col("chars") >= least).where("doc_id <> class_doc_id or line_no <> class_line_no")
+    late = found.where("chars > 0").where("doc_id <> class_doc_id or line_no <> class_line_no")
     gone = late.groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
     named = gone.withColumnRenamed("doc_id", "__id").hint("merge")
     joined = docs.join(named, docs[id_col].cast("long") == F.col("__id"), "left").drop("__id")
@@ -400,7 +403,7 @@ def deduplicate(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_c
             for text, null, cut in zip(texts(column), column.is_null().to_pylist(), cuts, strict=True):
                 if cut and not null:
                     drop = set(cut)
-                    text = "\n".join([x for i, x in enumerate(text.split("\n")) if i not in drop])
+                    text = "\n".join([x for i, x in enumerate(text.split("\n")) if i not in drop or not x.strip()])
                 out.append(None if null else text)
             columns = list(batch.columns[: len(names)])
             columns[place] = pa.array(out, pa.string())
