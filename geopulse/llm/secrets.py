@@ -32,7 +32,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # the runs of [0-9a-f]+ that are long enough
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
 KINDS = ("assign", "access", "hex", "random")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: A sign of equality only ends a candidate, so the value of NAME=VALUE is one of its own.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
