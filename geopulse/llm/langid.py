@@ -104,8 +104,9 @@ def fit(
     idf = np.array([math.log((1 + total) / (1 + frequency.get(i, 0))) + 1 for i in range(features)])
 
     # A cutoff on the hash leaves about four times the sample of each language, so few texts travel; a row per language.
+    # Rows of one id have one hash, so ids are counted, not rows.
     span = 1 << 31
-    cutoffs = [(r["lang"], int(min(1.0, 4 * per_language / r["count"]) * span)) for r in rows.groupBy("lang").count().collect()]
+    cutoffs = [(r["lang"], int(min(1.0, 4 * per_language / r["count"]) * span)) for r in rows.groupBy("lang").agg(F.count_distinct("doc_id").alias("count")).collect()]
     cutoffs = docs.sparkSession.createDataFrame(cutoffs, "lang string, cutoff long")
     some = rows.join(F.broadcast(cutoffs), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) <= F.col("cutoff"))
     turn = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(span)), "doc_id", "text")
