@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -121,6 +122,36 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "m")), F.sum(F.hash("v", "m").cast("long"))).first())
 
 
+def joined_digest(rows: DataFrame, key: str, value: str, glue: str) -> DataFrame:
+    """``key, digest``: SHA-256 of the values of a key, glued, for rows that stand together by key and in order within it.
+
+    Values stream by: none but the running hash is held.
+    """
+
+    def run(batches):
+        now, running = None, None
+        for batch in batches:
+            keys, out = batch.column(0), []
+            for own, part in zip(keys.to_pylist(), binaries(batch.column(1)), strict=True):
+                if running is None or own != now:
+                    if running is not None:
+                        out.append((now, running.hexdigest()))
+                    now, running = own, hashlib.sha256(part)
+                else:
+                    running.update(glue.encode())
+                    running.update(part)
+            yield _digests(out, keys.type)
+        if running is not None:
+            yield _digests([(now, running.hexdigest())], keys.type)
+
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.select(key, F.col(value).cast("string").alias(value)).mapInArrow(run, f"{key} {kind}, digest string")
+
+
+def _digests(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], kind), pa.array([f[1] for f in found], pa.string())], ["key", "digest"])
+
+
 def texts(column: pa.Array) -> list[str]:
     """A string column as Python strings; null is empty, bytes that are not UTF-8 become U+FFFD."""
     return [x.decode("utf-8", "replace") for x in binaries(column)]

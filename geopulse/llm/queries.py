@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geopulse.llm import bpe, langid, lines, neighbours, packing, secrets, simhash, substrings, token_counts, winnowing
-from geopulse.llm.common import table
+from geopulse.llm import bpe, langid, licences, lines, neighbours, packing, prefixes, repair, secrets, simhash, substrings, token_counts, winnowing
+from geopulse.llm.common import joined_digest, table
+from geopulse.workspace import materialise
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +61,34 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(repair.ordered(table(spark, sf_dir, "conversations")))
+    plans = materialise(repair.scripts(rows), "scripts")
+    left = repair.repaired(rows, plans).select("conv_id", F.concat_ws(":", "role", "text").alias("said"))
+    digests = joined_digest(left, "conv_id", "said", "\n").select(F.col("conv_id").alias("id"), "digest")
+    digest = F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return plans.join(digests, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(*plans.columns, digest)
+
+
+def op12_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spoken = prefixes.shared_starts(prefixes.turns(table(spark, sf_dir, "conversations")))
+    return prefixes.trie(prefixes.sequences(spoken))
+
+
+def op13_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    base, own = F.array_distinct("phrases.label"), F.array_distinct("spans.label")
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"), F.array_min("phrases.start").alias("first_word"),
+        F.array_max("phrases.start").alias("last_word"), F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"), "score",
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash, "op2_winnowing": op2_winnowing, "op3_packing": op3_packing, "op4_lines": op4_lines, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings,
     "op7_bpe": op7_bpe, "op8_token_counts": op8_token_counts, "op9_langid": op9_langid, "op10_neighbours": op10_neighbours,
+    "op11_repair": op11_repair, "op12_prefixes": op12_prefixes, "op13_licences": op13_licences,
 }
 # The others hash with XXH64, tokenise, learn or approximate, which SQL does not state; tests hold them against brute force.
 ORACLE_SQL = {
