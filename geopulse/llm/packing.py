@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import re
 import zlib
 from collections import defaultdict
 
@@ -22,6 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from geopulse.llm import bpe
 from geopulse.llm.common import texts, tokenizer_file
 from geopulse.workspace import materialise
 
@@ -29,6 +31,10 @@ SIZE = 2048
 CLOSING = 1
 #: Ranks of ``byte_bpe_50k.json`` and the special token that its library finds inside texts.
 RANKS, SPECIAL = "byte_bpe_50k.tiktoken", {"<|endoftext|>": 50256}
+#: Characters of a run from which a text is split and merged by ``bpe`` instead of the library.
+LONG = 4096
+_BLANKS = re.compile(rf"\s{{{LONG}}}")
+_SPECIAL = re.compile("(" + "|".join(map(re.escape, SPECIAL)) + ")")
 #: Pieces of one length that are numbered within one task.
 RANK_ROWS = 100_000
 _SLOTS = "length int, first long, last long, base long, offset long"
@@ -43,7 +49,22 @@ def tokenizer(ranks: str = RANKS) -> tiktoken.Encoding:
     return tiktoken.Encoding(ranks, pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens=SPECIAL)
 
 
+def _runs_long(text: str) -> bool:
+    """Whether a run with or without white space has ``LONG`` characters: the library's splitter fails on very long ones."""
+    return len(text) >= LONG and (max(map(len, text.split()), default=0) >= LONG or _BLANKS.search(text) is not None)
+
+
+def _merged_ids(text: str, ranks: str) -> np.ndarray:
+    """Ids by the splitting and the heap of :mod:`bpe`, whatever the length of a run; special tokens cut the text."""
+    own, out = bpe.load(ranks), []
+    for i, part in enumerate(_SPECIAL.split(text)):
+        out += [SPECIAL[part]] if i % 2 else [x for piece in own.encode([part])[0] for x in piece]
+    return np.array(out, "<u4")
+
+
 def token_ids(text: str, ranks: str = RANKS) -> np.ndarray:
+    if _runs_long(text):
+        return _merged_ids(text, ranks)
     own = tokenizer(ranks)
     if any(special in text for special in SPECIAL):
         return np.array(own.encode(text, allowed_special="all"), "<u4")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geopulse.llm import bpe, langid, licences, lines, neighbours, packing, prefixes, repair, secrets, simhash, substrings, token_counts, winnowing
+from geopulse.llm import bpe, conversation_sql, langid, licences, lines, neighbours, packing, prefixes, repair, secrets, simhash, substrings, token_counts, winnowing
 from geopulse.llm.common import joined_digest, table
 from geopulse.workspace import materialise
 
@@ -92,6 +92,7 @@ QUERIES = {
 }
 # The others hash with XXH64, tokenise, learn or approximate, which SQL does not state; tests hold them against brute force.
 ORACLE_SQL = {
+    "op11_repair": conversation_sql.REPAIR, "op12_prefixes": conversation_sql.PREFIXES,
     "op6_substrings": r"""
 with split as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
 windows as (

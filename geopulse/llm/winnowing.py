@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GRAM, SPAN = 16, 8
+SPACE = " \t\n\x0b\x0c\r"
 #: Bits of a position beside the leading bits of its hash in one long; a string has fewer code points than that.
 PLACE_BITS = 30
 _LAST = (1 << PLACE_BITS) - 1
@@ -34,47 +35,86 @@ def _neighbours(values: Column, apart: int, join) -> Column:
     return F.zip_with(F.slice(values, F.lit(1), left), F.slice(values, F.lit(1 + apart), left), join)
 
 
-def grams(text: Column) -> Column:
-    """Hashes of every ``GRAM`` neighbouring code points, in order."""
-    solid = F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", "")
+def solid(text: Column) -> Column:
+    """The code points of a text without white space."""
+    return F.translate(F.coalesce(text, F.lit("")), SPACE, "")
 
-    def of(points: Column) -> Column:
-        size = (F.octet_length(points) / 4).cast("int")
-        places = F.sequence(F.lit(0), size - GRAM)
-        return (
-            F.when(size == 0, F.expr("cast(array() as array<bigint>)"))
-            .when(size < GRAM, F.array(F.xxhash64(points)))
-            .otherwise(F.transform(places, lambda i: F.xxhash64(F.substring(points, i * 4 + 1, F.lit(4 * GRAM)))))
-        )
 
-    return _let(F.encode(solid, "UTF-32"), of)
+def _gram(points: Column, place: Column) -> Column:
+    """Hash of the gram at a place of UTF-32 code points; what is shorter than a gram is hashed whole."""
+    return F.xxhash64(F.substring(points, place * 4 + 1, F.lit(4 * GRAM)))
 
 
-def chosen(hashes: Column) -> Column:
-    """Places of the hashes chosen by winnowing."""
-    # The leading bits of the hash, then the place counted backwards: the least is the rightmost of the least.
-    coded = F.transform(hashes, lambda g, i: F.shiftleft(F.shiftrightunsigned(g, PLACE_BITS + 1), PLACE_BITS) + (_LAST - i))
+def _code(gram: Column, place: Column) -> Column:
+    """The leading bits of a hash, then the place counted backwards: the least is the rightmost of the least."""
+    return F.shiftleft(F.shiftrightunsigned(gram, PLACE_BITS + 1), PLACE_BITS) + (F.lit(_LAST) - place)
 
-    def least(values: Column, done: int = 1) -> Column:
+
+def _marks(text: Column, least: int = 1) -> Column:
+    """Hashes and places chosen in a text without white space; none where it has fewer than ``least`` grams."""
+
+    def windows(values: Column, done: int = 1) -> Column:
         if done == SPAN:
             return values
-        return _let(_neighbours(values, done, lambda a, b: F.least(a, b)), lambda v: least(v, 2 * done))
+        return _let(_neighbours(values, done, lambda a, b: F.least(a, b)), lambda v: windows(v, 2 * done))
+
+    def chosen(values: Column) -> Column:
+        few = F.when(F.size(values) < least, F.expr("cast(array() as array<bigint>)")).when(F.size(values) == 0, values)
+        return few.when(F.size(values) < SPAN, F.array(F.array_min(values))).otherwise(windows(values))
 
-    def of(values: Column) -> Column:
-        return (
-            F.when(F.size(values) == 0, values).when(F.size(values) < SPAN, F.array(F.array_min(values))).otherwise(least(values))
+    def of(points: Column) -> Column:
+        size = (F.octet_length(points) / 4).cast("int")
+        codes = F.when(size == 0, F.expr("cast(array() as array<bigint>)")).otherwise(
+            F.transform(F.sequence(F.lit(0), F.greatest(size - GRAM, F.lit(0))), lambda i: _code(_gram(points, i), i))
         )
+        places = F.transform(F.array_distinct(_let(codes, chosen)), lambda c: (F.lit(_LAST) - c.bitwiseAND(F.lit(_LAST))).cast("int"))
+        return F.transform(places, lambda p: F.struct(_gram(points, p).alias("hash"), p.alias("place")))
 
-    return F.transform(F.array_distinct(_let(coded, of)), lambda c: (F.lit(_LAST) - c.bitwiseAND(F.lit(_LAST))).cast("int"))
+    return _let(F.encode(text, "UTF-32"), of)
 
 
 def fingerprint(text: Column) -> Column:
     """``array<struct<hash, place>>``: the chosen hashes of a text in order of place."""
+    return _marks(solid(text))
+
+
+def _beginning(marks: Column, grams: Column) -> Column:
+    """Of a fingerprint the marks that its first ``grams`` hashes alone have, for at least a window of them.
+
+    The first window that chooses a mark begins ``SPAN - 1`` places before it, or after the mark before where that one is less.
+    """
+
+    def reached(mark: Column, i: Column) -> Column:
+        before = F.get(marks, i - 1)
+        rank = lambda m: F.shiftrightunsigned(m["hash"], PLACE_BITS + 1)
+        after = F.when((i > 0) & (rank(before) < rank(mark)), before["place"] + 1).otherwise(0)
+        return F.greatest(mark["place"] - (SPAN - 1), after, F.lit(0)) + SPAN <= grams
+
+    return F.filter(marks, reached)
 
-    def of(hashes: Column) -> Column:
-        return F.transform(chosen(hashes), lambda p: F.struct(F.element_at(hashes, p + 1).alias("hash"), p.alias("place")))
 
-    return _let(grams(text), of)
+def spliced(marks: Column, head: Column, next_marks: Column, tail: Column) -> Column:
+    """Fingerprint of ``head + tail``: beginnings, without white space, of texts whose fingerprints are known.
+
+    Only grams near the seam are hashed: windows inside one beginning chose what they chose in its own text.
+    """
+    reach = GRAM + SPAN - 2  # code points on each side that a window across the seam may touch
+    sizes = F.struct(F.char_length(head).alias("head"), F.char_length(tail).alias("tail"))
+
+    def of(n: Column) -> Column:
+        start = F.greatest(n["head"] - reach, F.lit(0))
+        moved = lambda found, by: F.transform(found, lambda m: F.struct(m["hash"].alias("hash"), (m["place"] + by).cast("int").alias("place")))
+        seam = F.concat(F.when(n["head"] > 0, F.right(head, F.lit(reach))).otherwise(""), F.left(tail, F.lit(reach)))
+        # A short text has one window of all there is; else the seam needs a whole window.
+        whole = n["head"] + n["tail"] < GRAM + SPAN - 1
+        across = F.when(whole, _marks(seam)).otherwise(moved(_marks(seam, SPAN), start))
+        both = F.concat(
+            F.when(whole, F.slice(marks, 1, 0)).otherwise(_beginning(marks, n["head"] - (GRAM - 1))), across,
+            F.when(whole, F.slice(next_marks, 1, 0)).otherwise(moved(_beginning(next_marks, n["tail"] - (GRAM - 1)), n["head"])),
+        )
+        return F.array_distinct(both)
+
+    return _let(sizes, of)
 
 
 def digest(marks: Column) -> Column:
@@ -85,55 +125,66 @@ def digest(marks: Column) -> Column:
 def likeness(one: Column, two: Column) -> Column:
     """Jaccard index of the hashes of two fingerprints."""
 
-    def of(both: Column) -> Column:
-        a, b = both["a"], both["b"]
-        union = F.size(F.array_union(a, b))
-        return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+    def of(n: Column) -> Column:
+        union = n["a"] + n["b"] - n["both"]
+        return F.when(union == 0, F.lit(1.0)).otherwise(n["both"] / union)
 
-    return _let(F.struct(one["hash"].alias("a"), two["hash"].alias("b")), of)
+    a, b = F.array_distinct(one["hash"]), F.array_distinct(two["hash"])
+    return _let(F.struct(F.size(a).alias("a"), F.size(b).alias("b"), F.size(F.array_intersect(a, b)).alias("both")), of)
 
 
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text, marks, next_text, next_marks``: each text and the next one by id (after the last, the first).
 
-    One shuffle of the texts: ranges of ids become buckets, and the first row of each also goes to the bucket before
-    it, so a window inside the bucket sees every next row. Null ids come first, equal ids in order of text. Marks pass the
-    window as plain arrays, a third of their size as structs; of ``next_marks`` there is only ``hash``.
+    One shuffle of the texts: ranges of ids become buckets, a partition each, and the first row of each also goes to the bucket
+    before it, so a window inside the bucket sees every next row. Null ids come first, equal ids in order of a hash of the text; an
+    id with so many rows that it fills buckets is cut by that hash. Marks pass the window as plain arrays.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("at", F.coalesce("doc_id", F.lit(-(1 << 63))))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.agg(F.percentile_approx("at", [i / buckets for i in range(1, buckets)] or [0.5], 20 * buckets)).first()[0] or []
-    cuts = sorted(set(cuts))
-    rows = rows.withColumn("bucket", _bucket(F.col("at"), cuts))
+    rows = rows.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 32)).withColumn("bucket", _bucket(F.col("at"), F.col("tie"), sorted(cuts)))
     # A row per bucket, as many as shuffle partitions.
-    firsts = sorted(tuple(r) for r in rows.groupBy("bucket").agg(F.min("at")).collect())
+    firsts = sorted((r[0], r[1]["at"], r[1]["tie"]) for r in rows.groupBy("bucket").agg(F.min(F.struct("at", "tie"))).collect())
     before = spark.createDataFrame(
-        [(b, low, firsts[i - 1][0]) for i, (b, low) in enumerate(firsts)], "bucket int, low long, previous int"
+        [(b, at, tie, i, (i - 1) % len(firsts)) for i, (b, at, tie) in enumerate(firsts)],
+        "bucket int, first_at long, first_tie long, home int, previous int",
     )
-    here = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("guest"))
-    there = F.struct(F.col("previous").alias("bucket"), F.lit(1).alias("guest"))
-    rows = rows.join(F.broadcast(before), "bucket").withColumn(
-        "spot", F.explode(F.when(F.col("at") == F.col("low"), F.array(here, there)).otherwise(F.array(here)))
+    here = F.struct(F.col("home").alias("home"), F.lit(0).alias("guest"))
+    there = F.struct(F.col("previous").alias("home"), F.lit(1).alias("guest"))
+    first = (F.col("at") == F.col("first_at")) & (F.col("tie") == F.col("first_tie"))
+    rows = rows.join(F.broadcast(before), "bucket").withColumn("spot", F.explode(F.when(first, F.array(here, there)).otherwise(F.array(here))))
+    rows = rows.select("doc_id", "text", "at", "tie", F.col("spot.home").alias("home"), F.col("spot.guest").alias("guest"))
+    rows = rows.repartitionById(max(1, len(firsts)), "home").withColumn("marks", fingerprint(F.col("text")))
+    order = Window.partitionBy("home").orderBy("guest", "at", "tie", "text")
+    rows = rows.select("doc_id", "text", "at", "tie", "home", "guest", F.col("marks.hash").alias("hashes"), F.col("marks.place").alias("places"))
+    seen = rows.withColumn("following", F.lead(F.struct("text", "hashes", "places")).over(order)).where("guest = 0")
+    marks = lambda hashes, places: F.zip_with(hashes, places, lambda h, p: F.struct(h.alias("hash"), p.alias("place")))
+    return seen.select(
+        "doc_id", "text", marks("hashes", "places").alias("marks"), F.col("following.text").alias("next_text"),
+        marks(F.col("following.hashes"), F.col("following.places")).alias("next_marks"),
     )
-    rows = rows.select("doc_id", "text", "at", F.col("spot.bucket").alias("bucket"), F.col("spot.guest").alias("guest"))
-    rows = rows.repartition(buckets, "bucket").withColumn("marks", fingerprint(F.col("text")))
-    order = Window.partitionBy("bucket").orderBy("guest", "at", "text")
-    rows = rows.select("doc_id", "text", "at", "bucket", "guest", F.col("marks.hash").alias("hashes"), F.col("marks.place").alias("places"))
-    seen = rows.withColumn("following", F.lead(F.struct("text", "hashes")).over(order)).where("guest = 0")
-    marks = F.zip_with("hashes", "places", lambda h, p: F.struct(h.alias("hash"), p.alias("place")))
-    following = F.struct(F.col("following.hashes").alias("hash"))
-    return seen.select("doc_id", "text", marks.alias("marks"), F.col("following.text").alias("next_text"), following.alias("next_marks"))
-
-
-def _bucket(value: Column, cuts: list[int]) -> Column:
-    """How many cuts are at most the value, looked up in two steps of about the square root of their number."""
+
+
+def _bucket(value: Column, tie: Column, cuts: list[int]) -> Column:
+    """How many cuts are at most the value; a value that is several cuts goes by its tie, of 32 bits, to as many buckets."""
     if not cuts:
         return F.lit(0)
+    upper = _count(value, cuts, lambda c, v: c <= v)
+    if len(set(cuts)) == len(cuts):
+        return upper
+    lower = _count(value, cuts, lambda c, v: c < v)
+    spread = F.shiftright(tie * (upper - lower), 32).cast("int")
+    return F.when(F.array_contains(F.array(*(F.lit(c).cast("long") for c in sorted(set(cuts)))), value), lower + 1 + spread).otherwise(upper)
+
+
+def _count(value: Column, cuts: list[int], holds) -> Column:
+    """How many of the sorted cuts hold for the value, looked up in two steps of about the square root of their number."""
     step = math.isqrt(len(cuts)) + 1
     parts = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    below = lambda array: F.size(F.filter(array, lambda c: c <= value))
+    below = lambda array: F.size(F.filter(array, lambda c: holds(c, value)))
     heads = F.array(*(F.lit(p[0]).cast("long") for p in parts))
     nested = F.array(*(F.array(*(F.lit(c).cast("long") for c in p)) for p in parts))
     return _let(below(heads), lambda n: F.when(n == 0, F.lit(0)).otherwise((n - 1) * step + below(F.element_at(nested, F.greatest(n, F.lit(1))))))
@@ -142,12 +193,14 @@ def _bucket(value: Column, cuts: list[int]) -> Column:
 def against_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text, of its edit (its second half replaced by the start of the next text) and their likeness.
 
-    ``doc_id, n_chars, edited, marks, edited_marks, near_edited, near_next``.
+    ``doc_id, n_chars, edited, marks, edited_marks, near_edited, near_next``. A text is hashed once; its edit only at the seam.
     """
     found = with_next(docs, id_col=id_col, text_col=text_col).withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half), F.substring(F.col("next_text"), F.lit(1), half))
-    found = found.withColumn("edited", edited).withColumn("edited_marks", fingerprint(F.col("edited")))
+    head, tail = F.left("text", F.col("n_chars").cast("int") - half), F.left("next_text", half)
+    found = found.withColumns({"head": head, "tail": tail}).withColumns({
+        "edited": F.concat("head", "tail"), "edited_marks": spliced(F.col("marks"), solid(F.col("head")), F.col("next_marks"), solid(F.col("tail"))),
+    })
     return found.select(
         "doc_id", "n_chars", "edited", "marks", "edited_marks",
         likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"), likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),

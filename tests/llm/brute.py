@@ -2,7 +2,6 @@
 
 import hashlib
 import re
-import struct
 
 import xxhash
 
@@ -38,21 +37,14 @@ def simhash(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def winnow(text, piece=16, gram=4, span=8):
-    found = re.findall(rf"[^\x20\x09-\x0D]{{1,{piece}}}", text or "")
-    if not found:
-        return []
-    if len(found) < gram:
-        hashes = [xxhash.xxh64_intdigest(" ".join(found).encode(), 42)]
-    else:
-        pair = lambda a, b: xxhash.xxh64_intdigest(struct.pack("<Q", b), xxhash.xxh64_intdigest(struct.pack("<Q", a), 42))
-        hashes, apart = [xxhash.xxh64_intdigest(x.encode(), 42) for x in found], 1
-        while apart < gram:
-            hashes = [pair(hashes[i], hashes[i + apart]) for i in range(len(hashes) - apart)]
-            apart *= 2
+def winnow(text, gram=16, span=8):
+    """``(hash, place)`` of the hashes of every ``gram`` code points, white space left out, that winnowing chooses."""
+    solid = "".join(words(text))
+    code = lambda x: xxhash.xxh64_intdigest(x.encode("utf-32-be"), 42)
+    hashes = [code(solid[i : i + gram]) for i in range(len(solid) - gram + 1)] or ([code(solid)] if solid else [])
     out, wide = [], min(span, len(hashes))
-    for i in range(len(hashes) - wide + 1):
-        j = min(range(i, i + wide), key=lambda k: (hashes[k] >> 31, -k))
+    for i in range(len(hashes) - wide + 1 if hashes else 0):
+        j = min(range(i, i + wide), key=lambda n: (hashes[n] >> 31, -n))
         if not out or out[-1] != j:
             out.append(j)
     return [(hashes[j], j) for j in out]

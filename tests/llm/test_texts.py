@@ -58,7 +58,8 @@ def test_winnowing_awkward(awkward, empty):
 
 def test_winnowing_runs_in_the_jvm(given):
     plan = winnowing.against_edits(given)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and plan.count("Exchange shufflepartitionidpassthrough") == 1
+    assert "Exchange hashpartitioning" not in plan
 
 
 def test_winnowing_guarantee(spark):
@@ -249,3 +250,13 @@ def test_language_rejects_what_is_far(spark, given):
     draw = random.Random(0)
     noise = "".join(chr(draw.randint(0x4E00, 0x9FFF)) for _ in range(600))
     assert langid.predict(model, [noise])[2] == [True]
+
+
+def test_packing_of_very_long_runs():
+    """Runs far longer than the library's splitter takes: white space, breaks, one letter, letters without a space, a special token among them."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in [" " * 30_000 + "a", "\n" * 30_000, "x" * 20_000, "漢字仮名" * 5_000, "a" + "\t " * 10_000 + "<|endoftext|>" + " " * 9_000 + "b", "ab1!" * 3_000]:
+        assert packing.token_ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    for text in [" " * 1_100_000, "\n" * 1_100_000, "a" * 200_000, "漢" * 100_000]:
+        ids = packing.token_ids(text)
+        assert b"".join(packing.bpe.load(packing.RANKS).bytes_of[i] for i in ids).decode() == text
