@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GRAM, SPAN = 16, 8
-SPACE = " \t\n\x0b\x0c\r"
 #: Bits of a position beside the leading bits of its hash in one long; a string has fewer code points than that.
 PLACE_BITS = 30
 _LAST = (1 << PLACE_BITS) - 1
@@ -37,7 +36,7 @@ def _neighbours(values: Column, apart: int, join) -> Column:
 
 def solid(text: Column) -> Column:
     """The code points of a text without white space."""
-    return F.translate(F.coalesce(text, F.lit("")), SPACE, "")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", "")
 
 
 def _gram(points: Column, place: Column) -> Column:
@@ -46,8 +45,8 @@ def _gram(points: Column, place: Column) -> Column:
 
 
 def _code(gram: Column, place: Column) -> Column:
-    """The leading bits of a hash, then the place counted backwards: the least is the rightmost of the least."""
-    return F.shiftleft(F.shiftrightunsigned(gram, PLACE_BITS + 1), PLACE_BITS) + (F.lit(_LAST) - place)
+    """The leading bits of a hash in unsigned order, less its place: the least is the rightmost of the least."""
+    return gram.bitwiseXOR(F.lit(-(1 << 63))).bitwiseAND(F.lit(~_LAST)) - place
 
 
 def _marks(text: Column, least: int = 1) -> Column:
@@ -67,7 +66,7 @@ def _marks(text: Column, least: int = 1) -> Column:
         codes = F.when(size == 0, F.expr("cast(array() as array<bigint>)")).otherwise(
             F.transform(F.sequence(F.lit(0), F.greatest(size - GRAM, F.lit(0))), lambda i: _code(_gram(points, i), i))
         )
-        places = F.transform(F.array_distinct(_let(codes, chosen)), lambda c: (F.lit(_LAST) - c.bitwiseAND(F.lit(_LAST))).cast("int"))
+        places = F.transform(F.array_distinct(_let(codes, chosen)), lambda c: F.negate(c).bitwiseAND(F.lit(_LAST)).cast("int"))
         return F.transform(places, lambda p: F.struct(_gram(points, p).alias("hash"), p.alias("place")))
 
     return _let(F.encode(text, "UTF-32"), of)
@@ -81,16 +80,36 @@ def fingerprint(text: Column) -> Column:
 def _beginning(marks: Column, grams: Column) -> Column:
     """Of a fingerprint the marks that its first ``grams`` hashes alone have, for at least a window of them.
 
-    The first window that chooses a mark begins ``SPAN - 1`` places before it, or after the mark before where that one is less.
+    Marks with a whole window after them are; of the few others the first window that chooses a mark begins ``SPAN - 1`` places before
+    it, or after the mark before where that one is less.
     """
 
-    def reached(mark: Column, i: Column) -> Column:
-        before = F.get(marks, i - 1)
+    def of(n: Column) -> Column:
+        near = F.slice(marks, F.greatest(n, F.lit(1)), F.lit(SPAN + 2))  # the last sure mark, then those in doubt
         rank = lambda m: F.shiftrightunsigned(m["hash"], PLACE_BITS + 1)
-        after = F.when((i > 0) & (rank(before) < rank(mark)), before["place"] + 1).otherwise(0)
-        return F.greatest(mark["place"] - (SPAN - 1), after, F.lit(0)) + SPAN <= grams
 
-    return F.filter(marks, reached)
+        def reached(some: Column, mark: Column, i: Column) -> Column:
+            before = F.get(some, i - 1)
+            after = F.when((i > 0) & (rank(before) < rank(mark)), before["place"] + 1).otherwise(0)
+            first = F.greatest(mark["place"] - (SPAN - 1), after, F.lit(0))
+            return (mark["place"] > grams - SPAN) & (first + SPAN <= grams)
+
+        doubtful = _let(near, lambda some: F.filter(some, lambda mark, i: reached(some, mark, i)))
+        return F.concat(F.slice(marks, F.lit(1), n), doubtful)
+
+    return _let(F.size(F.filter(marks["place"], lambda p: p <= grams - SPAN)), of)
+
+
+def _joined(left: Column, right: Column) -> Column:
+    """Marks in order of place, then others, the first of which may be the last of these."""
+
+    def of(both: Column) -> Column:
+        a, b = both["a"], both["b"]
+        last = F.when(F.size(a) == 0, -1).otherwise(F.get(a, F.size(a) - 1)["place"])
+        again = (F.size(b) > 0) & (F.get(b, F.lit(0))["place"] == last)
+        return F.when(again, F.concat(a, F.slice(b, F.lit(2), F.greatest(F.size(b) - 1, F.lit(0))))).otherwise(F.concat(a, b))
+
+    return _let(F.struct(left.alias("a"), right.alias("b")), of)
 
 
 def spliced(marks: Column, head: Column, next_marks: Column, tail: Column) -> Column:
@@ -108,11 +127,10 @@ def spliced(marks: Column, head: Column, next_marks: Column, tail: Column) -> Co
         # A short text has one window of all there is; else the seam needs a whole window.
         whole = n["head"] + n["tail"] < GRAM + SPAN - 1
         across = F.when(whole, _marks(seam)).otherwise(moved(_marks(seam, SPAN), start))
-        both = F.concat(
-            F.when(whole, F.slice(marks, 1, 0)).otherwise(_beginning(marks, n["head"] - (GRAM - 1))), across,
-            F.when(whole, F.slice(next_marks, 1, 0)).otherwise(moved(_beginning(next_marks, n["tail"] - (GRAM - 1)), n["head"])),
-        )
-        return F.array_distinct(both)
+        before = F.when(whole, F.slice(marks, 1, 0)).otherwise(_beginning(marks, n["head"] - (GRAM - 1)))
+        after = F.when(whole, F.slice(next_marks, 1, 0)).otherwise(moved(_beginning(next_marks, n["tail"] - (GRAM - 1)), n["head"]))
+        # Windows choose from left to right, so only the mark at a border can be there twice.
+        return _joined(_joined(before, across), after)
 
     return _let(sizes, of)
 
