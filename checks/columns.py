@@ -530,18 +530,40 @@ def _(t):
     return t.read("pages").select("page_id", text.redact_url(url).alias("clean"))
 
 
-@check("redact_map", "event_id token webhook note k",
-       """select event_id, 'set' as token, 'missing' as webhook, '***redacted***' as note, json_extract_string(props, '$.k') as k from events""")
+def nested(depth: int, inner: str, lists: bool) -> str:
+    """JSON around ``inner``, with plain keys on the way down; every second level a list if ``lists``."""
+    for i in range(depth):
+        inner = f'[1, {inner}, "x{i}"]' if lists and i % 2 else f'{{"a{i}": {inner}, "b": "text {i}"}}'
+    return inner
+
+
+# What stands under a sensitive key, and what is reported of it.
+UNDER = (
+    ('"KEY"', "set"), ('{"a": {"b": ["KEY", {"c": "KEY"}]}}', "set"), ('[["KEY"], "KEY"]', "set"), ('""', "missing"), ("{ }", "missing"),
+    ("[]", "missing"), ("null", "missing"), ("0", "missing"), ("false", "missing"), ("7.5e1", "set"), ('"q \\\\\\" KEY } ]"', "set"), ('{"token": "KEY"}', "set"),
+)
+NESTED = [
+    (nested(depth, f'{{"n": 1, "Db_Password" : {inner}, "note": "hf_KEY"}}', lists), nested(depth, f'{{"n": 1, "Db_Password" : "{state}", "note": "***redacted***"}}', lists))
+    for depth in range(6) for lists in (False, True) for inner, state in UNDER
+]
+
+
+@check("redact_map", "event_id token webhook note k deep",
+       "select event_id, 'set' as token, 'missing' as webhook, '***redacted***' as note, json_extract_string(props, '$.k') as k, "
+       "list_extract([" + ", ".join("'" + after.replace("'", "''") + "'" for _, after in NESTED) + f"], cast(event_id % {len(NESTED)} + 1 as bigint)) as deep from events")
 def _(t):
     e = F.md5(F.col("event_id").cast("string"))
     props = F.from_json("props", "map<string,string>")
+    deep = F.element_at(F.array(*(F.lit(before) for before, _ in NESTED)), (F.col("event_id") % len(NESTED) + 1).cast("int"))
     payload = F.map_concat(
-        props, F.create_map(F.lit("api_TOKEN"), e, F.lit("webhook_url"), F.lit(""), F.lit("note"), F.concat(F.lit("hf_"), e))
+        props, F.create_map(
+            F.lit("api_TOKEN"), e, F.lit("webhook_url"), F.lit(""), F.lit("note"), F.concat(F.lit("hf_"), e), F.lit("deep"), F.replace(deep, F.lit("KEY"), e)
+        )
     )
     clean = text.redact_map(payload)
     return t.read("events").select(
         "event_id", clean["api_TOKEN"].alias("token"), clean["webhook_url"].alias("webhook"), clean["note"].alias("note"),
-        clean["k"].alias("k"),
+        clean["k"].alias("k"), clean["deep"].alias("deep"),
     )
 
 

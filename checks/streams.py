@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import functions as F
 
 from checks.base import check
+from geopulse.config import STAGES
 from geopulse.plans import ops
-from geopulse.streaming import pipelines
+from geopulse.streaming import pipelines, state
 from geopulse.workspace import scratch
 
 
@@ -104,11 +107,12 @@ TRAILING = ", ".join(
        f"""select event_type, d + cast(o as int) as window_end, {TRAILING} from (
           select event_type, cast(ts as date) as d, cast(count(*) as double) as c, unnest(range(0, 30)) as o from events group by 1, 2) group by 1, 2""")
 def _(t):
-    sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "daily"), F.date_format("observation_date", "yyyyMM"))
-    counts = pipelines.daily_counts(events(t), "ts", ["event_type"], "value", delay="3 days")
-    keys = ["observation_date", "event_type"]
-    drain(pipelines.upsert_stream(counts, sink, scratch(t.spark, "cp"), keys, output_mode="update"))
-    return pipelines.trailing_stats(sink.latest(), ["event_type"], "detection_count", LENGTHS)
+    # fed by the events alone, late ones included; the newest statement of a window wins
+    sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "trailing"), F.date_format("window_end", "yyyyMM"))
+    stats = state.trailing_stream(events(t), "ts", ["event_type"], LENGTHS, delay_days=3)
+    keys = ["event_type", "window_end"]
+    drain(pipelines.upsert_stream(stats, sink, scratch(t.spark, "cp"), keys, output_mode="update"))
+    return sink.latest()
 
 
 @check("stream_flag_online", "region_id observation_date:d detection_count:i zscore:f is_anomaly severity",
@@ -137,9 +141,12 @@ def _(t):
                      from runs group by 1) t on t.workflow = s.workflow""")
 def _(t):
     path, schema = files(t, t.runs, "runs")
-    history = pipelines.PeriodSink(t.spark, scratch(t.spark, "history"), F.date_format("started_at", "yyyyMMdd"))
     out = pipelines.VersionedSink(t.spark, scratch(t.spark, "stages"))
     stream = pipelines.read_files(t.spark, path, schema, max_files=2)
-    asof = F.lit("2024-01-31 12:00:00").cast("timestamp")
-    drain(pipelines.monitor_runs(stream, history, scratch(t.spark, "cp"), ops.stage_table(t.spark), asof, out))
-    return out.latest()
+    asof = datetime(2024, 1, 31, 12, tzinfo=UTC)
+    # a replay: the clock of the runs stands at the time asked for
+    shift = int((datetime.now(UTC) - asof).total_seconds() * 1000)
+    query = pipelines.monitor_runs(stream, out, scratch(t.spark, "cp"), STAGES, shift_ms=shift, retention_hours=1.0, every="1 second")
+    if len(pipelines.until_idle(query)) < 2:
+        raise AssertionError("the stream ran in one micro-batch")
+    return state.stage_board(out.latest(), ops.stage_table(t.spark), F.lit("2024-01-31 12:00:00").cast("timestamp"))

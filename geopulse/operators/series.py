@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,32 +176,85 @@ def baseline_years(daily: DataFrame, halfwidth: int = DEFAULTS.ring_halfwidth) -
     )
 
 
+_BASELINE = "day_of_year int, baseline_median double, baseline_mad double, baseline_scale double, baseline_samples long, baseline_years long"
+
+
+def _middle(values: np.ndarray, counts: np.ndarray) -> float:
+    """Median of sorted values that stand ``counts`` times each."""
+    ends = np.cumsum(counts)
+    if not len(ends) or not ends[-1]:
+        return float("nan")
+    low, high = np.searchsorted(ends, [(ends[-1] - 1) // 2, ends[-1] // 2], side="right")
+    return 0.5 * values[low] + 0.5 * values[high]
+
+
+def ring_statistics(
+    slot: np.ndarray, value: np.ndarray, freq: np.ndarray, years: list[list[int]], halfwidth: int, ring: int = DEFAULTS.ring_days
+) -> dict[str, list]:
+    """Figures of every neighbourhood of a ring of day slots from one histogram that slides once around it.
+
+    Each step adds the slot that comes into reach and takes away the one that leaves. Values may be NaN: they are samples without a value.
+    """
+    distinct, place = np.unique(value[~np.isnan(value)], return_inverse=True)
+    at = np.full(len(value), len(distinct))
+    at[~np.isnan(value)] = place
+    labels = sorted({y for own in years for y in own})
+    number = {y: i for i, y in enumerate(labels)}
+    by_slot: list[list[int]] = [[] for _ in range(ring)]
+    for i, s in enumerate((slot - 1).tolist()):
+        by_slot[s].append(i)
+    seen = np.zeros((ring, len(labels)), np.int64)
+    for i, s in enumerate((slot - 1).tolist()):
+        seen[s, [number[y] for y in years[i]]] = 1
+    counts, held = np.zeros(len(distinct) + 1, np.int64), np.zeros(len(labels), np.int64)
+
+    def move(s: int, sign: int) -> None:
+        np.add.at(counts, at[by_slot[s]], sign * freq[by_slot[s]])
+        held[:] += sign * seen[s]
+
+    reach = range(-halfwidth, halfwidth + 1)
+    for offset in reach:
+        move(offset % ring, 1)
+    out: dict[str, list] = {c.split()[0]: [] for c in _BASELINE.split(", ")}
+    for centre in range(ring):
+        if centre:
+            move((centre - halfwidth - 1) % ring, -1)
+            move((centre + halfwidth) % ring, 1)
+        samples = int(counts.sum())
+        if samples:
+            own = np.flatnonzero(counts[:-1])
+            median = _middle(distinct[own], counts[own])
+            gaps = np.abs(distinct[own] - median)
+            order = np.argsort(gaps, kind="stable")
+            mad = _middle(gaps[order], counts[own][order])
+            row = (centre + 1, median, mad, DEFAULTS.mad_to_sigma * mad, samples, int((held > 0).sum()))
+            for name, x in zip(out, row, strict=True):
+                out[name].append(x)
+    return out
+
+
 def seasonal_baseline(
     daily: DataFrame, value: str = "detection_count", halfwidth: int = DEFAULTS.ring_halfwidth
 ) -> DataFrame:
-    """Median, MAD, scaled MAD, samples and years per region and day of year."""
-    keys = ["region_id", "day_of_year"]
-    ring = ring_contributions(daily, value, halfwidth)
-    half = F.lit(0.5)
-    centres = ring.groupBy(*keys).agg(
-        F.percentile("value", half, F.col("freq")).alias("baseline_median"),
-        F.sum("freq").alias("baseline_samples"),
-    )
-    spreads = (
-        ring.join(centres.select(*keys, "baseline_median"), keys)
-        .withColumn("gap", F.abs(F.col("value") - F.col("baseline_median")))
-        .groupBy(*keys)
-        .agg(F.percentile("gap", half, F.col("freq")).alias("baseline_mad"))
+    """Median, MAD, scaled MAD, samples and years per region and day of year.
+
+    History is folded to (region, day slot, value) first; a region's folded rows, no more than its days, meet once, and a histogram slides around
+    the ring there. What is shuffled does not depend on the half-width.
+    """
+    folded = daily.groupBy("region_id", F.dayofyear("observation_date").alias("slot"), F.col(value).cast("double").alias("value")).agg(
+        F.count(F.lit(1)).alias("freq"), F.collect_set(F.year("observation_date")).alias("years")
     )
-    return (
-        centres.join(spreads, keys)
-        .join(baseline_years(daily, halfwidth), keys)
-        .select(
-            *keys, "baseline_median", "baseline_mad",
-            (F.lit(DEFAULTS.mad_to_sigma) * F.col("baseline_mad")).alias("baseline_scale"),
-            "baseline_samples", "baseline_years",
+
+    def slide(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        found = ring_statistics(
+            rows["slot"].to_numpy(), rows["value"].to_numpy(float), rows["freq"].to_numpy(np.int64), rows["years"].tolist(), halfwidth
         )
-    )
+        out = pd.DataFrame(found)
+        out.insert(0, "region_id", key[0])
+        return out
+
+    kind = daily.schema["region_id"].dataType.simpleString()
+    return folded.groupBy("region_id").applyInPandas(slide, f"region_id {kind}, {_BASELINE}")
 
 
 def join_baseline(daily: DataFrame, baseline: DataFrame, day: str = "observation_date") -> DataFrame:

@@ -6,6 +6,7 @@ Every query runs from a file source with an explicit schema and a checkpoint in
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,8 @@ from geopulse.config import DEFAULTS, FIRE_LADDER, Thresholds
 from geopulse.functions import scoring
 from geopulse.operators.dedup import latest_wins
 from geopulse.operators.upsert import upsert
-from geopulse.plans.ops import stage_states
 from geopulse.sources.versions import PeriodSink, VersionedSink
+from geopulse.streaming.state import run_health
 
 
 def read_files(
@@ -110,45 +111,42 @@ def flag_online(counts: DataFrame, baseline: DataFrame, limits: Thresholds = DEF
 
 
 def monitor_runs(
-    stream: DataFrame, history: Sink, checkpoint: str, stages: DataFrame, asof: Column, out: VersionedSink,
-    *, available_now: bool = True,
+    stream: DataFrame, out: VersionedSink, checkpoint: str, stages: Sequence[tuple[str, str | None, int | None]],
+    *, retention_hours: float = 24.0 * 30, shift_ms: int = 0, every: str = "10 seconds",
 ) -> StreamingQuery:
-    """Keep the run history current and re-state every stage after each batch of runs; a later copy of a run wins."""
-    newest = [F.desc_nulls_last("finished_at"), F.desc_nulls_last("started_at")]
+    """Keep the last statement of every stage in a table of as many rows as stages; :func:`state.stage_board` reads it.
+
+    No history is read again: totals are keyed state, and a stage that gets no runs turns overdue by its timer. The query goes
+    on while time passes; :func:`until_idle` ends one over files that no longer grow.
+    """
 
     def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-        rows = batch if current is None else current.unionByName(batch, allowMissingColumns=True)
-        return latest_wins(rows, ["run_id"], newest)
+        rows = batch if current is None else current.unionByName(batch)
+        return latest_wins(rows, ["stage"], [F.desc("stated_ms"), F.desc("runs")])
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        history.fold(batch, batch_id, merge)
-        runs = history.latest()
-        out.fold(batch, batch_id, lambda _, __: stage_states(runs, stages, asof))
-
-    writer = stream.writeStream.foreachBatch(fold)
-    return _start(writer, checkpoint, available_now)
-
-
-def trailing_stats(
-    counts: DataFrame, keys: Sequence[str], value: str, lengths: Sequence[int] = (7, 14, 30), day: str = "observation_date"
-) -> DataFrame:
-    """Trailing statistics of daily counts: mean, maximum, deviation and zero days of each window, days without rows as zero.
-
-    Each day's count goes to the at most ``max(lengths)`` windows that hold it, so sums need no ordered scan of a series;
-    a window is stated for every day on which it holds a count. Zero days are those of the window without a count.
-    """
-    longest = max(lengths)
-    moved = counts.select(
-        *keys, F.col(day), F.col(value).cast("double").alias("v"), F.explode(F.sequence(F.lit(0), F.lit(longest - 1))).alias("back")
-    ).withColumn("window_end", F.date_add(day, F.col("back")))
-    out = []
-    for n in lengths:
-        inside = F.col("back") < n
-        held, total, square = (F.sum(F.when(inside, x)) for x in (F.lit(1), F.col("v"), F.col("v") * F.col("v")))
-        some = F.count_if(inside & (F.col("v") != 0))
-        spread = F.greatest(square - total * total / n, F.lit(0.0)) / (n - 1) if n > 1 else F.lit(None)
-        out += [
-            F.when(held > 0, total / n).alias(f"mean_{n}"), F.max(F.when(inside, F.col("v"))).alias(f"max_{n}"),
-            F.when(held > 0, F.sqrt(spread)).alias(f"stddev_{n}"), F.when(held > 0, n - some).alias(f"zero_days_{n}"),
-        ]
-    return moved.groupBy(*keys, "window_end").agg(*out)
+        # Passing time makes batches without rows.
+        if not batch.isEmpty():
+            out.fold(batch, batch_id, merge)
+
+    stated = run_health(stream, stages, retention_hours=retention_hours, shift_ms=shift_ms)
+    writer = stated.writeStream.outputMode("update").foreachBatch(fold).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=every).start()
+
+
+def until_idle(query: StreamingQuery, seconds: float = 120.0) -> list[dict]:
+    """Stop a query once a batch found no new rows after some that did; the progress of the batches with rows."""
+    deadline, fed = time.monotonic() + seconds, {}
+    while query.isActive and time.monotonic() < deadline:
+        for p in query.recentProgress:
+            if p["numInputRows"]:
+                fed[p["batchId"]] = p
+        last = query.lastProgress
+        if fed and last is not None and not last["numInputRows"] and last["batchId"] > max(fed):
+            query.stop()
+            return list(fed.values())
+        time.sleep(0.2)
+    if query.exception() is not None:
+        raise query.exception()
+    query.stop()
+    raise TimeoutError("the stream had no batch without rows in time")
