@@ -45,7 +45,7 @@ def _(t):
 
 
 @check("ring_contributions", "region_id day_of_year:i value:i freq:i",
-       "select region_id, day_of_year, detection_count as value, count(*) as freq from ring group by 1, 2, 3")
+       "select region_id, day_of_year, value, count(*) as freq from (select region_id, day_of_year, unnest(counts) as value from near_days) group by 1, 2, 3")
 def _(t):
     return series.ring_contributions(t.daily)
 
@@ -60,7 +60,7 @@ def _(t):
     )
 
 
-@check("baseline_years", "region_id day_of_year:i baseline_years:i", "select * from ring_centre")
+@check("baseline_years", "region_id day_of_year:i baseline_years:i", "select * from neighbourhood")
 def _(t):
     return series.baseline_years(t.daily)
 

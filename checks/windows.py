@@ -25,20 +25,20 @@ def _(t):
     )
 
 
-@check("lags", "region_id observation_date:d count_lag1 count_lag2 count_lag3 count_lag7", "select * from feature_windows")
+@check("lags", "region_id observation_date:d count_lag1 count_lag2 count_lag3 count_lag7", "select * from trailing_figures")
 def _(t):
     return features.lags(features.scoreable_days(t.fire))
 
 
 @check("trailing_windows",
        "region_id observation_date:d count_mean_7:f count_std_7:f count_max_7 count_mean_14:f count_max_14 count_mean_30:f count_std_30:f zero_days_30",
-       "select * from feature_windows")
+       "select * from trailing_figures")
 def _(t):
     return features.trailing_windows(features.scoreable_days(t.fire))
 
 
 @check("lead_in", "region_id observation_date:d sst_anomaly_mean_7:f sst_anomaly_change_7:f",
-       "select region_id, observation_date, m7 as sst_anomaly_mean_7, m7 - p7 as sst_anomaly_change_7 from lead_in")
+       "select region_id, observation_date, last_week as sst_anomaly_mean_7, last_week - week_before as sst_anomaly_change_7 from sst_before")
 def _(t):
     return features.lead_in(t.sst_daily)
 
