@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import check
+from checks.base import CTES, check
 from geopulse.operators import evaluate as ev
 from geopulse.operators import features, forest
 from geopulse.plans import training
@@ -42,15 +42,75 @@ def _(t):
     return features.feature_report(t.feature_table)
 
 
-# -- forest: no SQL states it; tests check planted outliers, ranges and determinism ---------------
+# -- forest: the digests that choose rows, features and cuts are the same in SQL -------------------
+
+
+def _number(text: str) -> str:
+    return f"cast('0x' || substr(md5({text}), 1, {forest.DIGITS}) as bigint)"
+
+
+def _unit(what: str) -> str:
+    text = f"'{forest.SEED}:' || tree || ':' || node || ':{what}'"
+    return f"({_number(text)} / {16.0**forest.DIGITS!r})"
+
+
+WIDE = len(features.FEATURES)
+LOW, HIGH = (", ".join(f"{f}(x[{i}])" for i in range(1, WIDE + 1)) for f in ("min", "max"))
+# What a node does with its rows, from the least and greatest value of every feature.
+DECIDED = f"""
+  select *, case when feature >= 0 then case when raw_cut > lo[feature + 1] then raw_cut else hi[feature + 1] end else 0e0 end as cut from (
+    select *, case when feature >= 0 then lo[feature + 1] + {_unit("cut")} * (hi[feature + 1] - lo[feature + 1]) end as raw_cut from (
+      select *, case when depth < 8 and n > 1 and len(open) > 0 then open[cast(floor({_unit("feature")} * len(open)) as int) + 1] else -1 end as feature from (
+        select *, list_filter(range(0, {WIDE}), lambda i: hi[i + 1] > lo[i + 1]) as open from (
+          select tree, node, depth, count(*) as n, [{LOW}] as lo, [{HIGH}] as hi, list({{'k': k, 'x': x}}) as members from MEMBERS group by 1, 2, 3))))"""
+FOREST = {
+    "matrix": f"""select region_id, observation_date, {_number("region_id || '|' || observation_date")} as k, [{", ".join(f"round(cast({c} as double) + 1e-9, 6)" for c in features.FEATURES)}] as x
+                  from feature_table where {" and ".join(f"{c} is not null" for c in features.FEATURES)}""",
+    "mixers": f"""select tree, 1 + {_number(f"'{forest.SEED}:' || tree || ':factor'")} % {forest.PRIME - 1} as a, {_number(f"'{forest.SEED}:' || tree || ':summand'")} % {forest.PRIME} as b
+                  from (select unnest(range({forest.TREES})) as tree)""",
+    "sampled": f"""select tree, k, x from (select tree, k, x, row_number() over (partition by tree order by (k % {forest.PRIME} * a + b) % {forest.PRIME}, k) as place from matrix, mixers)
+                   where place <= {forest.SAMPLE_SIZE}""",
+    "grown": f"""
+        with recursive grow as (
+          select tree, cast(0 as bigint) as node, 0 as depth, k, x from sampled
+          union all
+          select tree, 2 * node + case when m.x[feature + 1] < cut then 1 else 2 end, depth + 1, m.k, m.x
+          from (select tree, node, depth, feature, cut, unnest(members) as m from ({DECIDED.replace("MEMBERS", "grow")}) d where feature >= 0) s)
+        select * from grow""",
+    "forest_nodes": f"""
+        select tree, node, feature, cut, case when feature >= 0 then 2 * node + 1 else -1 end as below, case when feature >= 0 then 2 * node + 2 else -1 end as above,
+               n as size, depth from ({DECIDED.replace("MEMBERS", "grown")}) d""",
+    "leaf_lengths": """
+        select *, depth + case when size > 2 then 2e0 * (ln(size - 1e0) + 0.5772156649015329e0) - 2e0 * (size - 1e0) / size when size = 2 then 1e0 else 0e0 end as length
+        from forest_nodes""",
+}
+
+
+def _walked(rows: str) -> str:
+    """Scores of rows with ``x``: every tree is walked one level a join."""
+    at = f"select r.*, tree, cast(0 as bigint) as node from {rows} r, (select distinct tree from forest_nodes)"
+    for _ in range(8):
+        at = f"""select w.* exclude (node), case when n.feature < 0 then w.node when w.x[n.feature + 1] < n.cut then n.below else n.above end as node
+                 from ({at}) w join forest_nodes n on n.tree = w.tree and n.node = w.node"""
+    size = float(forest.expected_path([forest.SAMPLE_SIZE])[0])
+    return f"""select region_id, observation_date, pow(2e0, -sum(length) / {forest.TREES}e0 / {size!r}) as anomaly_score
+               from ({at}) w join leaf_lengths l on l.tree = w.tree and l.node = w.node group by 1, 2"""
+
+
+FOREST["forest_scores"] = _walked("matrix")
+CTES.update(FOREST)
+
+
+def _matrix(t):
+    # both engines add in their own order, so features are cut to six places before trees compare them
+    matrix = features.feature_matrix(t.feature_table)
+    return matrix.select(*features.KEYS, *[(F.round(F.col(c).cast("double") + 1e-9, 6)).alias(c) for c in features.FEATURES])
 
 
-@check("fit_isolation_forest", "tree node feature cut:f below above size depth")
+@check("fit_isolation_forest", "tree node:i feature:i cut:f below:i above:i size:i depth:i",
+       "select cast(tree as int) as tree, node, feature, cut, below, above, size, depth from forest_nodes")
 def _(t):
-    fitted = forest.fit_isolation_forest(
-        features.feature_matrix(t.feature_table), features.FEATURES, features.KEYS
-    )
-    return fitted.nodes
+    return forest.fit_isolation_forest(_matrix(t), features.FEATURES, features.KEYS).nodes
 
 
 COMPLETE = " and ".join(f"{c} is not null" for c in features.FEATURES)
@@ -74,9 +134,9 @@ def _(t):
     return counted.join(uneven.groupBy("tree").agg(F.count(F.lit(1)).alias("n")), "tree", "left").withColumn("uneven_splits", F.coalesce("n", F.lit(0)))
 
 
-@check("score", "region_id observation_date:d anomaly_score:f")
+@check("score", "region_id observation_date:d anomaly_score:f", "select * from forest_scores")
 def _(t):
-    matrix = features.feature_matrix(t.feature_table)
+    matrix = _matrix(t)
     fitted = forest.fit_isolation_forest(matrix, features.FEATURES, features.KEYS)
     return forest.score(matrix, fitted)
 

@@ -3,10 +3,14 @@
 Follows Liu, Ting and Zhou (2008). A tree sees at most ``sample_size`` rows however large the
 table is, and the fitted forest holds at most ``n_trees * (2 * sample_size - 1)`` nodes, which
 bounds everything that is grouped, collected or shipped to the executors.
+
+Nothing is drawn from a generator: rows, split features and cuts follow from MD5 of seed, tree and node, so any engine that
+has the digest can state the same forest. Nodes are numbered like a heap, the children of ``n`` are ``2n + 1`` and ``2n + 2``.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -27,6 +31,38 @@ SAMPLE_SIZE = 256
 MODEL_KIND = "isolation_forest_fire"
 
 
+#: Hex digits of a digest that make a number; a prime that rows and trees are mixed by.
+DIGITS, PRIME = 12, (1 << 31) - 1
+#: Rows that walk all trees at once.
+WALK_ROWS = 4096
+
+
+def number(text: str) -> int:
+    """The leading digits of the MD5 of a text as a whole number."""
+    return int(hashlib.md5(text.encode()).hexdigest()[:DIGITS], 16)
+
+
+def unit(text: str) -> float:
+    """A number from 0 to below 1."""
+    return number(text) / 16.0**DIGITS
+
+
+def mixer(seed: int, tree: int) -> tuple[int, int]:
+    """Factor and summand of the linear map that gives rows their priority in a tree."""
+    return 1 + number(f"{seed}:{tree}:factor") % (PRIME - 1), number(f"{seed}:{tree}:summand") % PRIME
+
+
+def depth_limit(size: int) -> int:
+    return max(1, int(np.ceil(np.log2(max(size, 2)))))
+
+
+def expected_path(size: np.ndarray) -> np.ndarray:
+    """Mean path length of an unsuccessful search among ``size`` rows."""
+    n = np.asarray(size, dtype=float)
+    deep = 2.0 * (np.log(np.maximum(n - 1.0, 1.0)) + np.euler_gamma) - 2.0 * (n - 1.0) / np.maximum(n, 1.0)
+    return np.where(n > 2, deep, np.where(n == 2, 1.0, 0.0))
+
+
 @dataclass(frozen=True)
 class Forest:
     """Fitted trees plus what scoring needs to stay comparable with training."""
@@ -50,17 +86,19 @@ def tree_samples(
     Every row has one priority in every tree and the lowest win. A cutoff that leaves about four times the sample
     (never fewer than wanted, but for a chance below 1e-100) keeps the rest of a large table from leaving the scan.
     """
-    row_key, span = F.xxhash64(*keys), 1 << 31
+    row_key = F.conv(F.substring(F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys))), 1, DIGITS), 16, 10).cast("long")
     keep = min(1.0, 4.0 * sample_size / max(rows, 1))
+    mixers = F.array(*(F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in (mixer(seed, t) for t in range(trees))))
 
-    def draw(tree: Column) -> Column:
-        return F.struct(tree.cast("int").alias("tree"), F.pmod(F.xxhash64(row_key, tree, F.lit(seed)), F.lit(span)).alias("priority"))
+    def draw(mix: Column, tree: Column) -> Column:
+        # A linear map modulo a prime: the products of two numbers below it fit a long.
+        return F.struct(tree.cast("int").alias("tree"), ((F.col("_row") % PRIME * mix["a"] + mix["b"]) % PRIME).alias("priority"))
 
-    ids = F.sequence(F.lit(0), F.lit(trees - 1))
-    drawn = F.filter(F.transform(ids, draw), lambda s: s["priority"] <= F.lit(int(keep * span)))
-    candidates = df.select(
-        row_key.alias("_row"), *[F.col(c).cast("double").alias(c) for c in features], F.explode(drawn).alias("s")
-    ).select("_row", F.col("s.tree").alias("tree"), F.col("s.priority").alias("priority"), *features)
+    drawn = F.filter(F.transform(mixers, draw), lambda s: s["priority"] <= F.lit(int(keep * PRIME)))
+    candidates = df.select(row_key.alias("_row"), *[F.col(c).cast("double").alias(c) for c in features])
+    candidates = candidates.select("_row", *features, F.explode(drawn).alias("s")).select(
+        "_row", F.col("s.tree").alias("tree"), F.col("s.priority").alias("priority"), *features
+    )
     order = Window.partitionBy("tree").orderBy("priority", "_row", *features)
     return (
         candidates.withColumn("_rank", F.row_number().over(order))
@@ -86,33 +124,25 @@ def fit_isolation_forest(
     def build_tree(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) != size:
             raise ValueError(f"a tree has {len(pdf)} rows instead of {size}")
-        pdf = pdf.sort_values("_rank")
-        x = pdf[names].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, int(pdf["tree"].iloc[0])])
-        limit = max(1, int(np.ceil(np.log2(max(size, 2)))))
+        x, tree = pdf.sort_values("_rank")[names].to_numpy(dtype=float), int(pdf["tree"].iloc[0])
+        limit = depth_limit(size)
         nodes = []
         pending = [(0, np.arange(len(x)), 0)]
-        free = 1
         while pending:
             node, members, depth = pending.pop()
             low, high = x[members].min(axis=0), x[members].max(axis=0)
             splittable = np.flatnonzero(high > low)
             if depth >= limit or len(members) <= 1 or len(splittable) == 0:
-                nodes.append((node, -1, 0.0, -1, -1, len(members), depth))
+                nodes.append((tree, node, -1, 0.0, -1, -1, len(members), depth))
                 continue
-            feature = int(rng.choice(splittable))
-            cut = float(rng.uniform(low[feature], high[feature]))
-            left = x[members, feature] < cut
-            if left.all() or not left.any():
-                left = x[members, feature] <= low[feature]
-                cut = float(np.nextafter(low[feature], high[feature]))
-            nodes.append((node, feature, cut, free, free + 1, len(members), depth))
-            pending.append((free, members[left], depth + 1))
-            pending.append((free + 1, members[~left], depth + 1))
-            free += 2
-        out = pd.DataFrame(nodes, columns=["node", "feature", "cut", "below", "above", "size", "depth"])
-        out.insert(0, "tree", int(pdf["tree"].iloc[0]))
-        return out
+            feature = int(splittable[int(unit(f"{seed}:{tree}:{node}:feature") * len(splittable))])
+            cut = float(low[feature] + unit(f"{seed}:{tree}:{node}:cut") * (high[feature] - low[feature]))
+            # Both sides get rows: the least is below every cut, the greatest below none.
+            cut = cut if cut > low[feature] else float(high[feature])
+            below = x[members, feature] < cut
+            nodes.append((tree, node, feature, cut, 2 * node + 1, 2 * node + 2, len(members), depth))
+            pending += [(2 * node + 1, members[below], depth + 1), (2 * node + 2, members[~below], depth + 1)]
+        return pd.DataFrame(nodes, columns=[part.split()[0] for part in NODE_SCHEMA.split(", ")])
 
     samples = tree_samples(df, names, keys, rows, trees, size, seed)
     nodes = samples.groupBy("tree").applyInPandas(build_tree, NODE_SCHEMA)
@@ -125,32 +155,31 @@ def score(df: DataFrame, forest: Forest, out: str = "anomaly_score") -> DataFram
     table = forest.nodes.limit(bound + 1).toPandas()
     if len(table) > bound:
         raise ValueError(f"forest holds more than the {bound} nodes its size allows")
-    trees = []
-    for _, part in table.sort_values(["tree", "node"]).groupby("tree"):
-        trees.append(tuple(part[c].to_numpy() for c in ("feature", "cut", "below", "above", "size", "depth")))
-    shared = df.sparkSession.sparkContext.broadcast(trees)
-    sample_size = forest.sample_size
+    # All trees side by side: a row a tree, a place a node of its heap.
+    deepest = int(table["depth"].max())
+    line = {tree: i for i, tree in enumerate(sorted(table["tree"].unique()))}
+    at = table["tree"].map(line).to_numpy(), table["node"].to_numpy()
+    feature, cut, length = (np.full((len(line), (2 << deepest) - 1), empty) for empty in (-1, 0.0, 0.0))
+    feature[at], cut[at] = table["feature"], table["cut"]
+    length[at] = table["depth"] + expected_path(table["size"].to_numpy())
+    shared = df.sparkSession.sparkContext.broadcast((feature, cut, length, deepest))
+    scale = float(expected_path(np.array([forest.sample_size]))[0]) or 1.0
 
     @F.pandas_udf("double")
     def path_score(values: pd.DataFrame) -> pd.Series:
-        def expected(n):
-            n = np.asarray(n, dtype=float)
-            deep = 2.0 * (np.log(np.maximum(n - 1.0, 1.0)) + np.euler_gamma) - 2.0 * (n - 1.0) / np.maximum(n, 1.0)
-            return np.where(n > 2, deep, np.where(n == 2, 1.0, 0.0))
-
+        feature, cut, length, deepest = shared.value
         x = values.fillna(0.0).to_numpy(dtype=float)
-        total = np.zeros(len(x))
-        rows = np.arange(len(x))
-        for feature, cut, below, above, size, depth in shared.value:
-            at = np.zeros(len(x), dtype=int)
-            for _ in range(int(depth.max())):
-                f = feature[at]
-                inner = f >= 0
-                go_below = x[rows, np.where(inner, f, 0)] < cut[at]
-                at = np.where(inner, np.where(go_below, below[at], above[at]), at)
-            total += depth[at] + expected(size[at])
-        scale = float(expected(sample_size)) or 1.0
-        return pd.Series(np.power(2.0, -(total / max(len(shared.value), 1)) / scale))
+        out = np.empty(len(x))
+        tree = np.arange(len(feature))[None, :]
+        for first in range(0, len(x), WALK_ROWS):
+            part = x[first : first + WALK_ROWS]
+            rows, node = np.arange(len(part))[:, None], np.zeros((len(part), len(feature)), np.int64)
+            for _ in range(deepest):
+                own = feature[tree, node]
+                step = 2 * node + 2 - (part[rows, np.maximum(own, 0)] < cut[tree, node])
+                node = np.where(own >= 0, step, node)
+            out[first : first + WALK_ROWS] = length[tree, node].sum(axis=1)
+        return pd.Series(np.power(2.0, -(out / max(len(feature), 1)) / scale))
 
     features = F.struct(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in forest.features])
     return df.withColumn(out, path_score(features))
