@@ -8,7 +8,7 @@ or over a pole goes on at the other side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_RESOLUTION = 15
@@ -61,6 +61,34 @@ def cell(lat: Column, lon: Column, resolution: int) -> Column:
     return F.when(valid_latlon(lat, lon), cell_id(resolution, q, r))
 
 
+def with_cell(rows: DataFrame, lat: str, lon: str, resolution: int, out: str = "h3_index") -> DataFrame:
+    """The rows with the :func:`cell` of each point, its parts as columns on the way.
+
+    One expression repeats the coordinates dozens of times, and a wide select around it outgrows what is compiled; columns are
+    computed once each.
+    """
+    edge = EDGE_DEGREES[_check_resolution(resolution)]
+    name = {x: f"_{out}_{x}" for x in ("y", "x", "q", "r", "nq", "nr", "ns", "dq", "dr", "ds")}
+    at = {x: F.col(f"`{n}`") for x, n in name.items()}
+    y, q, r = at["y"], at["q"], at["r"]
+    s = -q - r
+    east = F.col(lon).cast("double")
+    steps = (
+        {"y": F.col(lat).cast("double"), "x": F.when(east == 180.0, -180.0).otherwise(east)},
+        {"q": (F.lit(SQRT3) / 3.0 * at["x"] - y / 3.0) / edge, "r": (F.lit(2.0) / 3.0 * y) / edge},
+        {"nq": _nearest(q), "nr": _nearest(r), "ns": _nearest(s)},
+        {"dq": F.abs(at["nq"] - q), "dr": F.abs(at["nr"] - r), "ds": F.abs(at["ns"] - s)},
+    )
+    for step in steps:
+        rows = rows.withColumns({name[x]: column for x, column in step.items()})
+    q_off = (at["dq"] > at["dr"]) & (at["dq"] > at["ds"])
+    found = cell_id(
+        resolution, F.when(q_off, -at["nr"] - at["ns"]).otherwise(at["nq"]),
+        F.when(~q_off & (at["dr"] > at["ds"]), -at["nq"] - at["ns"]).otherwise(at["nr"]),
+    )
+    return rows.withColumn(out, F.when(valid_latlon(F.col(lat), F.col(lon)), found)).drop(*name.values())
+
+
 def parts(cell: Column) -> tuple[Column, Column, Column]:
     fields = F.split(cell, ":")
     return fields[0].cast("int"), fields[1].cast("long"), fields[2].cast("long")

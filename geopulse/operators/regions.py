@@ -140,10 +140,11 @@ def add_cell_index(
         lon, F.col(lon).cast("string").try_cast("double")
     )
     usable = typed.where(hexgrid.valid_latlon(F.col(lat), F.col(lon)))
-    derived = hexgrid.cell(F.col(lat), F.col(lon), resolution)
+    indexed = hexgrid.with_cell(usable, lat, lon, resolution, "_cell")
+    derived = F.col("_cell")
     if out in df.columns:
         derived = F.coalesce(F.nullif(F.trim(F.col(out)), F.lit("")), derived)
-    indexed = usable.withColumn(out, derived)
+    indexed = indexed.withColumn(out, derived).drop("_cell")
     if regions is not None and "region_id" not in df.columns:
         indexed = assign_region(indexed, regions, lat, lon)
     return indexed
