@@ -6,8 +6,8 @@ with the few substrings that can match a segment of a line at most ``edits`` sho
 Keys travel in compressed blocks by bucket. Within a key, pairs whose bigram-parity signatures differ in more than
 four bits an edit are out; the rest are verified over the texts by banded bit-parallel edit distance (Hyyrö 2003).
 
-Equal lines are one line from the start, so copies never form pairs. Lines shorter than ``least`` characters are
-compared for equality only. A class is what links connect; it is named by its first line in order of document and
+Equal lines are one line from the start, so copies never form pairs. Edits go by length: of lines shorter than ``least``
+characters fewer are near (of 20 and two: one edit from 10 characters on, below that only equal lines). A class is what links connect; it is named by its first line in order of document and
 place. Null texts have no lines, empty texts one empty line; documents without an id take no part and keep all lines.
 """
 
@@ -36,6 +36,11 @@ _ROW = np.dtype([("key", "<u4"), ("id", "<i8"), ("sign", "<u8"), ("probe", "u1")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def allowed(length: int, edits: int = EDITS, least: int = LEAST) -> int:
+    """Edits between a line of so many characters and one no shorter: in proportion to the length, up to ``edits`` from ``least`` on."""
+    return min(edits, length * edits // least) if least else edits
+
+
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
     """Start and size of the ``edits + 1`` even segments of a line."""
     parts = edits + 1
@@ -48,14 +53,16 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
     return out
 
 
-def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
+def probes(length: int, edits: int, least: int = 0) -> list[tuple[int, int, int, int]]:
     """``(indexed length, segment, start, size)`` of the substrings that may match a segment of a line no longer."""
     out = []
-    for other in range(max(edits + 1, length - edits), length + 1):
-        shift = length - other
-        for i, (at, n) in enumerate(segments(other, edits)):
-            low = max(0, at - i, at + shift - (edits - i))
-            high = min(length - n, at + i, at + shift + edits - i)
+    for other in range(max(edits + 1 if not least else 1, length - edits), length + 1):
+        shift, most = length - other, allowed(other, edits, least)
+        if not most or shift > most:
+            continue
+        for i, (at, n) in enumerate(segments(other, most)):
+            low = max(0, at - i, at + shift - (most - i))
+            high = min(length - n, at + i, at + shift + most - i)
             out += [(other, i, start, n) for start in range(low, high + 1)]
     return out
 
@@ -123,18 +130,19 @@ def _keys(edits: int, least: int, buckets: int):
         pressed, plans = zstandard.ZstdCompressor(level=1), {}
         for batch in batches:
             for part in _portions(batch):
-                lines = list({line for _, text in part for line in text.split("\n") if len(line) >= least})
+                lines = list({line for _, text in part for line in text.split("\n") if allowed(len(line), edits, least)})
                 if not lines:
                     continue
-                hashes, owners = [], []
+                hashes, owners, parts = [], [], []
                 for line in lines:
                     n = len(line)
                     plan = plans.get(n)
                     if plan is None:
-                        own = [(n, i, at, size) for i, (at, size) in enumerate(segments(n, edits))]
-                        plan = plans[n] = [(at, at + size, other << 3 | i) for other, i, at, size in own + probes(n, edits)]
+                        own = [(n, i, at, size) for i, (at, size) in enumerate(segments(n, allowed(n, edits, least)))]
+                        plan = plans[n] = [(at, at + size, other << 3 | i) for other, i, at, size in own + probes(n, edits, least)]
                     hashes += [digest(line[a:b].encode("utf-8", "surrogatepass"), seed) for a, b, seed in plan]
                     owners.append(len(plan))
+                    parts.append(allowed(n, edits, least))
                 h = np.array(hashes, np.uint64)
                 counts = np.array(owners)
                 rows = np.zeros(len(h), _ROW)
@@ -142,7 +150,7 @@ def _keys(edits: int, least: int, buckets: int):
                 rows["id"] = np.repeat(np.array([_identity(x)[0] for x in lines], np.int64), counts)
                 rows["sign"] = np.repeat(signatures(lines), counts)
                 first = np.cumsum(counts) - counts
-                rows["probe"] = np.arange(len(h)) - np.repeat(first, counts) > edits
+                rows["probe"] = np.arange(len(h)) - np.repeat(first, counts) > np.repeat(np.array(parts), counts)
                 place = ((h & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(place, kind="stable")
                 edges = np.flatnonzero(np.diff(place[order], prepend=-1))
@@ -248,7 +256,7 @@ def _compare(edits: int):
 def candidates(docs: DataFrame, *, edits: int, least: int, id_col: str, text_col: str, limit: int = BUCKET_ROWS, block: int = BLOCK_ROWS) -> DataFrame:
     """``a, b``: distinct pairs of line ids that share a segment and have near signatures."""
     rows = _rows(docs, id_col, text_col)
-    buckets = SPREAD * max(8, rows.rdd.getNumPartitions())
+    buckets = SPREAD * max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keys = rows.mapInArrow(_keys(edits, least, buckets), "bucket int, rows binary")
     found = keys.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(
         _meet(edits, limit), "a long, b long, key long, sign long, probe boolean"
@@ -343,14 +351,14 @@ def _banded(cut: list[tuple[str, str]], shift: np.ndarray, most: int) -> np.ndar
 
 
 def links(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``a, b``: ids of distinct lines within ``edits`` of each other, each pair once."""
+    """``a, b``: ids of distinct lines within the edits that their length allows, each pair once."""
     pairs = materialise(candidates(docs, edits=edits, least=least, id_col=id_col, text_col=text_col), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
 
     def spelled(batches):
         for batch in batches:
             for part in _portions(batch):
-                lines = list({line for _, text in part for line in text.split("\n") if len(line) >= least})
+                lines = list({line for _, text in part for line in text.split("\n") if allowed(len(line), edits, least)})
                 yield pa.RecordBatch.from_arrays([pa.array([_identity(x)[0] for x in lines], pa.int64()), pa.array(lines, pa.string())], ["id", "line"])
 
     text = _rows(docs, id_col, text_col).mapInArrow(spelled, "id long, line string").join(wanted.hint("merge"), "id", "left_semi")
@@ -359,7 +367,7 @@ def links(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_col: st
     def verify(batches):
         for batch in batches:
             both = list(zip(texts(batch.column("x")), texts(batch.column("y")), strict=True))
-            near = edit_distances(both, edits) <= edits
+            near = edit_distances(both, edits) <= np.array([allowed(min(len(x), len(y)), edits, least) for x, y in both], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(near))
 
     full = pairs.join(text.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
@@ -377,18 +385,18 @@ def classes(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_col:
     first = lines.groupBy("id", "rest").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     named = first.join(linked, "id", "left")
     named = materialise(named.select("id", "rest", "first", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "root"), "classes")
-    lowest = named.where("root is not null").groupBy("root").agg(F.min("first").alias("lowest"))
-    named = named.join(lowest, "root", "left").select("id", "rest", "links", F.coalesce("lowest", "first").alias("class"))
+    # Most lines have no link: they name their own class and stay out of the join by root.
+    apart = named.where("root is null").select("id", "rest", "links", F.col("first").alias("class"))
+    joined = named.where("root is not null")
+    lowest = joined.groupBy("root").agg(F.min("first").alias("class"))
+    named = joined.join(lowest, "root").select("id", "rest", "links", "class").unionByName(apart)
     return lines.join(named, ["id", "rest"]).select(
         "doc_id", "line_no", "chars", "links", F.col("class.doc_id").alias("class_doc_id"), F.col("class.line_no").alias("class_line_no")
     )
 
 
 def deduplicate(docs: DataFrame, *, edits: int = EDITS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows with only the first line of each class left in the text; blank lines always stay.
-
-    A line under ``least`` characters is a class with its exact repeats alone.
-    """
+    """The rows with only the first line of each class left in the text; blank lines always stay."""
     found = classes(docs, edits=edits, least=least, id_col=id_col, text_col=text_col)
     late = found.where("chars > 0").where("doc_id <> class_doc_id or line_no <> class_line_no")
     gone = late.groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))

@@ -1,12 +1,16 @@
-"""Near-duplicate documents by the Jaccard index of their word shingles: MinHash bands propose, exact sets decide.
+"""Near-duplicate documents by the Jaccard index of their word shingles: SimHash and MinHash bands propose, exact sets decide.
 
 A document is the set of its hashed ``WIDTH``-word shingles, in lower case; of fewer words, all of them are one shingle.
-Equal sets are one node. ``BANDS`` bands of ``ROWS`` least hashes bring sets together: one at Jaccard 0.8 is missed by
-all bands with probability 3e-6, a nearer one with less. What meets in a band is compared as whole sets.
+Equal sets are one node. Two ways propose pairs. SimHash: the majority bits of a set's hashes go through the popcount grid of
+``simhash``, which proves all pairs of at most three bits; sets of one fingerprint are held against the least of them. Sets at
+Jaccard 0.8 lie about ten bits apart, beyond what two halves of the grid prove, so ``BANDS`` bands of ``ROWS`` least hashes find the rest: a
+pair at 0.8 is missed by all bands with probability 3e-6, a nearer one with less. Whatever is proposed is compared as whole sets.
 
 A band cell need not list its pairs. Each of its sets is compared with the least of them; where what is linked by then
-does not hold the whole cell together, the sets travel to the cell and a spanning forest of its links is found there, a
-cell of more than ``BLOCK`` sets as pairs of blocks. Rows without an id take no part.
+does not hold the whole cell together, the sets travel to the cell. Of a component that fills it each set goes to one block, the others go to every
+block, and only sets of different components are compared. Rows without an id take no part; null and empty texts are
+one set, the empty one, like other equal texts; repeated rows are copies; ties cannot matter, as links are not chosen. Very long texts are their distinct shingles in memory. An
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geopulse.llm import simhash
 from geopulse.llm.common import binaries, components, grouped, word_blocks
 from geopulse.workspace import materialise
 
@@ -67,19 +72,34 @@ def near(one: np.ndarray, two: np.ndarray, least: float = LEAST) -> bool:
     return not union or both >= least * union
 
 
-def forest(names: list[int], sets: list[np.ndarray], least: float = LEAST) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the sets, found breadth-first."""
-    rest, out = list(range(len(names))), []
-    while rest:
-        front = [rest.pop()]
-        while front and rest:
-            i = front.pop()
-            found = [j for j in rest if near(sets[i], sets[j], least)]
-            if found:
-                out += [(names[i], names[j]) for j in found]
-                front += found
-                hit = set(found)
-                rest = [j for j in rest if j not in hit]
+def simhash_bits(own: np.ndarray) -> int:
+    """SimHash of a set of hashes as a signed long."""
+    counts, total = simhash.counted(own)
+    return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
+
+
+def forest(names: list[int], roots: list[int], sets: list[np.ndarray], least: float = LEAST) -> list[tuple[int, int]]:
+    """Links that hold together what is near among sets of different components; those of one are never compared."""
+    up = {r: r for r in roots}
+
+    def find(r: int) -> int:
+        while up[r] != r:
+            up[r] = up[up[r]]
+            r = up[r]
+        return r
+
+    by_root: dict[int, list[int]] = {}
+    for i, r in enumerate(roots):
+        by_root.setdefault(r, []).append(i)
+    order, out = sorted(by_root, key=lambda r: (len(by_root[r]), r)), []
+    for k, r in enumerate(order[:-1]):
+        others = [i for other in order[k + 1 :] for i in by_root[other]]
+        for i in by_root[r]:
+            for j in others:
+                a, b = find(r), find(roots[j])
+                if a != b and near(sets[i], sets[j], least):
+                    out.append((names[i], names[j]))
+                    up[a] = b
     return out
 
 
@@ -103,6 +123,16 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, set long, shingles binary")
 
 
+def proposed(marks: DataFrame) -> DataFrame:
+    """``a, b``: distinct sets whose SimHash is the same, through the least of them, or at most three bits away, through the grid."""
+    kinds = marks.groupBy("set").agg(F.first("bits").alias("bits"))
+    least = kinds.groupBy("bits").agg(F.min("set").alias("a"))
+    same = kinds.join(least, "bits").where("set <> a").select("a", F.col("set").alias("b"))
+    near_bits = simhash.links(kinds).withColumnsRenamed({"a": "x", "b": "y"})
+    one, two = least.select(F.col("bits").alias("x"), "a"), least.select(F.col("bits").alias("y"), F.col("a").alias("b"))
+    return same.unionByName(near_bits.join(one, "x").join(two, "y").select("a", "b"))
+
+
 def links(docs: DataFrame, marks: DataFrame, *, width: int = WIDTH, least: float = LEAST, block: int = BLOCK) -> DataFrame:
     """``a, b``: links between distinct sets of ``doc_id, text``, enough to connect all that are near and meet in a band."""
     met = marks.groupBy("set").agg(F.min("doc_id").alias("first"), F.first("cells").alias("cells"))
@@ -122,11 +152,14 @@ def links(docs: DataFrame, marks: DataFrame, *, width: int = WIDTH, least: float
     kinds = met.groupBy("cell").agg(F.count("*").alias("n"), F.min("set").alias("hub"), F.bit_xor(F.xxhash64("set")).alias("x"), F.sum(F.hash("set").cast("long")).alias("y"))
     kinds = kinds.groupBy("n", "hub", "x", "y").agg(F.min("cell").alias("cell")).where("n > 1").select("cell", "n", "hub")
     met = materialise(met.join(kinds, "cell"), "met")
-    if met.isEmpty():
-        return met.select(F.col("set").alias("a"), F.col("set").alias("b"))
-    wanted = met.select("first").distinct()
+    ahead = materialise(proposed(marks), "proposed")
+    if met.isEmpty() and ahead.isEmpty():
+        return ahead
+    firsts = marks.groupBy("set").agg(F.min("doc_id").alias("first"))
+    asked = ahead.select(F.col("a").alias("set")).unionByName(ahead.select(F.col("b").alias("set"))).unionByName(met.select("set")).distinct()
+    wanted = firsts.join(asked, "set", "left_semi").select("first").distinct()
     whole = docs.join(wanted, docs["doc_id"] == wanted["first"], "left_semi")
-    whole = _sets(whole, width).join(met.select("set").distinct(), "set", "left_semi")
+    whole = _sets(whole, width).join(asked, "set", "left_semi")
     whole = materialise(whole.groupBy("set").agg(F.first("shingles").alias("shingles")), "sets")
 
     def verify(batches):
@@ -134,7 +167,7 @@ def links(docs: DataFrame, marks: DataFrame, *, width: int = WIDTH, least: float
             a, b, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "x", "y"))
             yield _pairs([(i, j) for i, j, p, q in zip(a, b, x, y, strict=True) if near(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), least)])
 
-    pairs = met.where("set <> hub").select(F.col("hub").alias("a"), F.col("set").alias("b")).distinct()
+    pairs = met.where("set <> hub").select(F.col("hub").alias("a"), F.col("set").alias("b")).unionByName(ahead).distinct()
     pairs = pairs.join(whole.select(F.col("set").alias("a"), F.col("shingles").alias("x")), "a")
     pairs = pairs.join(whole.select(F.col("set").alias("b"), F.col("shingles").alias("y")), "b")
     found = materialise(pairs.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "near")
@@ -142,26 +175,34 @@ def links(docs: DataFrame, marks: DataFrame, *, width: int = WIDTH, least: float
     roots = components(found)
     named = met.where("n > 2").join(roots, F.col("set") == F.col("node"), "left").select("cell", "set", "n", F.coalesce("root", "set").alias("root"))
     apart = named.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("cell")
-    left = materialise(named.join(apart, "cell").select("cell", "set", "n"), "apart")
+    left = materialise(named.join(apart, "cell").select("cell", "set", "root"), "apart")
     if left.isEmpty():
         return found
-    # Every set of a cell goes once to each pair that its block forms.
-    parts = F.ceil(F.col("n") * 2 / F.lit(block))
-    parts = F.when(F.col("n") <= block, F.lit(1).cast("long")).otherwise(parts)
-    dealt = left.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("set"), F.col("parts")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    dealt = dealt.select(F.xxhash64("cell", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"), "set")
+    # The largest component of a cell is dealt out by block; the others meet each block of it and one another.
+    sizes = left.groupBy("cell", "root").agg(F.count("*").alias("n"))
+    heads = sizes.groupBy("cell").agg(F.max(F.struct("n", "root")).alias("big"), F.sum("n").alias("n"))
+    heads = heads.select("cell", F.col("big.root").alias("big"), F.ceil(F.col("big.n") / block).alias("blocks"), (F.col("n") - F.col("big.n")).alias("rest"))
+    parts = left.join(heads, "cell").withColumn("small", F.ceil(F.col("rest") / F.lit(block)))
+    mine = parts.withColumn("mine", F.pmod(F.xxhash64("set"), F.greatest(F.when(F.col("root") == F.col("big"), F.col("blocks")).otherwise(F.col("small")), F.lit(1))))
+    none = F.lit(0).cast("long")
+    large = mine.where("root = big").select("cell", "set", "root", F.col("mine").alias("one"), F.explode(F.sequence(none, F.col("small") - 1)).alias("two"), F.lit("big").alias("kind"))
+    small = mine.where("root <> big")
+    facing = small.select("cell", "set", "root", F.explode(F.sequence(none, F.col("blocks") - 1)).alias("one"), F.col("mine").alias("two"), F.lit("big").alias("kind"))
+    among = small.withColumn("other", F.explode(F.sequence(none, F.col("small") - 1))).select(
+        "cell", "set", "root", F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"), F.lit("small").alias("kind")
+    )
+    dealt = large.unionByName(facing).unionByName(among).select(F.xxhash64("cell", "one", "two", "kind").alias("cell"), "set", "root")
 
     def compare(rows: pa.Table, over: bool):
         cell = rows["cell"].to_numpy()
         edges = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
         for i, j in zip(edges, edges[1:]):
             own = rows.slice(i, j - i)
-            out = forest(own["set"].to_pylist(), [np.frombuffer(x, np.uint64) for x in own["shingles"].to_pylist()], least)
+            out = forest(own["set"].to_pylist(), own["root"].to_pylist(), [np.frombuffer(x, np.uint64) for x in own["shingles"].to_pylist()], least)
             if out:
                 yield _pairs(out)
 
-    rest = grouped(dealt.join(whole, "set").select("cell", "set", "shingles"), "cell", compare, "a long, b long", limit=1 << 62)
+    rest = grouped(dealt.join(whole, "set").select("cell", "set", "root", "shingles"), "cell", compare, "a long, b long", limit=1 << 62)
     return found.unionByName(materialise(rest, "near"))
 
 
@@ -173,10 +214,11 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, least: float = LEAST
         for batch in batches:
             own = [shingles(x, width) for x in binaries(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(identity, own), pa.int64()), pa.array(map(cells, own), pa.list_(pa.int64()))], ["doc_id", "set", "cells"]
+                [batch.column(0), *(pa.array(map(f, own), pa.int64()) for f in (identity, simhash_bits)), pa.array(map(cells, own), pa.list_(pa.int64()))],
+                ["doc_id", "set", "bits", "cells"],
             )
 
-    marks = materialise(rows.mapInArrow(run, "doc_id long, set long, cells array<long>"), "marks")
+    marks = materialise(rows.mapInArrow(run, "doc_id long, set long, bits long, cells array<long>"), "marks")
     roots = components(links(rows, marks, width=width, least=least))
     first = marks.groupBy("set").agg(F.min("doc_id").alias("first"))
     named = first.join(roots, F.col("set") == F.col("node"), "left").select("set", "first", F.coalesce("root", "set").alias("root"))

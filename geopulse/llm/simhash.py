@@ -49,12 +49,18 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
-def _add(counts: np.ndarray, total: int, hashes: list[int]) -> tuple[np.ndarray, int]:
-    values = np.array(hashes, "<u8")
+def counted(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many of the 64-bit hashes have each bit set, and how many they are."""
+    counts = np.zeros(64, np.int64)
     for i in range(0, len(values), 4096):
-        part = values[i : i + 4096].view(np.uint8).reshape(-1, 8)
+        part = np.ascontiguousarray(values[i : i + 4096]).view(np.uint8).reshape(-1, 8)
         counts = counts + np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return counts, total + len(values)
+    return counts, len(values)
+
+
+def _add(counts: np.ndarray, total: int, hashes: list[int]) -> tuple[np.ndarray, int]:
+    more, n = counted(np.array(hashes, "<u8"))
+    return counts + more, total + n
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:

@@ -72,7 +72,8 @@ def _line_truth(docs, edits, least):
     for d in sorted(docs):
         for i, line in enumerate(docs[d].split("\n")):
             place.setdefault(line, []).append((d, i))
-    linked = lambda a, b: min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= edits and brute.edits(a, b) <= edits
+    most = lambda a, b: min(edits, min(len(a), len(b)) * edits // least)
+    linked = lambda a, b: 0 < most(a, b) >= abs(len(a) - len(b)) and brute.edits(a, b) <= most(a, b)
     order = sorted(place, key=lambda x: place[x][0])
     name = {line: place[line][0] for line in order}
     root = brute.smallest_linked([name[x] for x in order], lambda a, b: linked(back[a], back[b])) if not (back := {v: k for k, v in name.items()}) is None else {}
