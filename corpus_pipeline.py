@@ -15,7 +15,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines equal to an earlier one go, and near-equal ones of 20 characters or more; blank lines stay.
+    """Lines equal to an earlier one go, and lines within an edit a ten characters of it, two at most; blank lines stay.
 
     Documents stay, with their new length.
     """
@@ -25,7 +25,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, stays of each group linked by a Jaccard index of five-word shingles of 0.8 or more.
 
-    Documents without an id stay.
+    SimHash over the popcount grid proposes what it can prove, MinHash bands the rest, whole sets decide. Documents without an id stay.
     """
     gone = shingles.near_duplicates(docs).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
