@@ -9,6 +9,7 @@ from geopulse.functions import timefns
 from geopulse.plans import publish
 from geopulse.sources import detections as source
 from geopulse.sources import grids, lake, markets, rasters, series
+from geopulse.sources.versions import VersionedSink, filesystem
 from geopulse.workspace import scratch
 
 # -- lake ------------------------------------------------------------------------
@@ -72,6 +73,34 @@ def _(t):
     return staged.groupBy("region_id", "observation_date").agg(F.count(F.lit(1)).alias("rows"), F.sum("value").alias("total"))
 
 
+@check("refresh_changed", "region_id observation_date:d rows:i total:f2 rebuilt",
+       """select o_orderpriority as region_id, o_orderdate as observation_date, count(*) as rows,
+          sum(case when o_orderdate between date '1995-03-01' and date '1995-03-31' then 2 else 1 end * o_totalprice) as total, '1995-03,1996-07' as rebuilt
+          from orders where o_orderdate not between date '1996-07-01' and date '1996-07-31' group by 1, 2""")
+def _(t):
+    # nobody says which months changed: one lands again with other values, one disappears, and only those two are staged anew
+    root, path = scratch(t.spark, "lake"), scratch(t.spark, "staged")
+    rows = t.read("orders").select(
+        F.col("o_orderpriority").alias("region_id"), F.col("o_orderdate").cast("timestamp").alias("observed_at"), F.col("o_totalprice").alias("value"),
+    )
+    stage = lambda raw: raw.withColumn("observation_date", F.to_date("observed_at"))
+    manifests = VersionedSink(t.spark, scratch(t.spark, "manifests"))
+    turn = lambda: lake.refresh_changed(t.spark, root, "orders", path, stage, "observation_date", manifests)
+    lake.land(rows, root, "orders", "observed_at", backfill=True)
+    turn()
+    if turn()[1]:
+        raise AssertionError("an unchanged lake was staged again")
+    again = rows.where("date_format(observed_at, 'yyyy-MM') = '1995-03'").withColumn("value", F.col("value") * 2)
+    archive = lake.land(again, root, "orders", "observed_at", backfill=True)
+    fs, jpath = filesystem(t.spark, archive)
+    for region in fs.listStatus(jpath(archive)):
+        fs.delete(jpath(f"{region.getPath()}/year=1996/month=07"), True)
+    staged, months = turn()
+    return staged.groupBy("region_id", "observation_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("value").alias("total")
+    ).withColumn("rebuilt", F.lit(",".join(months)))
+
+
 @check("write_table", "region_id observation_date:d detection_count:i zscore:f", "select * from fire")
 def _(t):
     return lake.write_table(t.fire, scratch(t.spark, "table"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks.base import check, num
 from geopulse import config
-from checks.base import check
 from geopulse.operators import expect
+from geopulse.plans import acceptance, marts
 
 
 @check("not_null", "region_id observation_date:d", "select * from daily where frp_sum is null or confidence_pct_mean is null")
@@ -131,6 +132,23 @@ def _(t):
     return flag_rate_ceiling(t.fire)
 
 
+SPIKE, CRASH, EXCURSION, HEAT, CEILING = (num(x) for x in (
+    acceptance.FIRE_SPIKE, acceptance.NDVI_CRASH, acceptance.ICE_EXCURSION_Z, acceptance.MARINE_HEAT, acceptance.MAX_FLAG_RATE
+))
+
+
+@check("acceptance", 'check hits:i passed',
+       f"""select 'fire_spike_detected' as "check", count(*) as hits, count(*) > 0 as passed from fire where is_anomaly and detection_count >= {SPIKE}
+          union all select 'fire_flag_rate_is_selective', count(*) filter (is_anomaly), count(zscore) > 0 and count(*) filter (is_anomaly) / count(zscore) <= {CEILING} from fire
+          union all select 'ice_excursion_detected', count(*), count(*) > 0 from ice where is_anomaly and zscore <= {EXCURSION}
+          union all select 'marine_heatwave_present', count(*), count(*) > 0 from cell_sst where metric_type = 'sst_anomaly' and value >= {HEAT}
+          union all select 'marts_are_populated', 4, (select count(*) from fire) > 0 and (select count(*) from ice) > 0 and (select count(*) from cells) > 0 and (select count(*) from cell_sst) > 0""")
+def _(t):
+    # the whole acceptance run of a build; the index of vegetation is absent, as where its source was not collected
+    built = {"fire_anomalies": t.fire, "ice_extent_trends": t.ice, "cell_fire": t.cells, "cell_sst": marts.cell_sst(t.gridded)}
+    return acceptance.acceptance(built)
+
+
 @check("marts_populated", "mart rows:i populated",
        """select 'fire_anomalies' as mart, count(*) as rows, count(*) > 0 as populated from fire
           union all select 'ice_extent_trends', count(*), count(*) > 0 from ice

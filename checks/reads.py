@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import ASOF, check
+from geopulse.operators.dedup import union_by_name
 from geopulse.plans import ops, serving
+from geopulse.workspace import materialise
 
 CURRENT = "(select model_version from predictions group by 1 order by max(scored_at) desc limit 1)"
 
@@ -354,3 +356,28 @@ def _(t):
           where baseline_mean is not null and value is not null order by zscore nulls last, region_id, period_start limit 12""")
 def _(t):
     return serving.below_normal(t.ice)
+
+
+@check("page_after", "l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i l_extendedprice:f left:i turn:i",
+       """select *, (place - 1) // 40 + 1 as turn, total - ((place - 1) // 40) * 40 as left
+          from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_linenumber % 5 <> 0 then l_extendedprice end as l_extendedprice, count(*) over () as total,
+                row_number() over (order by case when l_linenumber % 5 <> 0 then l_extendedprice end desc nulls last, l_orderkey, l_linenumber, l_partkey, l_suppkey) as place from lineitem)
+          where place <= 120 or place > (total - 120) // 40 * 40""")
+def _(t):
+    # the first three pages and then the last ones, each found by the key of the row before it
+    rows = t.read("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(F.col("l_linenumber") % 5 != 0, F.col("l_extendedprice")).alias("l_extendedprice")
+    )
+    keys = [("l_extendedprice", False), ("l_orderkey", True), ("l_linenumber", True), ("l_partkey", True), ("l_suppkey", True)]
+    total, names = rows.count(), [name for name, _ in keys]
+    start = (total - 120) // 40 * 40
+    jump = rows.orderBy(F.desc_nulls_last(names[0]), *names[1:]).offset(start - 1).limit(1).first()
+    out, turn, after = [], 1, None
+    while turn * 40 - 40 < total:
+        page = materialise(serving.page_after(rows, keys, after, limit=40).withColumn("turn", F.lit(turn)), "page")
+        out.append(page)
+        after = page.orderBy(F.desc_nulls_last(names[0]), *names[1:]).tail(1)[0].asDict()
+        turn += 1
+        if turn == 4 and start > 120:
+            turn, after = start // 40 + 1, jump.asDict()
+    return union_by_name(out)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from geopulse.functions import hexgrid, scoring, timefns
 from geopulse.operators import ranking
+from geopulse.workspace import materialise
 
 # Legend quantiles.
 LEGEND = {"p50": 0.50, "p75": 0.75, "p90": 0.90, "p98": 0.98}
@@ -238,8 +239,8 @@ def map_window(
     layer: DataFrame, start: Column | date | str, end: Column | date | str, *, grain: str = "day",
     region: str | None = None, fire: DataFrame | None = None, limit: int | None = None,
 ) -> dict[str, DataFrame]:
-    """The four answers of one map request; they share one filtered window."""
-    cells = window_filter(layer, start, end, grain=grain, region=region, fire=fire)
+    """The four answers of one map request; the filtered window is computed and written once for all."""
+    cells = materialise(window_filter(layer, start, end, grain=grain, region=region, fire=fire), "window")
     return {
         "cells": densest_cells(cells, limit),
         "summary": map_summary(cells, limit),
@@ -312,6 +313,34 @@ def page(
     return cut.withColumn("total", total.scalar())
 
 
+def page_after(
+    df: DataFrame, keys: Sequence[tuple[str, bool]], after: Mapping[str, object] | None = None, *, limit: int = 50,
+    region: str | None = None,
+) -> DataFrame:
+    """The next page behind a row, by its key: ``keys`` are ``(column, ascending)``, together unique, nulls last.
+
+    ``after`` holds the key of the last row seen, none for the first page. A condition on the key replaces the rows before it, which
+    reaches the scan, and no more than ``limit`` rows of a task travel: a page costs the same wherever it lies. ``left`` counts the rows behind the
+    page's start, so a reader knows where it stands.
+    """
+    rows = df if region is None else df.where(F.col("region_id") == region)
+    if after is not None:
+        absent = [name for name, _ in keys if name not in after]
+        if absent:
+            raise KeyError(f"the key of a row needs {absent}")
+        behind = F.lit(False)
+        for name, ascending in reversed(list(keys)):
+            value, column = after[name], F.col(name)
+            same = column.isNull() if value is None else column == F.lit(value)
+            # Nulls are the last of a column, so nothing follows one.
+            later = F.lit(False) if value is None else F.coalesce(column > F.lit(value) if ascending else column < F.lit(value), F.lit(True))
+            behind = later | (same & behind)
+        rows = rows.where(behind)
+    order = [F.asc_nulls_last(name) if ascending else F.desc_nulls_last(name) for name, ascending in keys]
+    left = rows.agg(F.count(F.lit(1)).alias("n"))
+    return rows.orderBy(*order).limit(limit).withColumn("left", left.scalar())
+
+
 def window_facts(rows: DataFrame, windows: DataFrame, day: str, value: str, extras: Sequence[str] = ()) -> DataFrame:
     """Facts of named windows ``(slug, region_id, start, end, tail)``: the extreme day, span, flags, total.
 

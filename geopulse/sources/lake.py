@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geopulse.operators.upsert import upsert
+from geopulse.sources.versions import VersionedSink, filesystem
+from geopulse.workspace import materialise
 
 
 #: Path keys of the two layouts, from coarse to fine.
@@ -66,21 +68,88 @@ def read_lake(
 
 def refresh(
     spark: SparkSession, root: str, source: str, path: str, stage: Callable[[DataFrame], DataFrame], day: str,
-    months: Sequence[str] | None = None,
+    months: Sequence[str] | None = None, *, max_records_per_file: int = 5_000_000,
 ) -> DataFrame:
     """Rebuild the given months of a staged table from the lake, all of them by default; the others stay as they are.
 
-    ``stage`` must work month by month, as latest-wins does whose key holds the time; ``day`` names its day column.
+    ``stage`` must work month by month, as latest-wins does whose key holds the time; ``day`` names its day column. A month is
+    written by as many tasks as its rows fill files, and one of the given months without rows any more is removed.
     """
     raw = read_lake(spark, root, source, months=months)
     if raw is None:
         raise ValueError(f"the lake holds no {source}")
-    staged = stage(raw).withColumn("_month", F.date_format(day, "yyyy-MM"))
-    writer = staged.repartition("_month", F.pmod(F.xxhash64(*staged.columns), F.lit(8))).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("_month").parquet(path)
+    staged = materialise(stage(raw).withColumn("_month", F.date_format(day, "yyyy-MM")), "staged")
+    line = F.xxhash64(*[F.col(f"`{name}`") for name in staged.columns])
+    found = staged.groupBy("_month").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_records_per_file)).alias("_writers"))
+    spread = staged.join(F.broadcast(found), "_month").withColumn("_salt", F.pmod(line, F.col("_writers")))  # a row a month
+    writer = spread.repartition("_month", "_salt").select(*staged.columns).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
+    writer.option("compression", "zstd").partitionBy("_month").parquet(path)
+    full = {r["_month"] for r in found.select("_month").collect()}
+    fs, jpath = filesystem(spark, path)
+    held = {s.getPath().getName().split("=", 1)[1] for s in fs.listStatus(jpath(path)) if s.getPath().getName().startswith("_month=")}
+    for month in sorted((held if months is None else held & set(months)) - full):
+        fs.delete(jpath(f"{path}/_month={month}"), True)
     return spark.read.parquet(path).drop("_month")
 
 
+# -- what changed in the lake ---------------------------------------------------
+
+
+def period_manifest(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """``period, files, bytes, mark``: the files of every month of a source, live and archive, as one digest.
+
+    The listing is Spark's own, in parallel over folders; no file is opened. Marks add up, so a month's digest needs no order.
+    """
+    parts = []
+    for kind, folder in zip(("live", "archive"), layout_paths(root, source)):
+        fs, path = filesystem(spark, folder)
+        if fs.exists(path(folder)):
+            listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+            parts.append(listed.select(F.lit(kind).alias("kind"), "path", "length", "modificationTime"))
+    if not parts:
+        raise ValueError(f"the lake holds no {source}")
+    files = reduce(DataFrame.unionByName, parts)
+    period = F.concat_ws("-", *(F.regexp_extract("path", f"/{key}=([0-9]+)/", 1) for key in ("year", "month")))
+    mark = F.xxhash64("kind", F.regexp_extract("path", "/(region=.*)$", 1), "length", F.unix_micros("modificationTime"))
+    files = files.where(F.col("path").rlike("/year=[0-9]+/month=[0-9]+/")).select(period.alias("period"), "length", mark.alias("mark"))
+    return files.groupBy("period").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+        F.hex(F.xxhash64(F.bit_xor("mark"), F.sum(F.shiftright("mark", 20)))).alias("mark"),
+    )
+
+
+def lake_revision(manifest: DataFrame) -> DataFrame:
+    """One digest over all periods, as one row; equal as long as no period changed."""
+    own = F.xxhash64("period", "files", "bytes", "mark")
+    return manifest.agg(F.substring(F.sha2(F.concat_ws("|", F.count(F.lit(1)), F.bit_xor(own), F.sum(F.shiftright(own, 20))), 256), 1, 12).alias("revision"))
+
+
+def changed_periods(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``period, change``: months whose files are new, other or gone since a manifest was taken."""
+    old, new = (df.select("period", F.struct("files", "bytes", "mark").alias(name)) for df, name in ((before, "old"), (after, "new")))
+    joined = old.join(new, "period", "full").where(~F.col("old").eqNullSafe(F.col("new")))
+    change = F.when(F.col("old").isNull(), "new").when(F.col("new").isNull(), "gone").otherwise("other")
+    return joined.select("period", change.alias("change"))
+
+
+def refresh_changed(
+    spark: SparkSession, root: str, source: str, path: str, stage: Callable[[DataFrame], DataFrame], day: str, manifests: VersionedSink,
+) -> tuple[DataFrame, list[str]]:
+    """Rebuild only the months whose files changed since the last time, and remember their state; the staged table and those months.
+
+    The manifest is written after the table, so work that broke off is done again.
+    """
+    now = materialise(period_manifest(spark, root, source), "manifest")
+    known, number = manifests.latest(), (manifests.versions() or [-1])[-1] + 1
+    months = None if known is None else sorted(r["period"] for r in changed_periods(known, now).select("period").collect())  # months
+    fresh = months is None or bool(months)
+    staged = refresh(spark, root, source, path, stage, day, months) if fresh else spark.read.parquet(path).drop("_month")
+    if fresh:
+        manifests.fold(now, number, lambda _, batch: batch)
+    return staged, months if months is not None else sorted(r["period"] for r in now.select("period").collect())
+
+
 def _period_columns(df: DataFrame, time_col: str, backfill: bool) -> tuple[DataFrame, list[str]]:
     stamp = F.col(time_col)
     keyed = df.withColumns(

@@ -456,3 +456,43 @@ def test_scratch_has_an_owner_that_can_let_go(spark):
     df = materialise(spark.range(3).toDF("k"), "mine")
     assert df.count() == 3 and run_root(spark).removeprefix("file:") in df.inputFiles()[0]
     assert os.path.isdir(run_root(spark).removeprefix("file:"))
+
+
+def test_pages_by_key_cover_a_table_once(spark):
+    """Whatever the page size, directions and nulls: pages behind one another are the table in order, and ``left`` counts down."""
+    rows = [(a, b) for a in (None, 1, 2, 3) for b in (None, "x", "y", "z")]
+    df = spark.createDataFrame(rows, "a int, b string").repartition(3)
+    last = lambda v: (v is None, v)
+    for up_a, up_b in [(True, True), (True, False), (False, True), (False, False)]:
+        def place(r):
+            a, b = r
+            return (a is None, (a or 0) * (1 if up_a else -1), b is None, (ord(b) if b else 0) * (1 if up_b else -1))
+
+        want, got, after = sorted(rows, key=place), [], None
+        while True:
+            page = serving.page_after(df, [("a", up_a), ("b", up_b)], after, limit=5).collect()
+            if not page:
+                break
+            assert {r["left"] for r in page} == {len(rows) - len(got)}
+            got += [(r["a"], r["b"]) for r in page]
+            after = {"a": got[-1][0], "b": got[-1][1]}
+        assert got == want
+
+
+def test_redaction_of_json_by_tokens(spark):
+    """Whatever stands under a sensitive key goes, at any depth; broken JSON hides the rest; other text is untouched."""
+    deep = '{"a":' * 300 + '{"my_token": {"x": [1, {"y": "s3cret"}]}, "z": [1, 2]}' + "}" * 300
+    cases = {
+        '{"password":{"a":{"b":"topsecretvalue"}}}': '{"password":"set"}',
+        '{"token":["a",["deepsecret1"]]}': '{"token":"set"}',
+        '{"token" : "a", "b": {"Secret_X":\n null}}': '{"token" : "set", "b": {"Secret_X":\n "missing"}}',
+        '[{"map_key": -0.0}, {"map_key": 0.5}, {"webhook": true}]': '[{"map_key": "missing"}, {"map_key": "set"}, {"webhook": "set"}]',
+        '{"token": {"a": "cut off': '{"token": "set"',
+        '{"a": "the \\"token\\": is no key", "b": 1}': '{"a": "the \\"token\\": is no key", "b": 1}',
+        deep: deep.replace('{"x": [1, {"y": "s3cret"}]}', '"set"'),
+        "no json { at all": "no json { at all",
+        "": "",
+    }
+    df = spark.createDataFrame(list(cases.items()), "raw string, want string")
+    for r in df.select("want", text.redact_json(F.col("raw")).alias("got")).collect():
+        assert r["got"] == r["want"]
