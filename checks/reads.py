@@ -371,7 +371,7 @@ def _(t):
     keys = [("l_extendedprice", False), ("l_orderkey", True), ("l_linenumber", True), ("l_partkey", True), ("l_suppkey", True)]
     total, names = rows.count(), [name for name, _ in keys]
     start = (total - 120) // 40 * 40
-    jump = rows.orderBy(F.desc_nulls_last(names[0]), *names[1:]).offset(start - 1).limit(1).first()
+    jump = serving.key_at(rows, keys, start)
     out, turn, after = [], 1, None
     while turn * 40 - 40 < total:
         page = materialise(serving.page_after(rows, keys, after, limit=40).withColumn("turn", F.lit(turn)), "page")
@@ -379,5 +379,5 @@ def _(t):
         after = page.orderBy(F.desc_nulls_last(names[0]), *names[1:]).tail(1)[0].asDict()
         turn += 1
         if turn == 4 and start > 120:
-            turn, after = start // 40 + 1, jump.asDict()
+            turn, after = start // 40 + 1, jump
     return union_by_name(out)

@@ -341,6 +341,28 @@ def page_after(
     return rows.orderBy(*order).limit(limit).withColumn("left", left.scalar())
 
 
+def key_at(df: DataFrame, keys: Sequence[tuple[str, bool]], place: int) -> dict[str, object] | None:
+    """The key of the row at a 1-based place of the order of :func:`page_after`, to start behind it; none beyond the last row.
+
+    An ordered limit with an offset would bring all rows before the place to the driver. Here the keys are range-partitioned and written with
+    the number of their range; the driver sees one count a range, and only the range that holds the place is sorted.
+    """
+    if place < 1:
+        return None
+    names = [name for name, _ in keys]
+    order = [F.asc_nulls_last(name) if ascending else F.desc_nulls_last(name) for name, ascending in keys]
+    # written out, because range bounds come from sampling and the count and the sort must see the same ones
+    ranged = materialise(df.select(*names).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "places")
+    left = place
+    for part, n in sorted(tuple(r) for r in ranged.groupBy("_part").count().collect()):  # no more rows than shuffle partitions
+        if left <= n:
+            inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+            found = ranged.where(F.col("_part") == part).withColumn("_place", inside).where(F.col("_place") == left)
+            return found.select(*names).first().asDict()
+        left -= n
+    return None
+
+
 def window_facts(rows: DataFrame, windows: DataFrame, day: str, value: str, extras: Sequence[str] = ()) -> DataFrame:
     """Facts of named windows ``(slug, region_id, start, end, tail)``: the extreme day, span, flags, total.
 
