@@ -19,7 +19,7 @@ from geopulse.functions import scoring
 from geopulse.operators.dedup import latest_wins
 from geopulse.operators.upsert import upsert
 from geopulse.sources.versions import PeriodSink, VersionedSink
-from geopulse.streaming.state import run_health
+from geopulse.streaming.state import run_health, whole_stages
 
 
 def read_files(
@@ -116,18 +116,22 @@ def monitor_runs(
 ) -> StreamingQuery:
     """Keep the last statement of every stage in a table of as many rows as stages; :func:`state.stage_board` reads it.
 
-    No history is read again: totals are keyed state, and a stage that gets no runs turns overdue by its timer. The query goes
-    on while time passes; :func:`until_idle` ends one over files that no longer grow.
+    No history is read again: totals are keyed state, and a stage that gets no runs turns overdue by its timer. The last statements of the
+    parts of the runs are a small table beside ``out``. The query goes on while time passes; :func:`until_idle` ends one over files that no longer grow.
     """
+    parts = VersionedSink(out.spark, f"{out.root}-parts")
 
     def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
         rows = batch if current is None else current.unionByName(batch)
-        return latest_wins(rows, ["stage"], [F.desc("stated_ms"), F.desc("runs")])
+        return latest_wins(rows, ["stage", "part"], [F.desc("stated_ms"), F.desc("runs")])
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        # Passing time makes batches without rows.
+        # Passing time makes batches without rows; state is worked on once for both.
+        batch.persist()
         if not batch.isEmpty():
-            out.fold(batch, batch_id, merge)
+            parts.fold(batch, batch_id, merge)
+            out.fold(whole_stages(parts.latest(before=batch_id + 1)), batch_id, lambda _, stages: stages)
+        batch.unpersist()
 
     stated = run_health(stream, stages, retention_hours=retention_hours, shift_ms=shift_ms)
     writer = stated.writeStream.outputMode("update").foreachBatch(fold).option("checkpointLocation", checkpoint)
@@ -135,9 +139,15 @@ def monitor_runs(
 
 
 def until_idle(query: StreamingQuery, seconds: float = 120.0) -> list[dict]:
-    """Stop a query once a batch found no new rows after some that did; the progress of the batches with rows."""
-    deadline, fed = time.monotonic() + seconds, {}
-    while query.isActive and time.monotonic() < deadline:
+    """Stop a query once a batch found no new rows after some that did; the progress of the batches with rows.
+
+    ``seconds`` bounds the wait for rows, not the work on them: a batch may take as long as its rows need.
+    """
+    waiting, fed = time.monotonic(), {}
+    while query.isActive and time.monotonic() - waiting < seconds:
+        status = query.status
+        if status["isTriggerActive"] and status["isDataAvailable"]:
+            waiting = time.monotonic()
         for p in query.recentProgress:
             if p["numInputRows"]:
                 fed[p["batchId"]] = p

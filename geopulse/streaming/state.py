@@ -137,19 +137,35 @@ def trailing_stream(
 
 # -- run health ----------------------------------------------------------------
 
-_RUN = "started long, finished long, status string, duration_s double, rows_written long, failed_units long"
+_RUN = pa.schema(
+    [("run_id", pa.string()), ("started", pa.float64()), ("finished", pa.float64()), ("status", pa.string()), ("duration_s", pa.float64()),
+     ("rows_written", pa.float64()), ("failed_units", pa.float64()), ("came", pa.float64())]
+)
 _TOTALS = "runs long, ok long, failed_units long, started long, run_id string, status string, duration_s double, rows_written long"
 HEALTH = (
-    "stage string, workflow string, state string, runs long, ok long, failed_units long, last_run_us long, duration_s double, rows long, "
-    "stated_ms long"
+    "stage string, workflow string, part int, state string, runs long, ok long, failed_units long, last_run_us long, run_id string, duration_s double, "
+    "rows long, stated_ms long"
 )
+PARTS = 128
+
+
+def _pack(copies: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _RUN, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+        writer.write_table(pa.Table.from_pandas(copies[_RUN.names], _RUN, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(packed).read_all().to_pandas()
 
 
 class RunHealth(StatefulProcessor):
-    """Totals and the newest run of a workflow; each of its stages is stated when runs arrive and when its time budget runs out.
+    """Totals and the newest run of one part of a workflow's runs; each of its stages is stated when runs arrive and when its time budget runs out.
 
-    A later copy of a run replaces the former as long as that is held, ``retention_ms`` after it came. ``shift_ms`` is how far
-    the clock of the runs is behind that of the cluster: 0 live, more in a replay.
+    Runs are dealt to parts by their id, so that a workflow of many runs is no single task; :func:`whole_stages` puts the parts together.
+    A later copy of a run replaces the former as long as that is held, ``retention_ms`` after it came; the copies of a part are one packed
+    value, read and written once a batch. ``shift_ms`` is how far the clock of the runs is behind that of the cluster: 0 live, more in a replay.
     """
 
     def __init__(self, stages: Sequence[tuple[str, str, int | None]], retention_ms: int, shift_ms: int = 0):
@@ -158,57 +174,60 @@ class RunHealth(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.totals = handle.getValueState("totals", _TOTALS)
-        self.copies = handle.getMapState("copies", "run_id string", _RUN, self.retention)
+        self.copies = handle.getValueState("copies", "packed binary", self.retention)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         runs, ok, failed, newest = 0, 0, None, None
         if self.totals.exists():
             runs, ok, failed, *newest = self.totals.get()
-        for pdf in rows:
-            for run in pdf.itertuples(index=False):
-                own = (_whole(run.started), _whole(run.finished), run.status, _real(run.duration_s), _whole(run.rows_written), _whole(run.failed_units))
-                known = self.copies.containsKey((run.run_id,))
-                if known:
-                    before = self.copies.getValue((run.run_id,))
-                    if _newer(before, own):
-                        continue
-                    runs, ok = runs - 1, ok - (before[2] == "success")
-                    failed = _plus(failed, before[5], -1)
-                self.copies.updateValue((run.run_id,), own)
-                runs, ok, failed = runs + 1, ok + (own[2] == "success"), _plus(failed, own[5], 1)
-                last = [own[0], run.run_id, *own[2:5]]
-                if known and newest is not None and newest[1] == run.run_id:
-                    held = [[v[0], k[0], *v[2:5]] for k, v in self.copies.iterator()]
-                    newest = max(held, key=_age)
-                elif newest is None or _age(last) > _age(newest):
-                    newest = last
-        if newest is None:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        arrived = pd.concat(list(rows), ignore_index=True).assign(came=float(now), fresh=True)[[*_RUN.names, "fresh"]]
+        if arrived.empty:
             return
+        held = _unpack(self.copies.get()[0]) if self.copies.exists() else None
+        if held is not None:
+            held = held[held["came"] > now - self.retention].assign(fresh=False)
+        both = arrived if held is None or held.empty else pd.concat([held, arrived], ignore_index=True)
+        # finished later, else started later; among equal copies the one that came last
+        both = both.sort_values(["finished", "started"], na_position="first", kind="stable").drop_duplicates("run_id", keep="last")
+        own = both[both["fresh"]]
+        former = own[:0] if held is None else held[held["run_id"].isin(own["run_id"])]
+        runs += len(own) - len(former)
+        ok += int((own["status"] == "success").sum()) - int((former["status"] == "success").sum())
+        if own["failed_units"].notna().any() or former["failed_units"].notna().any():
+            failed = (failed or 0) + int(own["failed_units"].sum()) - int(former["failed_units"].sum())
+        if len(own):
+            renewed = newest is not None and newest[1] in set(former["run_id"])
+            last = (both if renewed else own).sort_values(["started", "run_id"], na_position="first").iloc[-1]
+            last = [_whole(last.started), last.run_id, last.status, _real(last.duration_s), _whole(last.rows_written)]
+            if renewed or newest is None or _age(last) > _age(newest):
+                newest = last
+            self.copies.update((_pack(both),))
         self.totals.update((runs, ok, failed, *newest))
         for at in list(self.handle.listTimers()):
             self.handle.deleteTimer(at)
-        now = timerValues.getCurrentProcessingTimeInMs()
-        yield self._stated(key[0], now)
+        yield self._stated(key, now)
         due = [self._due(newest, budget) for _, workflow, budget in self.stages if workflow == key[0]]
         for at in {d for d in due if d is not None and d >= now}:
             self.handle.registerTimer(at)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.totals.exists():
-            yield self._stated(key[0], max(timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs()))
+            yield self._stated(key, max(timerValues.getCurrentProcessingTimeInMs(), expiredTimerInfo.getExpiryTimeInMs()))
 
     def _due(self, newest: Sequence, budget: int | None) -> int | None:
         """The first millisecond past the budget, in the cluster's time."""
         return None if budget is None or newest[0] is None else newest[0] // 1000 + budget * HOUR_MS + 1 + self.shift
 
-    def _stated(self, workflow: str, now: int) -> pd.DataFrame:
+    def _stated(self, key: tuple, now: int) -> pd.DataFrame:
+        workflow, part = key
         runs, ok, failed, *newest = self.totals.get()
         out = []
         for stage, own, budget in self.stages:
             if own == workflow:
                 due = self._due(newest, budget)
                 state = "failed" if newest[2] != "success" else "overdue" if due is not None and now >= due else "live"
-                out.append((stage, workflow, state, runs, ok, failed, newest[0], newest[3], newest[4], now))
+                out.append((stage, workflow, part, state, runs, ok, failed, newest[0], newest[1], newest[3], newest[4], now))
         frame = pd.DataFrame(out, columns=[part.split()[0] for part in HEALTH.split(", ")])
         return frame.astype({c: "Int64" for c in ("failed_units", "last_run_us", "rows")})
 
@@ -224,34 +243,37 @@ def _real(value) -> float | None:
     return None if pd.isna(value) else float(value)
 
 
-def _plus(total: int | None, part: int | None, sign: int) -> int | None:
-    return total if part is None else (total or 0) + sign * part
-
-
 def _age(run: Sequence) -> tuple:
     return (run[0] is not None, run[0] or 0, run[1])
 
 
-def _newer(one: tuple, two: tuple) -> bool:
-    """Whether the first copy of a run is the later one: finished later, else started later."""
-    rank = lambda r: tuple((v is not None, v or 0) for v in (r[1], r[0]))
-    return rank(one) > rank(two)
+def run_health(stream: DataFrame, stages: Sequence[tuple[str, str | None, int | None]], *, retention_hours: float = 24.0 * 30, shift_ms: int = 0, parts: int = PARTS) -> DataFrame:
+    """Stage states from arriving runs and passing time: a row for each stage and part whenever it is stated anew, the last one holds.
 
-
-def run_health(stream: DataFrame, stages: Sequence[tuple[str, str | None, int | None]], *, retention_hours: float = 24.0 * 30, shift_ms: int = 0) -> DataFrame:
-    """Stage states from arriving runs and passing time: a row for each stage whenever it is stated anew, the last one holds."""
+    Runs of workflows that no stage names state nothing and are left out.
+    """
     use_rocksdb(stream.sparkSession)
-    rows = stream.where("workflow is not null").select(
-        "workflow", F.col("run_id").cast("string").alias("run_id"), F.unix_micros(F.col("started_at").cast("timestamp")).alias("started"),
+    known = [s for s in stages if s[1] is not None]
+    run_id = F.col("run_id").cast("string")
+    rows = stream.where(F.col("workflow").isin(sorted({s[1] for s in known}))).select(
+        "workflow", F.pmod(F.xxhash64(run_id), F.lit(parts)).cast("int").alias("part"), run_id.alias("run_id"), F.unix_micros(F.col("started_at").cast("timestamp")).alias("started"),
         F.unix_micros(F.col("finished_at").cast("timestamp")).alias("finished"), "status", F.col("duration_s").cast("double").alias("duration_s"),
         F.col("rows_written").cast("long").alias("rows_written"), F.col("failed_units").cast("long").alias("failed_units"),
     )
-    known = [s for s in stages if s[1] is not None]
-    return rows.groupBy("workflow").transformWithStateInPandas(
+    return rows.groupBy("workflow", "part").transformWithStateInPandas(
         statefulProcessor=RunHealth(known, int(retention_hours * HOUR_MS), shift_ms), outputStructType=HEALTH, outputMode="Update", timeMode="ProcessingTime"
     )
 
 
+def whole_stages(stated: DataFrame) -> DataFrame:
+    """One row per stage from the last statements of its parts: counts add up, the part with the newest run tells the state."""
+    newest = F.struct(F.col("last_run_us").isNotNull(), "last_run_us", "run_id")
+    figures = F.max_by(F.struct("state", "last_run_us", "duration_s", "rows"), newest).alias("n")
+    return stated.groupBy("stage", "workflow").agg(
+        *[F.sum(name).alias(name) for name in ("runs", "ok", "failed_units")], figures, F.max("stated_ms").alias("stated_ms")
+    ).select("stage", "workflow", "n.state", "runs", "ok", "failed_units", "n.last_run_us", "n.duration_s", "n.rows", "stated_ms")
+
+
 def stage_board(stated: DataFrame, stages: DataFrame, asof: Column) -> DataFrame:
     """The columns of a flow report from the last statement of each stage; stages never stated are unrecorded or external."""
     own = stated.select("stage", "state", "runs", "ok", "failed_units", "duration_s", "rows", F.timestamp_micros("last_run_us").alias("last_run"))

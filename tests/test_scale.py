@@ -1,11 +1,15 @@
 """Steps whose cost must not grow faster than their input."""
 
 import random
+import time
+from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row
 
 from geopulse.plans import serving
+from geopulse.sources.versions import VersionedSink
+from geopulse.streaming import pipelines
 
 
 @pytest.mark.parametrize("ascending", [True, False])
@@ -22,3 +26,63 @@ def test_key_at_finds_the_row_of_every_place(spark, ascending):
     assert serving.key_at(df, keys, 0) is None and serving.key_at(df, keys, 61) is None
     behind = serving.page_after(df, keys, serving.key_at(df, keys, 40), limit=5).collect()
     assert [(r["a"], r["b"]) for r in behind] == want[40:45] and behind[0]["left"] == 20
+
+
+class _Status:
+    """A query whose only batch works longer than the wait for rows."""
+
+    isActive = True
+
+    def __init__(self, busy: float):
+        self.done = time.monotonic() + busy
+        self.stopped = False
+
+    @property
+    def status(self):
+        busy = time.monotonic() < self.done
+        return {"isTriggerActive": busy, "isDataAvailable": busy, "message": ""}
+
+    @property
+    def recentProgress(self):
+        return [] if time.monotonic() < self.done else [{"batchId": 0, "numInputRows": 3}, {"batchId": 1, "numInputRows": 0}]
+
+    @property
+    def lastProgress(self):
+        return self.recentProgress[-1] if self.recentProgress else None
+
+    def exception(self):
+        return None
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_a_long_batch_is_not_taken_for_an_idle_stream():
+    query = _Status(2.5)
+    assert [p["batchId"] for p in pipelines.until_idle(query, seconds=1.0)] == [0] and query.stopped
+
+
+def test_runs_of_one_workflow_are_many_groups_and_add_up(spark, tmp_path):
+    """Copies in the same and in later batches replace the former ones, whatever part they are in."""
+    start = datetime(2024, 1, 1)
+    run = lambda i, status, rows, minutes=1: Row(
+        "w", f"r{i}", start + timedelta(hours=i), start + timedelta(hours=i, minutes=minutes), status, 60.0, rows, i % 3
+    )
+    first = [run(i, "failed" if i % 4 == 0 else "success", i) for i in range(60)] + [run(59, "failed", 5, 0)]
+    second = [run(i, "success", i, 9) for i in range(0, 20)] + [run(30, "failed", 0, 0), run(70, "success", 70)]
+    source, schema = tmp_path / "in", "workflow string, run_id string, started_at timestamp, finished_at timestamp, status string, duration_s double, rows_written long, failed_units long"
+    for rows in (first, second):
+        frame = spark.createDataFrame(rows, schema).coalesce(1)
+        frame.write.mode("append").parquet(str(source))
+        time.sleep(1.1)
+    stages = [("a", "w", None), ("b", None, None)]
+    out = VersionedSink(spark, str(tmp_path / "out"))
+    stream = pipelines.read_files(spark, str(source), frame.schema, max_files=1)
+    query = pipelines.monitor_runs(stream, out, str(tmp_path / "cp"), stages, every="1 second")
+    assert len(pipelines.until_idle(query)) == 2
+    row = out.latest().collect()
+    assert len(row) == 1 and (row[0]["runs"], row[0]["rows"], row[0]["state"]) == (61, 70, "live")
+    kept = {r[1]: r for r in first[:60]} | {r[1]: r for r in second if r[1] != "r30"}
+    assert row[0]["ok"] == sum(r[4] == "success" for r in kept.values()) and row[0]["failed_units"] == sum(r[7] for r in kept.values())
+    parts = VersionedSink(spark, f"{out.root}-parts").latest()
+    assert parts.select("part").distinct().count() > 20
