@@ -7,7 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Row
 
-from geopulse.plans import serving
+from checks.base import Tables
+from geopulse.plans import marts, serving
 from geopulse.sources.versions import VersionedSink
 from geopulse.streaming import pipelines
 
@@ -86,3 +87,18 @@ def test_runs_of_one_workflow_are_many_groups_and_add_up(spark, tmp_path):
     assert row[0]["ok"] == sum(r[4] == "success" for r in kept.values()) and row[0]["failed_units"] == sum(r[7] for r in kept.values())
     parts = VersionedSink(spark, f"{out.root}-parts").latest()
     assert parts.select("part").distinct().count() > 20
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_readers_of_composites_shuffle_only_what_they_read(spark):
+    """A metric, a scope and the columns read reach below the exchange of latest-wins."""
+    t = Tables.of(spark, "/root/testdata/sf0.001")
+    text = _plan(marts.cell_change(t.composites))
+    below = text[text.index("Exchange hashpartitioning"):]
+    assert "= grid)" in below and "recent_mean" not in below and "product" not in below
+    monthly = _plan(t.composites.where("metric_type = 'ndvi' and spatial_scope = 'region'").select("month_start", "value_mean"))
+    below = monthly[monthly.index("Exchange hashpartitioning"):]
+    assert "= ndvi)" in below and "= region)" in below and "observation_count" not in below
