@@ -13,11 +13,18 @@ from geopulse.streaming import pipelines, state
 from geopulse.workspace import scratch
 
 
+FILE_ROWS = 500_000
+
+
 def files(t, df, name: str, parts: int = 4):
-    """A folder of files for a file source to replay."""
+    """A folder of files for a file source to replay, its schema and half the number of files, for two micro-batches.
+
+    At least ``parts`` files, and more as the rows grow: a task writes one of them, or a few, whatever the size of the table.
+    """
     path = scratch(t.spark, name)
+    parts = max(parts, -(-df.count() // FILE_ROWS))
     df.repartition(parts).write.parquet(path)
-    return path, df.schema
+    return path, df.schema, -(-parts // 2)
 
 
 def events(t):
@@ -54,10 +61,10 @@ def _(t):
 @check("stream_latest_wins", "product region_id observation_date:d rows:i frp:f",
        "select product, region_id, observation_date, count(*) as rows, sum(frp) as frp from detections group by 1, 2, 3")
 def _(t):
-    path, schema = files(t, t.det_raw, "refetched")
+    path, schema, half = files(t, t.det_raw, "refetched")
     sink = pipelines.PeriodSink(t.spark, scratch(t.spark, "latest"), F.date_format("acq_datetime", "yyyyMM"))
     newest = [F.desc_nulls_last("ingested_at"), F.desc_nulls_last("run_id")]
-    stream = pipelines.read_files(t.spark, path, schema, max_files=2)
+    stream = pipelines.read_files(t.spark, path, schema, max_files=half)
     keys = ["product", "acq_datetime", "latitude", "longitude"]
     drain(pipelines.upsert_stream(stream, sink, scratch(t.spark, "cp"), keys, newest))
     return sink.latest().groupBy("product", "region_id", F.to_date("acq_datetime").alias("observation_date")).agg(
@@ -118,8 +125,8 @@ def _(t):
 @check("stream_flag_online", "region_id observation_date:d detection_count:i zscore:f is_anomaly severity",
        "select * from fire where detection_count > 0")
 def _(t):
-    path, schema = files(t, t.detections, "staged")
-    stream = pipelines.read_files(t.spark, path, schema, max_files=2)
+    path, schema, half = files(t, t.detections, "staged")
+    stream = pipelines.read_files(t.spark, path, schema, max_files=half)
     counts = pipelines.daily_counts(stream, "observed_at", ["region_id"], "frp", delay="20000 days")
     # the file order is not the order of time here, so nothing may be called late
     flagged = pipelines.flag_online(counts, t.baseline)
@@ -140,9 +147,9 @@ def _(t):
                      greatest(epoch(timestamp '2024-01-31 12:00:00' - max(started_at)) / 3600e0, 0) as age_hours
                      from runs group by 1) t on t.workflow = s.workflow""")
 def _(t):
-    path, schema = files(t, t.runs, "runs")
+    path, schema, half = files(t, t.runs, "runs")
     out = pipelines.VersionedSink(t.spark, scratch(t.spark, "stages"))
-    stream = pipelines.read_files(t.spark, path, schema, max_files=2)
+    stream = pipelines.read_files(t.spark, path, schema, max_files=half)
     asof = datetime(2024, 1, 31, 12, tzinfo=UTC)
     # a replay: the clock of the runs stands at the time asked for
     shift = int((datetime.now(UTC) - asof).total_seconds() * 1000)
