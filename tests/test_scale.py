@@ -7,8 +7,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Row
 
+import __spark_entry__ as entry
+from checks import streams
 from checks.base import Tables
 from geopulse.plans import marts, serving
+from geopulse.session import SPLIT_BYTES
 from geopulse.sources.versions import VersionedSink
 from geopulse.streaming import pipelines
 
@@ -102,3 +105,21 @@ def test_readers_of_composites_shuffle_only_what_they_read(spark):
     monthly = _plan(t.composites.where("metric_type = 'ndvi' and spatial_scope = 'region'").select("month_start", "value_mean"))
     below = monthly[monthly.index("Exchange hashpartitioning"):]
     assert "= ndvi)" in below and "= region)" in below and "observation_count" not in below
+
+
+def test_replayed_files_grow_with_their_rows(spark, monkeypatch):
+    """A larger table is dealt to more files, still in two micro-batches, so that no task writes a fixed share of it."""
+    t = Tables.of(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(streams, "FILE_ROWS", 50)
+    df = spark.range(1000).repartition(3)
+    path, schema, half = streams.files(t, df, "replay")
+    written = spark.read.schema(schema).parquet(path)
+    assert len(written.inputFiles()) == 20 and half == 10 and written.count() == 1000
+
+
+def test_queries_read_in_splits_that_a_task_can_sort(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    entry.queries()["severity"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == SPLIT_BYTES
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
