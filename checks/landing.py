@@ -271,7 +271,9 @@ def documents(t, load: bool):
     """One document per customer; every third point is an empty slot, and positions restart in a second period."""
     tag = "quantity" if load else "price.amount"
     by = F.struct("o_orderkey", "o_totalprice")
-    docs = t.read("orders").groupBy(F.col("o_custkey").alias("c")).agg(
+    # some bytes of an order become a page of XML: partitions merged by their bytes would leave cores idle
+    dealt = t.read("orders").repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "o_custkey")
+    docs = dealt.groupBy(F.col("o_custkey").alias("c")).agg(
         F.sort_array(F.collect_list(by)).alias("o"), F.min("o_orderdate").alias("s")
     )
     point = F.transform(

@@ -28,23 +28,27 @@ def root_name(xml: Column) -> Column:
     return F.regexp_extract(xml, r"<(?:[A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)[\s/>]", 1)
 
 
-def resolution_minutes(duration: Column) -> Column:
-    """Minutes of a P1D / PT60M style duration; anything else is an error."""
+def read_minutes(duration: Column) -> Column:
+    """Minutes of a P1D / PT60M style duration; null for anything else."""
     text = F.upper(F.trim(duration))
     part = lambda group: F.coalesce(F.regexp_extract(text, RESOLUTION, group).try_cast("long"), F.lit(0))
     minutes = part(1) * 1440 + part(2) * 60 + part(3)
-    bad = F.raise_error(F.concat(F.lit("unsupported resolution: "), F.coalesce(duration, F.lit("null"))))
-    return F.when(text.rlike(RESOLUTION) & (minutes > 0), minutes).otherwise(bad.cast("bigint"))
+    return F.when(text.rlike(RESOLUTION) & (minutes > 0), minutes)
 
 
-def period_start(text: Column) -> Column:
-    stamp = F.coalesce(
+def read_start(text: Column) -> Column:
+    """The time a period's start states; null if none can be read."""
+    return F.coalesce(
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mmX")),
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssX")),
         F.try_to_timestamp(text),
     )
-    bad = F.raise_error(F.concat(F.lit("period without a usable start: "), F.coalesce(text, F.lit("null"))))
-    return F.when(stamp.isNotNull(), stamp).otherwise(bad.cast("timestamp"))
+
+
+def demand(value: Column, kind: str, complaint: str, text: Column) -> Column:
+    """The value that was read from ``text``; an error where it is null."""
+    bad = F.raise_error(F.concat(F.lit(complaint), F.coalesce(text, F.lit("null"))))
+    return F.when(value.isNotNull(), value).otherwise(bad.cast(kind))
 
 
 def _unit(series: Column, metric: str) -> Column:
@@ -88,18 +92,21 @@ def parse_market_documents(documents: DataFrame, metric: str, xml: str = "xml")
     checked = F.element_at(F.transform(F.array(parsed), undrifted), 1)
     series = documents.select(*keep, F.explode(checked["TimeSeries"]).alias("s"))
     periods = series.select(*keep, _unit(F.col("s"), metric).alias("unit"), F.explode("s.Period").alias("p"))
-    timed = periods.select(
-        *keep, "unit",
-        period_start(F.col("p.timeInterval.start")).alias("_start"),
-        resolution_minutes(F.col("p.resolution")).alias("_minutes"),
-        F.explode("p.Point").alias("pt"),
-    ).where(has_value(F.col("pt")))
+    # start and resolution are read once a period, below the unfolding of its points; only a point with a value complains of them
+    start, every = F.col("p.timeInterval.start"), F.col("p.resolution")
+    read = periods.select(
+        *keep, "unit", start.alias("_from"), every.alias("_every"),
+        read_start(start).alias("_start"), read_minutes(every).alias("_minutes"), F.col("p.Point").alias("_points"),
+    )
+    timed = read.select(*keep, "unit", "_from", "_every", "_start", "_minutes", F.explode("_points").alias("pt")).where(has_value(F.col("pt")))
+    began = demand(F.col("_start"), "timestamp", "period without a usable start: ", F.col("_from"))
+    minutes = demand(F.col("_minutes"), "bigint", "unsupported resolution: ", F.col("_every"))
     position = F.trim(F.col("pt.position")).try_cast("bigint")
     value = F.trim(F.col("pt")[element]).try_cast("double")
     bad_position = F.raise_error(F.lit("point with an unusable position")).cast("bigint")
     bad_value = F.raise_error(F.lit("point with a non-numeric value")).cast("double")
     slot = F.when(position >= 1, position).otherwise(bad_position) - 1
-    stamp = F.timestamp_micros(F.unix_micros("_start") + slot * F.col("_minutes") * 60000000)
+    stamp = F.timestamp_micros(F.unix_micros(began) + slot * minutes * 60000000)
     return timed.select(
         *keep, stamp.alias("timestamp"),
         F.when(value.isNotNull(), value).otherwise(bad_value).alias("value"),

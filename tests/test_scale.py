@@ -12,6 +12,7 @@ from checks import streams
 from checks.base import Tables
 from geopulse.plans import marts, serving
 from geopulse.session import SPLIT_BYTES
+from geopulse.sources import markets
 from geopulse.sources.versions import VersionedSink
 from geopulse.streaming import pipelines
 
@@ -123,3 +124,23 @@ def test_queries_read_in_splits_that_a_task_can_sort(spark):
     entry.queries()["severity"](spark, "/root/testdata/sf0.001")
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == SPLIT_BYTES
     spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_period_is_read_once_and_not_once_a_point(spark):
+    """Start and resolution are read below the unfolding of a period's points; a period without values still complains of nothing."""
+    t = Tables.of(spark, "/root/testdata/sf0.001")
+    text = _plan(entry.queries()["parse_market_documents"](spark, t.sf_dir))
+    points = text.split("Generate explode(")[0]
+    assert "gettimestamp" in text and "gettimestamp" not in points and "RLIKE" not in points
+
+    def parse(start, resolution, value):
+        period = f"<Period><timeInterval><start>{start}</start></timeInterval><resolution>{resolution}</resolution><Point><position>1</position>{value}</Point></Period>"
+        whole = "<Period><timeInterval><start>2024-01-01T00:00Z</start></timeInterval><resolution>P1DT15M</resolution><Point><position>2</position><price.amount>3</price.amount></Point></Period>"
+        xml = f"<Publication_MarketDocument><TimeSeries>{whole}{period}</TimeSeries></Publication_MarketDocument>"
+        return markets.parse_market_documents(spark.createDataFrame([(xml,)], "xml string"), "day_ahead_price")
+
+    price = "<price.amount>5</price.amount>"
+    assert {(r.timestamp, r.value) for r in parse("noon", "P1Y", "").collect()} == {(datetime(2024, 1, 2, 0, 15), 3.0)}
+    for start, resolution, complaint in (("noon", "PT60M", "period without a usable start: noon"), ("2024-01-01T00:00Z", "P1Y", "unsupported resolution: P1Y")):
+        with pytest.raises(Exception, match=complaint):
+            parse(start, resolution, price).collect()
