@@ -10,7 +10,7 @@ from pyspark.sql import Row
 import __spark_entry__ as entry
 from checks import streams
 from checks.base import Tables
-from geopulse.plans import marts, serving
+from geopulse.plans import marts, serving, staging
 from geopulse.session import SPLIT_BYTES
 from geopulse.sources import markets
 from geopulse.sources.versions import VersionedSink
@@ -108,6 +108,15 @@ def test_readers_of_composites_shuffle_only_what_they_read(spark):
     assert "= ndvi)" in below and "= region)" in below and "observation_count" not in below
 
 
+def test_latest_wins_shuffles_rows_in_the_order_of_their_keys(spark):
+    """No hash travels with the rows, and neighbours share a time, which the shuffle's compression finds."""
+    t = Tables.of(spark, "/root/testdata/sf0.001")
+    for staged, stamp in ((staging.stg_composites(t.comp_raw), "window_end"), (staging.stg_detections(t.det_raw), "observed_at")):
+        text = _plan(staged)
+        below = text[text.index("Exchange hashpartitioning"):]
+        assert below.startswith(f"Exchange hashpartitioning({stamp}#") and f"Sort [{stamp}#" in below and "xxhash64" not in text
+
+
 def test_replayed_files_grow_with_their_rows(spark, monkeypatch):
     """A larger table is dealt to more files, still in two micro-batches, so that no task writes a fixed share of it."""
     t = Tables.of(spark, "/root/testdata/sf0.001")
