@@ -10,6 +10,7 @@ from pyspark.sql import Row
 import __spark_entry__ as entry
 from checks import streams
 from checks.base import Tables
+from geopulse.operators import series
 from geopulse.plans import marts, serving, staging
 from geopulse.session import SPLIT_BYTES
 from geopulse.sources import markets
@@ -117,6 +118,17 @@ def test_latest_wins_shuffles_rows_in_the_order_of_their_keys(spark):
         assert below.startswith(f"Exchange hashpartitioning({stamp}#") and f"Sort [{stamp}#" in below and "xxhash64" not in text
 
 
+def test_facts_and_daily_anomaly_shuffle_only_what_they_read(spark):
+    """Neither writes a whole staged table first: unread columns and other metrics stay out of the exchange."""
+    t = Tables(spark, "/root/testdata/sf0.001")
+    assert t.facts.count() and t.sst_daily.count()
+    assert "detections" not in vars(t) and "gridded" not in vars(t)
+    text = _plan(series.detection_facts(staging.stg_detections(t.det_raw)))
+    below = text[text.rindex("Exchange hashpartitioning"):]
+    assert "frp" in below and "bright" not in below and "instrument" not in below
+    assert "sea_ice_extent" not in _plan(series.daily_metric(staging.stg_gridded(t.grid_raw)))
+
+
 def test_replayed_files_grow_with_their_rows(spark, monkeypatch):
     """A larger table is dealt to more files, still in two micro-batches, so that no task writes a fixed share of it."""
     t = Tables.of(spark, "/root/testdata/sf0.001")
